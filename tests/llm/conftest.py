@@ -1,0 +1,21 @@
+import pytest
+from pyspark.sql import SparkSession
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = (
+        SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
+        .config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+
+
+@pytest.fixture(scope="session")
+def docs_frame(spark):
+    def make(rows, schema="doc_id long, text string, lang string, source string, n_chars long"):
+        n = len(schema.split(","))
+        return spark.createDataFrame([tuple(r) + (None,) * (n - len(r)) for r in rows], schema)
+
+    return make
