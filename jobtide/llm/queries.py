@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, packing, token_store
+from . import decontaminate, exact_dedup, packing, simhash, token_store
 from .common import scratch_path, table
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_store.write_tokens(table(spark, sf_dir, "documents"), scratch_path(spark, "tokens"), end_id=0)
     return token_store.read_tokens(spark, path)
@@ -30,7 +34,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_token_store, op4_decontaminate, op5_best_fit_packing, op10_exact_dedup)
+    for f in (op1_simhash_near_dedup, op2_token_store, op4_decontaminate, op5_best_fit_packing, op10_exact_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {
