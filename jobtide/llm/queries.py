@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, packing, simhash, token_store
+from . import decontaminate, exact_dedup, html_extract, packing, simhash, token_store
 from .common import scratch_path, table
 
 
@@ -28,13 +28,17 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), end_id=2)
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_simhash_near_dedup, op2_token_store, op4_decontaminate, op5_best_fit_packing, op10_exact_dedup)
+    for f in (op1_simhash_near_dedup, op2_token_store, op4_decontaminate, op5_best_fit_packing, op9_html_extraction, op10_exact_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {
