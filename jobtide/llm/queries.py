@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, html_extract, packing, simhash, token_store
+from . import decontaminate, exact_dedup, html_extract, packing, simhash, token_store, toxicity
 from .common import scratch_path, table
 
 
@@ -28,6 +29,13 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), end_id=2)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    weights = toxicity.train(docs, labels.filter(~toxicity.held_out()))
+    scores = toxicity.score_documents(docs, weights)
+    return scores.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -38,7 +46,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_simhash_near_dedup, op2_token_store, op4_decontaminate, op5_best_fit_packing, op9_html_extraction, op10_exact_dedup)
+    for f in (op1_simhash_near_dedup, op2_token_store, op4_decontaminate, op5_best_fit_packing, op6_toxicity, op9_html_extraction, op10_exact_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {
