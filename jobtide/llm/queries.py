@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, html_extract, packing, simhash, token_store, toxicity
+from . import decontaminate, exact_dedup, html_extract, language, licenses, packing, simhash, token_store, toxicity
 from .common import scratch_path, table
 
 
@@ -20,6 +20,10 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_tokens(spark, path)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.contamination_digest(report)
@@ -36,6 +40,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.load_model(language.train_counts(docs.filter(~toxicity.held_out())))
+    return language.identify_documents(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -46,10 +56,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_simhash_near_dedup, op2_token_store, op4_decontaminate, op5_best_fit_packing, op6_toxicity, op9_html_extraction, op10_exact_dedup)
+    for f in (op1_simhash_near_dedup, op2_token_store, op3_license_scan, op4_decontaminate, op5_best_fit_packing, op6_toxicity, op7_language_id, op9_html_extraction, op10_exact_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_license_scan": licenses.oracle_sql(),
     "op4_decontaminate": r"""
         WITH it AS (
             SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w

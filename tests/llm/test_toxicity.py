@@ -23,7 +23,7 @@ def test_feature_counts():
 
 def test_one_class_scores_the_prior():
     slots, weights = T.fit([(0, np.array([1, 2], "u4"))] * 8)
-    assert T.Scorer(slots, weights, T.BITS).score("x") == np.float64(1) / 10
+    assert abs(T.Scorer(slots, weights, T.BITS).score("x") - 0.1) < 1e-9
     assert T.Scorer(*T.fit([]), T.BITS).score("") == 0.5
 
 
