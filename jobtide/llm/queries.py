@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, html_extract, language, licenses, packing, simhash, token_store, toxicity
+from . import decontaminate, exact_dedup, html_extract, language, licenses, packing, pii, simhash, token_store, toxicity
 from .common import scratch_path, table
 
 
@@ -46,6 +46,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_documents(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the key of a real run is a secret of that run
+    return pii.replace_personal_data(table(spark, sf_dir, "documents"), key="query key")
+
+
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -56,7 +61,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_simhash_near_dedup, op2_token_store, op3_license_scan, op4_decontaminate, op5_best_fit_packing, op6_toxicity, op7_language_id, op9_html_extraction, op10_exact_dedup)
+    for f in (op1_simhash_near_dedup, op2_token_store, op3_license_scan, op4_decontaminate, op5_best_fit_packing, op6_toxicity, op7_language_id, op8_pii_surrogates, op9_html_extraction, op10_exact_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {
