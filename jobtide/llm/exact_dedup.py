@@ -161,7 +161,7 @@ def repeated_fingerprints(fingerprints: DataFrame, rows: int) -> DataFrame:
 
 
 def exact_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, code_points."""
     normal = F.regexp_replace(text_or_empty(text_col), SPACE_CHARS, "")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.length(text_or_empty(text_col)).alias("code_points"), normal.alias("norm"))
     narrow = scratch_table(texts.select("doc_id", "code_points", F.unhex(F.sha2("norm", 256)).alias("sha"), F.xxhash64("norm").alias("fp")), "exact-narrow")
@@ -180,5 +180,29 @@ def exact_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     keep_id = F.when(alone, F.col("doc_id")).otherwise(F.bitwise_not(F.col("best.low")))
     kept = alone | (F.col("doc_id").eqNullSafe(keep_id) & (F.col("code_points") == F.col("best.code_points")))
     return narrow.join(keepers, ["fp", "sha"], "left").select(
-        "doc_id", keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), kept.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256")
+        "doc_id", keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), kept.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), "code_points"
     )
+
+
+#: Verdicts are broadcast up to this many rows; beyond it the join shuffles.
+BROADCAST_ROWS = 1 << 18
+
+
+def drop_exact_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that stay, with their columns; of rows repeated with id and text, one."""
+    verdicts = scratch_table(exact_duplicates(docs, id_col=id_col, text_col=text_col), "exact-verdicts")
+    dropped = verdicts.filter("NOT kept").select("doc_id", "text_sha256", "code_points")
+    repeated = scratch_table(verdicts.filter("kept AND group_size > 1").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id", "text_sha256"), "exact-repeated-rows")
+    sha, size = F.sha2(F.regexp_replace(text_or_empty(text_col), SPACE_CHARS, ""), 256), F.length(text_or_empty(text_col))
+
+    def matching(rows: DataFrame, verdict: DataFrame, how: str) -> DataFrame:
+        v = verdict.alias("v")
+        on = F.col(f"d.{id_col}").eqNullSafe(F.col("v.doc_id")) & (sha == F.col("v.text_sha256"))
+        if "code_points" in verdict.columns:
+            on &= size == F.col("v.code_points")
+        return rows.alias("d").join(F.broadcast(v) if verdict.count() <= BROADCAST_ROWS else v, on, how)
+
+    kept = matching(docs, dropped, "left_anti")
+    if not repeated.isEmpty():
+        kept = matching(kept, repeated, "left_anti").unionByName(matching(kept, repeated, "left_semi").dropDuplicates([id_col, text_col]))
+    return kept

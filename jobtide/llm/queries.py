@@ -56,7 +56,7 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop("code_points")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
