@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from .common import bounded_batches, record_batch, scratch_table, size_sliced, text_or_empty
-from .tokens import Encoder
+from .tokens import shared_encoder
 
 SEQUENCE = 1024
 OPEN_BINS = 8192
@@ -39,7 +39,7 @@ def piece_starts(n: int, sequence: int) -> list[int]:
 
 def _cut(tokenizer: str | None, end_id: int, sequence: int):
     def cut(batches):
-        encoder, end = Encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        encoder, end = shared_encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in size_sliced(texts):

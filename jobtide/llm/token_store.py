@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from .common import bounded_batches, record_batch, size_sliced, text_or_empty
-from .tokens import Encoder
+from .tokens import shared_encoder
 
 CHUNK_TOKENS = 1 << 16
 BLOCK = 4096
@@ -85,7 +85,7 @@ def _encode_chunks(tokenizer: str | None, end_id: int, chunk_tokens: int, block:
     def encode(batches):
         from pyspark import TaskContext
 
-        shard, encoder, end = TaskContext.get().partitionId(), Encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        shard, encoder, end = TaskContext.get().partitionId(), shared_encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         chunk, ids, doc_ids, lengths, held = 0, [], [], [], 0
 
         def closed():

@@ -49,10 +49,20 @@ class TwoGenerations:
         self.new[key] = value
 
 
+_SHARED: dict[str | None, "Encoder"] = {}
+
+
+def shared_encoder(path: str | None) -> "Encoder":
+    """One encoder for a Python worker, so that later tasks of it find the words of earlier ones."""
+    if path not in _SHARED:
+        _SHARED[path] = Encoder(path)
+    return _SHARED[path]
+
+
 class Encoder:
     """encode(texts) gives each text's ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str | None = None, words: int = 500_000, pieces: int = 700_000):
+    def __init__(self, path: str | None = None, words: int = 400_000, pieces: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
