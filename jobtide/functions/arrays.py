@@ -20,11 +20,22 @@ def parse_list(c: Column, *, strict_json: bool = False) -> Column:
     return F.coalesce(parsed, F.array().cast(STRINGS))
 
 
+def let(value: Column, use) -> Column:
+    """use(value) with the value computed once per row: a lambda over an expression would compute it for every element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def first_of_each(items: Column, key) -> Column:
+    """The first element of each key, in order, by two sorts."""
+    keyed = F.array_sort(F.transform(items, lambda x, i: F.struct(key(x).alias("k"), i.alias("i"), x.alias("x"))))
+    firsts = let(keyed, lambda s: F.filter(s, lambda e, i: (i == 0) | (F.get(s, i - 1)["k"] != e["k"])))
+    return F.transform(F.array_sort(F.transform(firsts, lambda e: F.struct(e["i"].alias("i"), e["x"].alias("x")))), lambda e: e["x"])
+
+
 def ci_distinct(c: Column) -> Column:
     """Stripped elements, blanks and sentinels dropped, the first of each casing kept, in order."""
     clean = F.filter(F.transform(c, strip), lambda x: x.isNotNull() & ~x.isin(*SENTINELS))
-    low = F.transform(clean, F.lower)
-    return F.filter(F.zip_with(clean, F.transform(low, lambda x, i: F.array_position(low, x) == i + 1), lambda x, first: F.when(first, x)), lambda x: x.isNotNull())
+    return first_of_each(clean, F.lower)
 
 
 def ci_contains(c: Column, value: str) -> Column:
@@ -33,8 +44,7 @@ def ci_contains(c: Column, value: str) -> Column:
 
 def ci_except(c: Column, other: Column, name=lambda x: x) -> Column:
     """Elements of c whose lower-case name is not among the lower-case names of `other`."""
-    taken = F.transform(other, lambda x: F.lower(name(x)))
-    return F.filter(c, lambda x: ~F.array_contains(taken, F.lower(name(x))))
+    return let(F.transform(other, lambda x: F.lower(name(x))), lambda taken: F.filter(c, lambda x: ~F.array_contains(taken, F.lower(name(x)))))
 
 
 def jaccard(a: Column, b: Column) -> Column:

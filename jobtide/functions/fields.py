@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .arrays import let
 from .numbers import SALARY_CEILING, SALARY_FLOOR
 from .text import strip_markdown_escapes, unescape_entities
 
@@ -136,27 +137,36 @@ def languages(d: Column) -> Column:
     The place of the n-th match of a pattern is the length of what splitting by it leaves before, and of the matches themselves;
     matches with diversity or greeting phrases within 200 characters do not count.
     """
-    found = []
-    for pattern, groups, level in LANGUAGES:
-        p = F.lit("(?iU)" + pattern)
-        whole, rest = F.regexp_extract_all(d, p, F.lit(0)), F.split(d, "(?iU)" + pattern, -1)
-        for g in groups:
-            langs = F.regexp_extract_all(d, p, F.lit(g))
-            levels = F.regexp_extract_all(d, p, F.lit(level)) if level else whole
-
-            def hit(w: Column, i: Column, langs=langs, levels=levels, whole=whole, rest=rest, level=level) -> Column:
-                size = lambda xs, n: F.aggregate(F.slice(xs, 1, n), F.lit(0), lambda a, x: a + F.length(x))
-                at = size(rest, i + 1) + size(whole, i)
-                start = F.greatest(F.lit(0), at - 200)
-                around = F.substring(d, start + 1, at + 200 - start)
-                name = _named(F.get(langs, i), LANGUAGE_NAMES, F.initcap(F.get(langs, i)))
-                rank = _named(F.get(levels, i), LEVEL_NAMES, F.upper(F.get(levels, i))) if level else F.lit("required")
-                return F.when(~around.rlike(BOILERPLATE), F.struct(name.alias("language"), F.array_position(F.array(*map(F.lit, LEVELS)), rank).cast("int").alias("rank")))
-
-            found.append(F.filter(F.transform(whole, hit), lambda x: x.isNotNull()))
-    every = F.concat(*found)
+    return let(F.concat(*[_mentions(d, p, g, level) for p, groups, level in LANGUAGES for g in groups]), _best_levels)
+
+
+def _mentions(d: Column, pattern: str, group: int, level: int) -> Column:
+    """ARRAY<STRUCT<language, rank>> of one group of one pattern."""
+    p = F.lit("(?iU)" + pattern)
+    size = lambda xs, n: F.aggregate(F.slice(xs, 1, n), F.lit(0), lambda a, x: a + F.length(x))
+    found = F.struct(
+        F.regexp_extract_all(d, p, F.lit(0)).alias("whole"), F.split(d, "(?iU)" + pattern, -1).alias("rest"), F.regexp_extract_all(d, p, F.lit(group)).alias("langs"),
+        (F.regexp_extract_all(d, p, F.lit(level)) if level else F.array().cast("array<string>")).alias("levels"),
+    )
+
+    def hits(m: Column) -> Column:
+        def hit(w: Column, i: Column) -> Column:
+            at = size(m["rest"], i + 1) + size(m["whole"], i)
+            start = F.greatest(F.lit(0), at - 200)
+            around = F.substring(d, start + 1, at + 200 - start)
+            name = _named(F.get(m["langs"], i), LANGUAGE_NAMES, F.initcap(F.get(m["langs"], i)))
+            rank = _named(F.get(m["levels"], i), LEVEL_NAMES, F.upper(F.get(m["levels"], i))) if level else F.lit("required")
+            return F.when(~around.rlike(BOILERPLATE), F.struct(name.alias("language"), F.array_position(F.array(*map(F.lit, LEVELS)), rank).cast("int").alias("rank")))
+
+        return F.filter(F.transform(m["whole"], hit), lambda x: x.isNotNull())
+
+    return let(found, hits)
+
+
+def _best_levels(every: Column) -> Column:
     names = F.array_sort(F.array_distinct(F.transform(every, lambda x: x["language"])))
-    return F.transform(names, lambda n: F.struct(n.alias("language"), F.element_at(F.array(*map(F.lit, LEVELS)), F.array_max(F.transform(F.filter(every, lambda x: x["language"] == n), lambda x: x["rank"]))).alias("level")))
+    best = lambda n: F.array_max(F.transform(F.filter(every, lambda x: x["language"] == n), lambda x: x["rank"]))
+    return F.transform(names, lambda n: F.struct(n.alias("language"), F.element_at(F.array(*map(F.lit, LEVELS)), best(n)).alias("level")))
 
 
 def regex_fields(description: Column, title: Column, *, unescape: bool = True) -> dict[str, Column]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.arrays import ci_distinct, ci_except
+from ..functions.arrays import ci_distinct, ci_except, first_of_each
 from ..functions.numbers import any_date
 from ..functions.text import SENTINELS, squeeze, strip, strip_four_escapes
 
@@ -120,9 +120,7 @@ def alias_skills(c: Column, aliases: Column) -> Column:
     """Evidence structs with canonical names (a literal map of lower-case aliases), the first of each name, sorted by name."""
     named = F.transform(c, lambda x: F.struct(F.coalesce(F.element_at(aliases, F.lower(strip(x["name"]))), strip(x["name"])).alias("name"), x["source"].alias("source")))
     named = F.filter(named, lambda x: x["name"] != "")
-    low = F.transform(named, lambda x: F.lower(x["name"]))
-    first = F.filter(F.transform(named, lambda x, i: F.when(F.array_position(low, F.lower(x["name"])) == i + 1, x)), lambda x: x.isNotNull())
-    return F.array_sort(first)
+    return F.array_sort(first_of_each(named, lambda x: F.lower(x["name"])))
 
 
 def reconcile(required: Column, optional: Column) -> Column:

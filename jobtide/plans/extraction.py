@@ -11,6 +11,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import let
 from ..functions.text import strip, truncate_description
 
 Extractor = Callable[[DataFrame], DataFrame]
@@ -45,26 +46,30 @@ def candidates(raw: Column) -> dict[str, Column]:
 
 def parse_response(raw: Column, max_tasks: int = MAX_TASKS) -> Column:
     """STRUCT<data, strategy, missing, truncated> of an answer; strategy 'failed' has NULL data."""
-    tries = candidates(raw)
+    short = F.length(strip(F.coalesce(raw, F.lit("")))) < MIN_ANSWER
+    tries = F.array(*[F.struct(F.lit(n).alias("strategy"), t.alias("text")) for n, t in candidates(raw).items()])
     is_object = lambda c: F.coalesce(F.try_parse_json(c).isNotNull() & c.startswith("{"), F.lit(False))
-    strategy = F.when(F.length(strip(F.coalesce(raw, F.lit("")))) < MIN_ANSWER, "failed")
-    picked = F.lit(None).cast("string")
-    for name, text in tries.items():
-        strategy = strategy.when(is_object(text), name)
-    strategy = strategy.otherwise("failed")
-    picked = F.coalesce(*[F.when(strategy == name, text) for name, text in tries.items()], picked)
-    for typo, name in TYPOS.items():
-        picked = F.replace(picked, F.lit(f'"{typo}"'), F.lit(f'"{name}"'))
-    data = F.from_json(picked, FIELDS)
-    named = lambda c: F.filter(F.coalesce(c, F.array().cast(EVIDENCE)), lambda x: strip(x["name"]) != "")
-    tasks = F.coalesce(data["tasks"], F.array().cast("array<string>"))
-    clean = F.struct(
-        data["job_family"].alias("job_family"), data["job_summary"].alias("job_summary"), named(data["technical_skills"]).alias("technical_skills"), named(data["nice_to_have_skills"]).alias("nice_to_have_skills"),
-        F.coalesce(data["soft_skills"], F.array().cast("array<string>")).alias("soft_skills"), named(data["benefits"]).alias("benefits"), F.slice(tasks, 1, max_tasks).alias("tasks"),
-    )
-    missing = F.array_compact(F.array(*[F.when(data[f].isNull(), f) for f in REQUIRED]))
-    ok = strategy != "failed"
-    return F.struct(F.when(ok, clean).alias("data"), strategy.alias("strategy"), F.when(ok, missing).alias("missing"), F.when(ok, F.size(tasks) > max_tasks).alias("truncated"))
+    picked = F.when(~short, F.get(F.filter(tries, lambda t: is_object(t["text"])), F.lit(0)))
+    none, strings = F.array().cast(EVIDENCE), F.array().cast("array<string>")
+
+    def read(pick: Column) -> Column:
+        text = pick["text"]
+        for typo, name in TYPOS.items():
+            text = F.replace(text, F.lit(f'"{typo}"'), F.lit(f'"{name}"'))
+        return let(F.struct(pick["strategy"].alias("strategy"), F.from_json(text, FIELDS).alias("data")), shape)
+
+    def shape(r: Column) -> Column:
+        data, ok = r["data"], r["strategy"].isNotNull()
+        named = lambda c: F.filter(F.coalesce(c, none), lambda x: strip(x["name"]) != "")
+        tasks = F.coalesce(data["tasks"], strings)
+        clean = F.struct(
+            data["job_family"].alias("job_family"), data["job_summary"].alias("job_summary"), named(data["technical_skills"]).alias("technical_skills"), named(data["nice_to_have_skills"]).alias("nice_to_have_skills"),
+            F.coalesce(data["soft_skills"], strings).alias("soft_skills"), named(data["benefits"]).alias("benefits"), F.slice(tasks, 1, max_tasks).alias("tasks"),
+        )
+        missing = F.array_compact(F.array(*[F.when(data[f].isNull(), f) for f in REQUIRED]))
+        return F.struct(F.when(ok, clean).alias("data"), F.coalesce(r["strategy"], F.lit("failed")).alias("strategy"), F.when(ok, missing).alias("missing"), F.when(ok, F.size(tasks) > max_tasks).alias("truncated"))
+
+    return let(picked, read)
 
 
 def replay(answers: DataFrame) -> Extractor:
