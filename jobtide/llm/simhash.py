@@ -129,6 +129,10 @@ def simhash_components(docs: DataFrame, *, words: int = WORDS) -> DataFrame:
 SIMILARITY = 0.8
 SHINGLE = 5
 BANDS, ROWS = 16, 4
+#: Members of a band up to this many are compared pair by pair; a larger band is compared with its hub.
+SMALL_BUCKET = 8
+#: Turns after which no band is split again. Each splits what is left of a band by one band more.
+MAX_TURNS = 16
 #: Candidate ids are broadcast up to this many (16 MB); beyond it the join shuffles.
 BROADCAST_IDS = 1 << 20
 _MIX = np.random.default_rng(20_240_229).integers(1, 2**63, (2, BANDS * ROWS), dtype="u8") | np.uint64(1)
@@ -207,9 +211,12 @@ def near_duplicate_groups(docs: DataFrame, *, words: int = SHINGLE, similarity:
 
     Links join documents whose sets of `words`-word shingles have a Jaccard similarity of `similarity` or
     more. Texts without words equal each other. Candidates are the members of a min-hash band and the
-    SimHash links. Each member of a band is compared with the band's smallest id; those that differ
-    from it form a band of their own and are compared again, until none is left. Rows that share a doc_id are
-    one document; rows without one are left out.
+    SimHash links. A small band is compared pair by pair. In a larger one each member is compared with the hub, the
+    member whose bands are fullest: of an original and its edited copies that is the original, which is near all of them
+    even where two copies are not near each other. Members that differ from the hub split by one more band and
+    are compared again, until bands are small or empty, so work stays linear in a band's size. Two documents of one
+    large group that are near each other, but to no hub and in no small band together, can stay unlinked. Rows that share a
+    doc_id are one document; rows without one are left out.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -231,18 +238,27 @@ def near_duplicate_groups(docs: DataFrame, *, words: int = SHINGLE, similarity:
     sets = scratch_table(rows.join(ids, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_sets(words), "id long, shingles binary"), "near-sets")
 
     links = [scratch_table(_verified(simhash_pairs, sets, similarity).filter("same").select("a", "b"), "near-links")]
-    left = members
-    while True:
-        first = scratch_table(left.groupBy("bucket").agg(F.min("id").alias("a")), "near-first")
-        pairs = left.join(first, "bucket").filter("id <> a").select("bucket", "a", F.col("id").alias("b"))
-        # bands repeat the same pairs: compare each once
-        once = scratch_table(_verified(pairs.select("a", "b").distinct().withColumn("bucket", F.lit(None).cast("long")), sets, similarity).select("a", "b", "same"), "near-once")
+    popular = scratch_table(members.join(shared, "bucket").groupBy("id").agg(F.sum("n").alias("pop")), "near-popular")
+    left = scratch_table(members.join(popular, "id"), "near-left")
+    for turn in range(MAX_TURNS):
+        sizes = scratch_table(left.groupBy("bucket").agg(F.count("*").alias("n"), F.max(F.struct("pop", F.bitwise_not("id").alias("low"))).alias("hub")).filter("n > 1"), "near-sizes")
+        sized = scratch_table(left.join(sizes.select("bucket", "n", F.bitwise_not(F.col("hub.low")).alias("hub")), "bucket"), "near-sized")
+        few = sized.filter(F.col("n") <= SMALL_BUCKET)
+        small = few.select("bucket", F.col("id").alias("a")).join(few.select("bucket", F.col("id").alias("b")), "bucket").filter("a < b").select("a", "b")
+        many = sized.filter((F.col("n") > SMALL_BUCKET) & (F.col("id") != F.col("hub")))
+        to_hub = many.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
+        pairs = small.unionAll(to_hub).distinct().withColumn("bucket", F.lit(None).cast("long"))
+        once = scratch_table(_verified(pairs, sets, similarity).select("a", "b", "same"), "near-once")
         links.append(scratch_table(once.filter("same").select("a", "b"), "near-links"))
-        rest = scratch_table(pairs.join(once.filter("NOT same").select("a", "b"), ["a", "b"], "left_semi").select("bucket", F.col("b").alias("id")), "near-rest")
-        release(first, once)
-        if rest.isEmpty():
-            break
+        apart = once.filter("NOT same").select("a", "b")
+        rest = many.withColumns({"a": F.least("id", "hub"), "b": F.greatest("id", "hub")}).join(apart, ["a", "b"], "left_semi").select("bucket", "id", "pop")
+        # what differs from the hub splits by one more band, so that sets of unlike documents fall apart
+        key = F.xxhash64("bucket", F.element_at("bands", F.pmod(F.xxhash64("bucket"), F.lit(BANDS)).cast("int") + 1), F.lit(turn))
+        rest = scratch_table(rest.join(sketch.select("id", "bands"), "id").select(key.alias("bucket"), "id", "pop").distinct(), "near-left")
+        release(left, sizes, sized, once)
         left = rest
+        if left.isEmpty():
+            break
     edges = links[0]
     for more in links[1:]:
         edges = edges.unionAll(more)
