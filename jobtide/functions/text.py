@@ -6,10 +6,12 @@ import html
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ..shipping import ship
+
 # Strings that mean "missing" (case matters).
 SENTINELS = ("", "nan", "NaN", "None", "none", "NA", "na", "N/A", "n/a", "null")
 # Entities that markup of postings uses, for a decoding that stays in the JVM.
@@ -39,11 +41,16 @@ def blank(c: Column) -> Column:
 
 
 @F.pandas_udf(StringType())
-def unescape_entities(s: pd.Series) -> pd.Series:
-    """All named and numeric entities; an Arrow batch at a time. Spark has no built-in for it."""
+def _unescape(s: pd.Series) -> pd.Series:
     return s.map(html.unescape, na_action="ignore")
 
 
+def unescape_entities(c: Column) -> Column:
+    """All named and numeric entities; an Arrow batch at a time. Spark has no built-in for it."""
+    ship(SparkSession.getActiveSession())
+    return _unescape(c)
+
+
 def decode_basic_entities(c: Column) -> Column:
     for entity, char in BASIC_ENTITIES:
         c = F.replace(c, F.lit(entity), F.lit(char))
