@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 #: Used only where the session names no shared folder, as in tests.
 LOCAL_SCRATCH = "file:///tmp/checkpoints"
 
@@ -54,7 +56,8 @@ def release(*tables: DataFrame) -> None:
 
 
 def bounded_batches(spark: SparkSession, rows: int = 1000, megabytes: int = 16) -> None:
-    """Keep Arrow batches small enough that long texts do not fill a Python worker."""
+    """Keep Arrow batches small enough that long texts do not fill a Python worker, and see that workers have this package."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{megabytes}m")
 

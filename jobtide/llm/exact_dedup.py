@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .common import scratch_table, text_or_empty
 
 #: Deleted before comparing: space and the ASCII controls from tab to carriage return.
@@ -156,6 +157,7 @@ def slab_bits_for(rows: int) -> int:
 def repeated_fingerprints(fingerprints: DataFrame, rows: int) -> DataFrame:
     """Of a column of 64-bit fingerprints, those that occur more than once: fp, copies."""
     slab_bits = slab_bits_for(rows)
+    ship(fingerprints.sparkSession)
     filters = fingerprints.mapInArrow(_build(slab_bits), "slab long, filter binary")
     return filters.groupBy("slab").applyInArrow(_merge(slab_bits), "fp long, copies long")
 
