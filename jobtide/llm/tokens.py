@@ -49,6 +49,17 @@ class TwoGenerations:
         self.new[key] = value
 
 
+_SIMPLE = re.compile(f" ?[{_LETTERS}]+\\Z")
+_PROBES = (" hello", "Straße", " queéirt", "thtiinor", " ñçø", "The", " a")
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1 for itself, the others from U+0100 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(rest)) for b in range(256)]
+
+
 _SHARED: dict[str | None, "Encoder"] = {}
 
 
@@ -62,27 +73,39 @@ def shared_encoder(path: str | None) -> "Encoder":
 class Encoder:
     """encode(texts) gives each text's ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str | None = None, words: int = 400_000, pieces: int = 300_000):
+    def __init__(self, path: str | None = None, words: int = 500_000, pieces: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or default_tokenizer())
         self.tokenizer.encode_special_tokens = True
+        self.tokenizer_model = self.tokenizer.model
         self.word_limit = words
         self.words: dict[str, bytes] = {}
         self.pieces = TwoGenerations(pieces)
+        self.letters, self.space = _byte_letters(), _byte_letters()[32]
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        # a piece of letters goes to the BPE itself where that is the same as the whole tokenizer, which is asked here
+        self.direct = False
+        self.direct = all(self._merge(p) == self._ids(p).tobytes() for p in _PROBES)
         newline = self._ids(_NEWLINE)
         self.newline = int(newline[0]) if len(newline) == 1 else None
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
+    def _merge(self, piece: str) -> bytes:
+        known = piece.replace(" ", self.space) if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+        return b"".join([self.packed[t.id] for t in self.tokenizer_model.tokenize(known)])
+
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         """Encode pieces that are not remembered, joined by newlines, whose id occurs in no other piece."""
         found: dict[str, bytes] = {}
         joined: list[str] = []
         for p in pieces:
-            if p[-1] in _WS_CHARS or self.newline is None:
+            if self.direct and _SIMPLE.match(p):
+                found[p] = self._merge(p)
+            elif p[-1] in _WS_CHARS or self.newline is None:
                 found[p] = self._ids(p).tobytes()
             else:
                 joined.append(p)
