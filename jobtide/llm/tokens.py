@@ -73,7 +73,7 @@ def shared_encoder(path: str | None) -> "Encoder":
 class Encoder:
     """encode(texts) gives each text's ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str | None = None, words: int = 500_000, pieces: int = 600_000):
+    def __init__(self, path: str | None = None, words: int = 200_000, pieces: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
