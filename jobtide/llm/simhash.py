@@ -129,10 +129,10 @@ def simhash_components(docs: DataFrame, *, words: int = WORDS) -> DataFrame:
 SIMILARITY = 0.8
 SHINGLE = 5
 BANDS, ROWS = 16, 4
-#: Members of a band up to this many are compared pair by pair; a larger band is compared with its hub.
+#: Members of a band up to this many are compared pair by pair; a larger band is compared with its hub first.
 SMALL_BUCKET = 8
-#: Turns after which no band is split again. Each splits what is left of a band by one band more.
-MAX_TURNS = 16
+#: Members, and bytes of shingle sets, of a block of a large band; each task compares two blocks.
+BLOCK_MEMBERS, BLOCK_BYTES = 1024, 16 << 20
 #: Candidate ids are broadcast up to this many (16 MB); beyond it the join shuffles.
 BROADCAST_IDS = 1 << 20
 _MIX = np.random.default_rng(20_240_229).integers(1, 2**63, (2, BANDS * ROWS), dtype="u8") | np.uint64(1)
@@ -159,7 +159,7 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
 
 
 _SKETCH = pa.schema([("id", pa.int64()), ("fp", pa.int64()), ("bands", pa.list_(pa.int64()))])
-_SETS = pa.schema([("id", pa.int64()), ("shingles", pa.binary())])
+_SETS = pa.schema([("id", pa.int64()), ("shingles", pa.binary()), ("digest", pa.binary())])
 
 
 def _sketch(words: int):
@@ -178,23 +178,70 @@ def _sketch(words: int):
 def _sets(words: int):
     def run(batches):
         for batch in batches:
-            yield record_batch(_SETS, {"id": batch.column(0), "shingles": [shingle_set(t, words).tobytes() for t in batch.column(1).to_pylist()]})
+            sets = [shingle_set(t, words).tobytes() for t in batch.column(1).to_pylist()]
+            yield record_batch(_SETS, {"id": batch.column(0), "shingles": sets, "digest": list(map(xxhash.xxh3_128_digest, sets))})
 
     return run
 
 
+def near(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) >= similarity * max(len(x), len(y)) else 0
+    whole = len(x) + len(y) - common
+    return not whole or common >= similarity * whole
+
+
 def _similar(similarity: float):
-    schema = pa.schema([("bucket", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("same", pa.bool_())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("same", pa.bool_())])
 
     def run(batches):
         for batch in batches:
-            same, last, left = [], None, None
-            for x, y in zip(batch.column(3), batch.column(4), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), "u8"), np.frombuffer(y.as_buffer(), "u8")
-                common = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) >= similarity * max(len(x), len(y)) else 0
-                whole = len(x) + len(y) - common
-                same.append(not whole or common >= similarity * whole)
-            yield record_batch(schema, {"bucket": batch.column(0), "a": batch.column(1), "b": batch.column(2), "same": same})
+            same = [near(np.frombuffer(x.as_buffer(), "u8"), np.frombuffer(y.as_buffer(), "u8"), similarity) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+            yield record_batch(schema, {"a": batch.column(0), "b": batch.column(1), "same": same})
+
+    return run
+
+
+def parity_sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of bits per set, the parity of its members at each bit: two rows differ in at most as many bits as the sets have unshared members."""
+    mean = sum(map(len, sets)) / max(1, len(sets))
+    width = min(max(9, int(4 * mean).bit_length()), 15)
+    rows = np.zeros((len(sets), 1 << width - 6), "u8")
+    for row, s in zip(rows, sets):
+        at = ((s * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - width)).astype("i8")
+        row[:] = np.packbits((np.bincount(at, minlength=1 << width) & 1).astype("u1"), bitorder="little").view("<u8")
+    return rows
+
+
+def links_between(sets: list[np.ndarray], labels: np.ndarray, left: np.ndarray, right: np.ndarray | None, similarity: float) -> list[tuple[int, int]]:
+    """Links that join the components of all similar pairs between `left` and `right` (within `left` without it), given what `labels` joins.
+
+    Every pair whose labels differ is tested: by sizes, by parity sketches (both exclude only pairs that cannot be similar), then on
+    the sets, nearest first. A link joins two labels, so later pairs of them need no test.
+    """
+    roots = np.unique(labels, return_inverse=True)[1]
+    sizes, bits = np.fromiter(map(len, sets), "i8", len(sets)), parity_sketches(sets)
+    share, found = (1 - similarity) / (1 + similarity), []
+    for k, i in enumerate(left.tolist()):
+        js = left[k + 1 :] if right is None else right
+        js = js[roots[js] != roots[i]]
+        js = js[np.minimum(sizes[js], sizes[i]) >= similarity * np.maximum(sizes[js], sizes[i])]
+        apart = np.bitwise_count(bits[js] ^ bits[i]).sum(axis=1, dtype="i8")
+        fit = apart <= share * (sizes[js] + sizes[i]) + 1e-6
+        for j in js[fit][np.argsort(apart[fit], kind="stable")].tolist():
+            if roots[i] != roots[j] and near(sets[i], sets[j], similarity):
+                found.append((i, j))
+                roots[roots == roots[j]] = roots[i]
+    return found
+
+
+def _compare_blocks(similarity: float):
+    def run(key, group):
+        low, high = key[1].as_py(), key[2].as_py()
+        ids, own, labels = (group.column(c).to_numpy() for c in ("id", "own", "label"))
+        sets = [np.frombuffer(x.as_buffer(), "u8") for x in group.column("shingles")]
+        left, right = np.flatnonzero(own == low), None if low == high else np.flatnonzero(own == high)
+        pairs = [sorted((ids[i], ids[j])) for i, j in links_between(sets, labels, left, right, similarity)]
+        return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
 
     return run
 
@@ -202,8 +249,41 @@ def _similar(similarity: float):
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    rows = pairs.select("bucket", "a", "b").join(left, "a").join(right, "b").select("bucket", "a", "b", "x", "y")
-    return rows.mapInArrow(_similar(similarity), "bucket long, a long, b long, same boolean")
+    rows = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    return rows.mapInArrow(_similar(similarity), "a long, b long, same boolean").filter("same").select("a", "b")
+
+
+def _joined(edges: list[DataFrame]) -> DataFrame:
+    whole = edges[0]
+    for more in edges[1:]:
+        whole = whole.unionAll(more)
+    return connected_components(whole)
+
+
+def _large_band_links(large: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links between members of a large band (columns bucket, id) that `nodes` leaves in different components.
+
+    The members of a band's most frequent component need no test among each other. They and the others make blocks;
+    each block of others meets every block, a pair of blocks in one task.
+    """
+    labels = nodes.select(F.col("a").alias("id"), F.col("b").alias("label"))
+    held = sets.select("id", F.length("shingles").alias("bytes"))
+    labelled = large.join(labels, "id", "left").join(held, "id").select("bucket", "id", "bytes", F.coalesce("label", "id").alias("label"))
+    labelled = scratch_table(labelled, "near-labelled")
+    parts = labelled.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    parts = parts.groupBy("bucket").agg(F.max(F.struct("n", "label", "bytes")).alias("main"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).filter("n > main.n")
+    blocks = lambda n, size: F.ceil(F.greatest(n / F.lit(BLOCK_MEMBERS), size / F.lit(BLOCK_BYTES))).cast("long")
+    parts = scratch_table(parts.select("bucket", F.col("main.label").alias("main"), blocks(F.col("main.n"), F.col("main.bytes")).alias("inner"), blocks(F.col("n") - F.col("main.n"), F.col("bytes") - F.col("main.bytes")).alias("outer")), "near-parts")
+    place = F.xxhash64("id", "bucket")
+    inside = F.col("label") == F.col("main")
+    own = F.when(inside, F.col("outer") + F.pmod(place, "inner")).otherwise(F.pmod(place, "outer"))
+    meets = F.explode(F.sequence(F.lit(0).cast("long"), F.when(inside, F.col("outer")).otherwise(F.col("outer") + F.col("inner")) - 1))
+    cells = labelled.join(parts, "bucket").select("bucket", "id", "label", own.alias("own"), meets.alias("other"))
+    cells = cells.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "label", "own")
+    rows = cells.join(sets.select("id", "shingles"), "id")
+    links = scratch_table(rows.groupBy("bucket", "low", "high").applyInArrow(_compare_blocks(similarity), "a long, b long"), "near-links")
+    release(labelled, parts)
+    return links
 
 
 def near_duplicate_groups(docs: DataFrame, *, words: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
@@ -211,12 +291,11 @@ def near_duplicate_groups(docs: DataFrame, *, words: int = SHINGLE, similarity:
 
     Links join documents whose sets of `words`-word shingles have a Jaccard similarity of `similarity` or
     more. Texts without words equal each other. Candidates are the members of a min-hash band and the
-    SimHash links. A small band is compared pair by pair. In a larger one each member is compared with the hub, the
-    member whose bands are fullest: of an original and its edited copies that is the original, which is near all of them
-    even where two copies are not near each other. Members that differ from the hub split by one more band and
-    are compared again, until bands are small or empty, so work stays linear in a band's size. Two documents of one
-    large group that are near each other, but to no hub and in no small band together, can stay unlinked. Rows that share a
-    doc_id are one document; rows without one are left out.
+    SimHash links. Equal sets are linked first and stand for each other. A small band is compared pair by pair. In a larger one each
+    member is compared with the hub, the member whose bands are fullest: of an original and its edited copies that is the
+    original, which is near most of them. Of what is not in one component by then every pair is tested, in blocks
+    (`_large_band_links`), so no pair of a band is left out. The work on such a rest is quadratic in its members, but a
+    pair costs some words of a bit sketch. Rows that share a doc_id are one document; rows without one are left out.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -225,7 +304,7 @@ def near_duplicate_groups(docs: DataFrame, *, words: int = SHINGLE, similarity:
     unique = sketch.groupBy("fp").agg(F.min("id").alias("id"))
     unique = scratch_table(unique, "near-unique")
     by_print = sketch.select("fp", F.col("id").alias("b")).join(unique.select("fp", F.col("id").alias("a")), "fp").filter("a <> b").select("a", "b")
-    simhash_pairs = fingerprint_links(unique).unionAll(by_print).distinct().withColumn("bucket", F.lit(None).cast("long"))
+    simhash_pairs = fingerprint_links(unique).unionAll(by_print).distinct()
 
     banded = sketch.select("id", F.explode("bands").alias("bucket"))
     shared = scratch_table(banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "near-shared")
@@ -235,34 +314,26 @@ def near_duplicate_groups(docs: DataFrame, *, words: int = SHINGLE, similarity:
     wanted = members.select("id").unionAll(simhash_pairs.select(F.col("a").alias("id"))).unionAll(simhash_pairs.select(F.col("b").alias("id"))).distinct()
     wanted = scratch_table(wanted, "near-wanted")
     ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    sets = scratch_table(rows.join(ids, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_sets(words), "id long, shingles binary"), "near-sets")
+    sets = scratch_table(rows.join(ids, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_sets(words), "id long, shingles binary, digest binary"), "near-sets")
+
+    first = scratch_table(sets.groupBy("digest").agg(F.min("id").alias("first")), "near-first")
+    copies = scratch_table(sets.select("id", "digest").join(first, "digest").filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")), "near-copies")
+    members = scratch_table(members.join(first.select(F.col("first").alias("id")), "id", "left_semi"), "near-distinct")
 
-    links = [scratch_table(_verified(simhash_pairs, sets, similarity).filter("same").select("a", "b"), "near-links")]
     popular = scratch_table(members.join(shared, "bucket").groupBy("id").agg(F.sum("n").alias("pop")), "near-popular")
-    left = scratch_table(members.join(popular, "id"), "near-left")
-    for turn in range(MAX_TURNS):
-        sizes = scratch_table(left.groupBy("bucket").agg(F.count("*").alias("n"), F.max(F.struct("pop", F.bitwise_not("id").alias("low"))).alias("hub")).filter("n > 1"), "near-sizes")
-        sized = scratch_table(left.join(sizes.select("bucket", "n", F.bitwise_not(F.col("hub.low")).alias("hub")), "bucket"), "near-sized")
-        few = sized.filter(F.col("n") <= SMALL_BUCKET)
-        small = few.select("bucket", F.col("id").alias("a")).join(few.select("bucket", F.col("id").alias("b")), "bucket").filter("a < b").select("a", "b")
-        many = sized.filter((F.col("n") > SMALL_BUCKET) & (F.col("id") != F.col("hub")))
-        to_hub = many.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
-        pairs = small.unionAll(to_hub).distinct().withColumn("bucket", F.lit(None).cast("long"))
-        once = scratch_table(_verified(pairs, sets, similarity).select("a", "b", "same"), "near-once")
-        links.append(scratch_table(once.filter("same").select("a", "b"), "near-links"))
-        apart = once.filter("NOT same").select("a", "b")
-        rest = many.withColumns({"a": F.least("id", "hub"), "b": F.greatest("id", "hub")}).join(apart, ["a", "b"], "left_semi").select("bucket", "id", "pop")
-        # what differs from the hub splits by one more band, so that sets of unlike documents fall apart
-        key = F.xxhash64("bucket", F.element_at("bands", F.pmod(F.xxhash64("bucket"), F.lit(BANDS)).cast("int") + 1), F.lit(turn))
-        rest = scratch_table(rest.join(sketch.select("id", "bands"), "id").select(key.alias("bucket"), "id", "pop").distinct(), "near-left")
-        release(left, sizes, sized, once)
-        left = rest
-        if left.isEmpty():
-            break
-    edges = links[0]
-    for more in links[1:]:
-        edges = edges.unionAll(more)
-    nodes = connected_components(edges)
+    known = scratch_table(members.join(popular, "id"), "near-known")
+    sizes = scratch_table(known.groupBy("bucket").agg(F.count("*").alias("n"), F.max(F.struct("pop", F.bitwise_not("id").alias("low"))).alias("hub")).filter("n > 1"), "near-sizes")
+    sized = scratch_table(known.join(sizes.select("bucket", "n", F.bitwise_not(F.col("hub.low")).alias("hub")), "bucket").select("bucket", "id", "n", "hub"), "near-sized")
+    few, many = sized.filter(F.col("n") <= SMALL_BUCKET), sized.filter(F.col("n") > SMALL_BUCKET)
+    small = few.select("bucket", F.col("id").alias("a")).join(few.select("bucket", F.col("id").alias("b")), "bucket").filter("a < b").select("a", "b")
+    to_hub = many.filter("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
+    pairs = small.unionAll(to_hub).unionAll(simhash_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
+    links = [copies, scratch_table(_verified(pairs, sets, similarity), "near-links")]
+    nodes = _joined(links)
+    if not many.isEmpty():
+        more = _large_band_links(many.select("bucket", "id"), nodes, sets, similarity)
+        if not more.isEmpty():
+            nodes = _joined([nodes, more])
     heads = nodes.select(F.col("b").alias("doc_id")).distinct()
     return nodes.select(F.col("a").alias("doc_id"), F.col("b").alias("group_id")).unionAll(heads.withColumn("group_id", F.col("doc_id")))
 

@@ -101,3 +101,27 @@ def test_near_duplicates_by_similarity(docs_frame):
     kept = [r.doc_id for r in simhash.drop_near_duplicates(docs_frame(rows)).collect()]
     assert sorted(kept, key=str) == sorted([k for k, c in want.items() if k == c] + [None], key=str)
     assert simhash.drop_near_duplicates(docs_frame([])).count() == 0
+
+
+def test_chained_edits_of_large_families_against_brute_force(docs_frame):
+    rng = random.Random(5)
+    rows = []
+    for family in range(2):
+        versions = [[f"f{family}w{rng.randrange(5000)}" for _ in range(200)]]
+        while len(versions) < 350:
+            copy = list(rng.choice(versions))
+            for at in rng.sample(range(200), 3):
+                copy[at] = f"x{rng.randrange(10**6)}"
+            versions.append(copy)
+        rows += [(1000 * family + i, " ".join(v)) for i, v in enumerate(versions)]
+    rows += [(5000 + i, rows[i][1].upper()) for i in range(20)]
+    sets = [set(shingles(t, 5)) for _, t in rows]
+    links = [(rows[i][0], rows[j][0]) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    want = classes([k for k, _ in rows], links)
+    got = {r.doc_id: r.group_id for r in simhash.near_duplicate_groups(docs_frame(rows).repartition(3)).collect()}
+    assert got == {k: c for k, c in want.items() if list(want.values()).count(c) > 1}
+
+
+def test_blocks_of_a_band_meet_each_other(docs_frame, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK_MEMBERS", 7)
+    test_chained_edits_of_large_families_against_brute_force(docs_frame)
