@@ -8,10 +8,11 @@ An item with fewer words than a window is one window of its own length.
 
 The automaton grows with the test items only. They are read in blocks of at most `block_chars` characters
 (measured before anything is collected), one automaton per block, and each block is one pass over
-the documents; ordinary test sets are one block. Documents are never shuffled with one block.
+the documents; ordinary test sets are one block. Spans and items of all passes travel with the uncut text and are
+merged at the end, so results do not depend on the number of blocks. Documents are never shuffled.
 
 Null and empty texts have no words and no hits, items without words give no windows, repeated items
-count as items of their own, repeated documents are rows of their own, an empty benchmark leaves every
+under other ids count as items of their own (an id counts once, as in the SQL), repeated documents are rows of their own, an empty benchmark leaves every
 document clean, other columns are passed on untouched by `remove_contamination`.
 """
 
@@ -169,37 +170,45 @@ def automata(benchmark: DataFrame, *, id_col: str = "item_id", text_col: str = "
         yield SuffixAutomaton([(r["item"], item_words(r["text"])) for r in part.toLocalIterator()], window)
 
 
-_REPORT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string()))])
+_HITS = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string()))])
+
+
+def merged(spans: list) -> list[tuple[int, int]]:
+    """Spans in order; those that overlap or touch are one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(map(tuple, spans)):
+        if out and out[-1][1] >= a:
+            a, b = out[-1][0], max(b, out.pop()[1])
+        out.append((a, b))
+    return out
 
 
 def _hits(shared):
+    """Adds a block's spans and items to those of the blocks before it."""
+
     def run(batches):
         automaton = shared.value
         for batch in batches:
-            out: dict[str, list] = {n: [] for n in _REPORT.names}
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            texts, n_words, all_spans, all_items = batch.column(1).to_pylist(), [], [], []
+            for text, spans_before, items_before in zip(texts, batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
                 n, spans, found = automaton.matches(_words(text))
-                out["doc_id"].append(key)
-                out["n_words"].append(n)
-                out["spans"].append([list(s) for s in spans])
-                out["items"].append(sorted(automaton.names[k] or "" for k in found))
-            yield record_batch(_REPORT, out)
+                n_words.append(n)
+                all_spans.append([list(s) for s in (merged([*spans_before, *spans]) if spans_before else spans)])
+                all_items.append(sorted({*items_before, *(automaton.names[k] or "" for k in found)}))
+            yield record_batch(_HITS, {"doc_id": batch.column(0), "text": batch.column(1), "n_words": n_words, "spans": all_spans, "items": all_items})
 
     return run
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Per document: doc_id, n_words, spans (word positions [a, b)), items (sorted), one row per document and block."""
+    """Per document: doc_id, n_words, spans (word positions [a, b)), items (sorted), one row per document."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    parts = [rows.mapInArrow(_hits(spark.sparkContext.broadcast(a)), "doc_id long, n_words long, spans array<array<long>>, items array<string>") for a in automata(benchmark, window=window, block_chars=block_chars)]
-    whole = parts[0]
-    if len(parts) > 1:
-        for p in parts[1:]:
-            whole = whole.unionByName(p)
-        whole = whole.groupBy("doc_id", "n_words").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return whole
+    nothing = [F.lit(0).cast("long").alias("n_words"), F.array().cast("array<array<long>>").alias("spans"), F.array().cast("array<string>").alias("items")]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), *nothing)
+    for automaton in automata(benchmark, window=window, block_chars=block_chars):
+        rows = rows.mapInArrow(_hits(spark.sparkContext.broadcast(automaton)), "doc_id long, text string, n_words long, spans array<array<long>>, items array<string>")
+    return rows.drop("text")
 
 
 def hit_words(spans):
@@ -244,29 +253,40 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, *, window: int =
     schema = docs.schema
     place = schema.names.index(text_col)
     length_at = schema.names.index(length_col) if length_col in schema.names else None
+    found = [spark.sparkContext.broadcast(a) for a in automata(benchmark, window=window, block_chars=block_chars)]
 
-    def clean(shared):
+    def clean(shared, last: bool):
         def run(batches):
             automaton = shared.value
             for batch in batches:
                 texts, keep, changed = batch.column(place).to_pylist(), [], False
+                before = batch.column(len(schema.names)).to_pylist()
                 for i, text in enumerate(texts):
                     n, spans, _ = automaton.matches(_words(text))
-                    keep.append(sum(b - a for a, b in spans) <= coverage * n)
-                    if spans and keep[-1]:
-                        texts[i] = cut_spans(text, spans)
-                        changed = True
+                    before[i] = merged([*before[i], *spans]) if before[i] else spans
+                    if last:
+                        keep.append(sum(b - a for a, b in before[i]) <= coverage * n)
+                        if before[i] and keep[-1]:
+                            texts[i] = cut_spans(text, before[i])
+                            changed = True
+                columns = list(batch.columns)
+                if not last:
+                    columns[-1] = pa.array([[list(s) for s in b] for b in before], batch.schema.field(len(columns) - 1).type)
+                    yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+                    continue
                 if changed:
-                    columns = list(batch.columns)
                     columns[place] = pa.array(texts, batch.schema.field(place).type)
                     if length_at is not None:
                         sizes = [len(t) if t is not None and len(t) != len(w or "") else s for s, t, w in zip(batch.column(length_at).to_pylist(), texts, batch.column(place).to_pylist())]
                         columns[length_at] = pa.array(sizes, batch.schema.field(length_at).type)
-                    batch = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
-                yield batch.filter(pa.array(keep))
+                whole = pa.RecordBatch.from_arrays(columns[:-1], names=batch.schema.names[:-1])
+                yield whole.filter(pa.array(keep, pa.bool_()))
 
         return run
 
-    for automaton in automata(benchmark, window=window, block_chars=block_chars):
-        docs = docs.mapInArrow(clean(spark.sparkContext.broadcast(automaton)), schema)
-    return docs
+    # spans of all blocks are gathered on the uncut text, in a last column that the last pass takes off
+    docs = docs.select("*", F.array().cast("array<array<long>>").alias("_spans"))
+    with_spans = docs.schema
+    for shared in found[:-1]:
+        docs = docs.mapInArrow(clean(shared, False), with_spans)
+    return docs.mapInArrow(clean(found[-1], True), schema)

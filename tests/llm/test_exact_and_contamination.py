@@ -76,3 +76,20 @@ def test_removal_keeps_clean_documents_and_cuts_spans(spark, docs_frame):
     assert set(got) == {1, 2, 4, 5} and got[1].text == long and got[4].text is None
     assert got[2].text == long + "! " + long and got[2].n_chars == len(got[2].text)
     assert decontaminate.remove_contamination(docs_frame(rows), benchmark.limit(0)).count() == 5
+
+
+def test_results_do_not_depend_on_blocks(spark, docs_frame):
+    rng = random.Random(7)
+    words = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    items = [(i, words(12)) for i in range(12)] + [(3, words(12))]
+    rows = [(1, " ".join([items[0][1], words(8), items[1][1], words(8)]))]  # 60 % covered, by two items
+    rows += [(2, items[2][1] + " " + words(40)), (2, items[2][1] + " " + words(40)), (3, items[3][1] + " " + items[12][1] + " " + words(90))]
+    # the end and the start of an item on both sides of another one: not together before the cut
+    rows.append((4, words(90) + " " + " ".join(items[4][1].split()[:6]) + " " + items[5][1] + " " + " ".join(items[4][1].split()[6:]) + " " + words(9)))
+    rows += [(5, words(30)), (6, None)]
+    docs = docs_frame([(i, t, "en", "s", len(t or "")) for i, t in rows]).repartition(2)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    report = lambda n: sorted(tuple(r) for r in decontaminate.contamination_digest(decontaminate.contamination_report(docs, benchmark, block_chars=n)).collect())
+    clean = lambda n: sorted((r.doc_id, r.text or "", r.n_chars) for r in decontaminate.remove_contamination(docs, benchmark, block_chars=n).collect())
+    assert report(60) == report(10**6) and len(report(60)) == len(rows)
+    assert clean(60) == clean(10**6) and [r[0] for r in clean(60)] == [2, 2, 3, 4, 5, 6]
