@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +62,17 @@ def bounded_batches(spark: SparkSession, rows: int = 1000, megabytes: int = 16)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{megabytes}m")
 
 
+_WORKER: dict[str, object] = {}
+
+
+def worker_cache(name: str, make: Callable[[], object]):
+    """What a Python worker keeps between its tasks: one thing at a time, so memory of an earlier stage is given back by the next one."""
+    if name not in _WORKER:
+        _WORKER.clear()
+        _WORKER[name] = make()
+    return _WORKER[name]
+
+
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -4,11 +4,14 @@ import zlib
 import numpy as np
 import pytest
 
-from jobtide.llm import packing, token_store
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from jobtide.llm import packing, token_store, tokens
 from jobtide.llm.common import scratch_path
 from jobtide.llm.tokens import Encoder
 
-ODD = ["", " ", "  a", "a  b", " \n x\n \ny", "a\n b", "don't we'll 12.5x  \t\tz ", "é à b c", "x" * 3000, "<|endoftext|> a", "²a b²c 12² Ⅷ", "a \n\n b \n", "日本語 テスト。 abc", "\x1c a\x1d\x1eb", "\x85 a", "a\0 b"]
+ODD = ["", " ", "  a", "a  b", " \n x\n \ny", "a\n b", "don't we'll 12.5x  \t\tz ", "é à b c", "x" * 3000, "<|endoftext|> a", "a <|endoftext|>  b<|endoftext|><|endoftext|> é", "日<|endoftext|> 日", "it's 's ''s \n've x'll'd", "²a b²c 12² Ⅷ", "a \n\n b \n", "日本語 テスト。 abc", "\x1c a\x1d\x1eb", "\x85 a", "a\0 b"]
 
 
 def crc(ids):
@@ -17,17 +20,32 @@ def crc(ids):
 
 @pytest.fixture(scope="module")
 def plain():
-    tokenizer = Encoder().tokenizer
+    """The plain call on a tokenizer that nothing else has touched."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     return lambda t: tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
-def test_encoder_equals_tokenizer_on_whole_texts(plain):
+@pytest.mark.parametrize("letters", [" \n\t'aébs.,!%1²日\x85\xa0  \x1cdon", " \n''strevelmd.ß1½\xa0\x85", "".join(map(chr, range(1, 0x240))) + " \n's" * 50, " \n\u0240\u0300é\u3000\u4e2d\U0001f600a"])
+def test_encoder_equals_tokenizer_on_whole_texts(plain, letters):
     rng = random.Random(5)
-    texts = ODD + ["".join(rng.choice(" \n\t'aébs.,!%1²日\x85\xa0  \x1cdon") for _ in range(rng.randint(1, 40))) for _ in range(2000)]
-    for text, raw in zip(texts, Encoder(words=50, pieces=50).encode(texts)):
+    texts = ODD + ["".join(rng.choice(letters) for _ in range(rng.randint(1, 40))) for _ in range(2000)]
+    for text, raw in zip(texts, Encoder(pieces=50).encode(texts), strict=True):
         assert np.frombuffer(raw, "<u4").tolist() == plain(text), repr(text)
 
 
+def test_encoder_cuts_long_texts_where_the_tokenizer_does(plain, monkeypatch):
+    monkeypatch.setattr(tokens, "SECTION", 30)
+    text = " ".join(ODD) * 3
+    assert [np.frombuffer(x, "<u4").tolist() for x in Encoder().encode([text, "", "a b", text])] == [plain(t) for t in (text, "", "a b", text)]
+
+
+def test_encoder_of_another_tokenizer_is_the_plain_call():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    for text, raw in zip(ODD, Encoder(path).encode(ODD), strict=True):
+        assert np.frombuffer(raw, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("bits", [False, True])
 def test_planes_round_trip(bits):
     rng = np.random.default_rng(1)
