@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from itertools import product
 
 from jobtide.llm import pii
@@ -46,6 +47,49 @@ def test_gender_script_and_coreference():
     assert Surrogates(b"other").surname("Schmidt") != surname and Surrogates(b"key").surname("Schmidt") == surname
 
 
+def test_listed_and_other_first_names_never_meet():
+    from string import ascii_lowercase
+
+    own = Surrogates(b"query key")
+    names = ["".join((a.upper(), b, c, d)) for a in "nprs" for b in "aeiou" for c in ascii_lowercase for d in "aeiou"]
+    names += [n for listed in pii.FIRST_NAMES.values() for n in listed]
+    names = sorted(set(names))
+    moved = [own.first_name(n) for n in names]
+    assert len(set(moved)) == len(names)
+    assert len({own.replace("person", f"{n} Miller") for n in names}) == len(names)
+    new, _ = pseudonymise("Dr Isabel Miller met Dr Peya Miller and Dr ISABEL MILLER", own)
+    first, second = re.findall(r"Dr (\S+ \S+)", new)[:2]
+    assert first != second and first.upper() in new
+
+
+def test_nothing_stays_in_clear_text():
+    for kind, text in [("email", "用户@例子.com"), ("email", "İlker@x.com"), ("email", "weißhaus@ﬀ.com"), ("email", "हिन्दी@उदाहरण.com"), ("secret", "!!!!????"), ("secret", "ـــــ"), ("person", "李明"), ("person", "Ørsted Åse"), ("ip6", "2001:db8::8a2e:370:7334")]:
+        moved = S.replace(kind, text)
+        assert moved != text and moved == Surrogates(b"key").replace(kind, text) and not any(w in moved for w in re.findall(r"[^\W\d_]{3,}", text) if w != "com"), text
+    for letters in ("ابتثجح", "åæøß", "ЂЃЄ", "ŒœŁł", "漢字仮"):
+        words = ["".join(p) for p in product(letters, repeat=3)]
+        assert len({S.shape("k", w) for w in words}) == len(words), letters
+    assert [k for _, _, k in find_entities("from 2001:db8::8a2e:370:7334 at 12:30:45 in a::b std::dec")] == ["ip6"]
+
+
+def test_spellings_of_a_number_stay_one():
+    digits = {re.sub(r"\D", "", S.replace("phone", t)) for t in ("+49 30 1234567", "+4930 1234567", "+49 (30) 123-4567")}
+    assert len(digits) == 1 and S.replace("phone", "+49 30 1234567").startswith("+49 ") and S.replace("phone", "+353 1 1234567").startswith("+353 ")
+
+
+def test_a_clash_takes_a_code():
+    clash = Surrogates(b"k")
+    clash.email = lambda text: "same@example.com"
+    assert [clash.replace("email", "a@b.com"), clash.replace("email", "A@b.com")] == ["same@example.com"] * 2 and clash.replace("email", "c@b.com").startswith("email-")
+
+
+def test_hostile_texts_end_quickly():
+    began = time.process_time()
+    for text in ("a" * 1_000_000 + " @ x", "a@" + "b.1" * 200_000, "1 " * 300_000, "token = " * 100_000, "a@b.com " * 20_000, "Mr A" + "-A" * 300_000, ":" * 300_000 + "::1", "1:" * 300_000):
+        pseudonymise(text, S)
+    assert time.process_time() - began < 60
+
+
 def test_documents(docs_frame):
     rng = random.Random(1)
     rows = [(i, f"x{rng.randrange(40)}@h{rng.randrange(9)}.example.com wrote {rng.randrange(10**15, 10**16)} from {rng.randrange(256)}.1.2.{rng.randrange(256)}") for i in range(300)]
@@ -59,4 +103,6 @@ def test_documents(docs_frame):
         assert by[i].kinds == "card:1,email:1,ip:1" and not any(w in by[i].text.split() for w in text.split() if w not in ("wrote", "from"))
     emails = {(t.split()[0], by[i].text.split()[0]) for i, t in rows[:300]}
     assert len({a for a, _ in emails}) == len({b for _, b in emails}) == len(emails)
+    clashing = docs.withColumn("kinds", docs.text).withColumn("n_entities", docs.doc_id).withColumn("kind", docs.text)
+    assert sorted(map(str, pii.replace_personal_data(clashing, "secret").collect())) == sorted(map(str, got))
     assert pii.surrogate_collisions(docs, "secret").count() == 0 and pii.replace_personal_data(docs.limit(0), "k").count() == 0
