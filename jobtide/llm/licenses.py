@@ -1,13 +1,15 @@
 """Licence scans by sentence rules, with DataFrame functions only.
 
-A text is cut into sentences; each is normalised (ASCII lower case, every run of other characters than letters
-and digits one space) and looked up among the known licence sentences. A sentence that is unknown but speaks of a
-licence is UNKNOWN, other sentences have no identifier. The identifiers in text order form a sequence such as
+A text is cut into sentences at their ends, at blank lines and at a colon that ends a line; each is normalised (ASCII lower case,
+every run of other characters than letters and digits one space, so that line breaks of wrapped texts and the signs of comment blocks
+vanish) and looked up among the known licence sentences. A sentence that is not known is looked up line by line, as
+references often stand on a line of their own; a line that is unknown but speaks of a
+licence is UNKNOWN, other lines have no identifier. The identifiers in text order form a sequence such as
 `,MIT-GRANT,MIT-NOTICE,`; ordered rules are matched against it, and what a rule matches is taken out, so that a full
 licence text is not reported again as its parts, and several licences in one text are all found.
 
-Texts without a trigger word are never cut. Null and empty texts have no licence. Repeated rows are rows of their
-own. Everything is a projection: no shuffle, no Python on executors.
+Texts without a trigger word are never cut. Null and empty texts have no licence, very long texts are read whole. Repeated rows are rows of their
+own, other columns are ignored, an empty table gives no rows. Everything is a projection: no shuffle, no Python on executors.
 """
 
 from __future__ import annotations
@@ -18,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TRIGGER = r"(?i)licen[cs]|copyright|permission|redistribut|warrant|public domain|spdx|neither the name|free software|under (?:a )?cc by|rights reserved|in no event shall|either version|subject to the terms"
-CUT = r"[.!?;]+[^0-9A-Za-z\s]*(?:\s+|$)|[\r\n]+"
+#: Sentence ends, colons at a line's end, and lines that are blank but for the signs of a comment block.
+CUT = r"[.!?;]+[^0-9A-Za-z\s]*(?:\s+|$)|:[ \t]*\n|\n[ \t]*(?:[#*/;%-]+[ \t]*)?\n"
 UNKNOWN = "UNKNOWN"
 
 # Identifiers and wordings of licence sentences, as the public licence texts have them.
@@ -27,17 +30,26 @@ SENTENCES: list[tuple[str, str]] = [
     ("MIT-NOTICE", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
     ("AS-IS-MIT", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."),
     ("LIABILITY-MIT", "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("MIT-TITLE", "MIT License"),
+    ("MIT-TITLE", "The MIT License"),
+    ("MIT-TITLE", "The MIT License (MIT)"),
+    ("ISC-TITLE", "ISC License"),
+    ("BSD3-TITLE", "BSD 3-Clause License"),
+    ("BSD2-TITLE", "BSD 2-Clause License"),
     ("ISC-GRANT", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("BSD-REDIST", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
     ("BSD-SOURCE", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
-    ("BSD-SOURCE", "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
     ("BSD-BINARY", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
-    ("BSD-BINARY", "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
     ("BSD-ENDORSE", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
-    ("BSD-ENDORSE", "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
     ("APACHE-HEAD", "Licensed under the Apache License, Version 2.0 (the \"License\")"),
     ("APACHE-COMPLY", "you may not use this file except in compliance with the License."),
     ("APACHE-COPY", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("APACHE-COPY", "You may obtain a copy of the License at"),
+    ("APACHE-URL", "http://www.apache.org/licenses/LICENSE-2.0"),
+    ("APACHE-URL", "https://www.apache.org/licenses/LICENSE-2.0"),
+    ("APACHE-TITLE", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("APACHE-TITLE", "Apache License, Version 2.0"),
+    ("APACHE-DEFINITION", "\"License\" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document."),
     ("APACHE-ASIS", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
     ("APACHE-REF", "Licensed under the Apache License, Version 2.0."),
     ("APACHE-REF", "Licensed under the Apache License 2.0"),
@@ -62,6 +74,12 @@ SENTENCES: list[tuple[str, str]] = [
     ("GPL-ANY-2", "either version 2 of the License, or (at your option) any later version."),
     ("GPL-HOPE", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY"),
     ("GPL-DETAILS", "See the GNU General Public License for more details."),
+    ("GPL3-TITLE", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL2-TITLE", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("LGPL3-TITLE", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL21-TITLE", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("AGPL3-TITLE", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("MPL2-TITLE", "Mozilla Public License Version 2.0"),
     ("MPL2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("MPL2", "Licensed under the Mozilla Public License, version 2.0."),
     ("UNLICENSE", "This is free and unencumbered software released into the public domain."),
@@ -76,12 +94,19 @@ CC_LEADS = ("Licensed under", "Released under", "This work is licensed under", "
 
 # Ordered rules, licence and identifier sequence.
 RULES: list[tuple[str, str]] = [
-    ("MIT", ",MIT-GRANT,MIT-NOTICE(?:,AS-IS-MIT)?(?:,LIABILITY-MIT)?"),
-    ("ISC", ",ISC-GRANT"),
-    ("BSD-3-Clause", ",BSD-REDIST,BSD-SOURCE,BSD-BINARY,BSD-ENDORSE"),
-    ("BSD-2-Clause", ",BSD-REDIST,BSD-SOURCE,BSD-BINARY"),
-    ("Apache-2.0", ",APACHE-HEAD,APACHE-COMPLY(?:,APACHE-COPY)?(?:,APACHE-ASIS)?"),
-    ("Apache-2.0", ",APACHE-(?:REF|HEAD)"),
+    ("Apache-2.0", ",APACHE-TITLE(?:,UNKNOWN|,APACHE-DEFINITION|,APACHE-HEAD|,APACHE-COMPLY|,APACHE-COPY|,APACHE-URL|,APACHE-ASIS)*"),
+    ("GPL-3.0-only", ",GPL3-TITLE(?:,UNKNOWN|,GPL-FREE-3|,GPL-HOPE|,GPL-DETAILS)*"),
+    ("GPL-2.0-only", ",GPL2-TITLE(?:,UNKNOWN|,GPL-FREE-2|,GPL-ANY-2|,GPL-HOPE|,GPL-DETAILS)*"),
+    ("LGPL-3.0-only", ",LGPL3-TITLE(?:,UNKNOWN)*"),
+    ("LGPL-2.1-only", ",LGPL21-TITLE(?:,UNKNOWN)*"),
+    ("AGPL-3.0-only", ",AGPL3-TITLE(?:,UNKNOWN)*"),
+    ("MPL-2.0", ",MPL2-TITLE(?:,UNKNOWN|,MPL2)*"),
+    ("MIT", "(?:,MIT-TITLE)?(?:,RESERVED)?,MIT-GRANT,MIT-NOTICE(?:,AS-IS-MIT)?(?:,LIABILITY-MIT)?"),
+    ("ISC", "(?:,ISC-TITLE)?,ISC-GRANT|,ISC-TITLE"),
+    ("BSD-3-Clause", "(?:,BSD3-TITLE)?(?:,RESERVED)?,BSD-REDIST,BSD-SOURCE,BSD-BINARY,BSD-ENDORSE"),
+    ("BSD-2-Clause", "(?:,BSD2-TITLE)?(?:,RESERVED)?,BSD-REDIST,BSD-SOURCE,BSD-BINARY"),
+    ("Apache-2.0", ",APACHE-HEAD,APACHE-COMPLY(?:,APACHE-COPY)?(?:,APACHE-URL)?(?:,APACHE-ASIS)?"),
+    ("Apache-2.0", ",APACHE-(?:REF|HEAD|URL)"),
     ("GPL-3.0-or-later", ",GPL-FREE-3(?:,GPL-HOPE)?(?:,GPL-DETAILS)?"),
     ("GPL-2.0-or-later", ",GPL-FREE-2,GPL-ANY-2(?:,GPL-HOPE)?(?:,GPL-DETAILS)?"),
     ("GPL-2.0-only", ",GPL-FREE-2(?:,GPL-HOPE)?(?:,GPL-DETAILS)?|,GPL2-REF"),
@@ -89,9 +114,9 @@ RULES: list[tuple[str, str]] = [
     ("LGPL-3.0-only", ",LGPL3-REF"),
     ("LGPL-2.1-only", ",LGPL21-REF"),
     ("AGPL-3.0-only", ",AGPL3-REF"),
-    ("MIT", ",MIT-REF|,MIT-GRANT|,AS-IS-MIT,LIABILITY-MIT"),
-    ("BSD-3-Clause", ",BSD3-REF"),
-    ("BSD-2-Clause", ",BSD2-REF"),
+    ("MIT", ",MIT-REF|,MIT-TITLE|,MIT-GRANT|,AS-IS-MIT,LIABILITY-MIT"),
+    ("BSD-3-Clause", ",BSD3-REF|,BSD3-TITLE"),
+    ("BSD-2-Clause", ",BSD2-REF|,BSD2-TITLE"),
     ("MPL-2.0", ",MPL2"),
     ("Unlicense", ",UNLICENSE"),
     ("public-domain", ",PUBLIC-DOMAIN"),
@@ -126,9 +151,16 @@ def all_rules() -> list[tuple[str, str]]:
 
 def _sentence_ids(text: Column) -> Column:
     known = F.create_map(*[F.lit(x) for pair in known_sentences().items() for x in pair])
-    normalised = F.transform(F.split(text, CUT), lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    named = F.transform(normalised, lambda s: F.coalesce(F.element_at(known, s), F.when(s.rlike("licen[cs]e"), F.lit(UNKNOWN))))
-    return F.filter(named, lambda x: x.isNotNull())
+    normalised = lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))
+    of_line = lambda s: F.coalesce(F.element_at(known, s), F.when(s.rlike("licen[cs]e"), F.lit(UNKNOWN)))
+
+    def of_sentence(sentence: Column) -> Column:
+        whole = F.element_at(known, normalised(sentence))
+        lines = F.transform(F.split(sentence, "\n"), lambda line: of_line(normalised(line)))
+        return F.when(whole.isNotNull(), F.array(whole)).otherwise(lines)
+
+    sentences = F.split(F.regexp_replace(text, "\r\n?", "\n"), CUT)
+    return F.filter(F.flatten(F.transform(sentences, of_sentence)), lambda x: x.isNotNull())
 
 
 def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -158,10 +190,15 @@ def oracle_sql() -> str:
     return f"""
         WITH RECURSIVE known(s, id) AS (VALUES {known}),
         rules(k, name, pattern) AS (VALUES {rules}),
-        cut AS (SELECT doc_id, string_split_regex(coalesce(text, ''), '{CUT.replace("(?:", "(?:")}') AS parts FROM documents WHERE regexp_matches(coalesce(text, ''), '{TRIGGER}')),
-        sentences AS (SELECT doc_id, i, trim(regexp_replace(lower(parts[i]), '[^a-z0-9]+', ' ', 'g')) AS s FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM cut)),
-        named AS (SELECT doc_id, i, coalesce(known.id, CASE WHEN regexp_matches(sentences.s, 'licen[cs]e') THEN '{UNKNOWN}' END) AS id FROM sentences LEFT JOIN known ON sentences.s = known.s),
-        ids AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY i) AS ids FROM named WHERE id IS NOT NULL GROUP BY doc_id),
+        cut AS (SELECT doc_id, string_split_regex(regexp_replace(coalesce(text, ''), '\\r\\n?', chr(10), 'g'), '{CUT}') AS parts FROM documents WHERE regexp_matches(coalesce(text, ''), '{TRIGGER}')),
+        sentences AS (SELECT doc_id, i, parts[i] AS part, trim(regexp_replace(lower(parts[i]), '[^a-z0-9]+', ' ', 'g')) AS s FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM cut)),
+        whole AS (SELECT sentences.*, known.id FROM sentences LEFT JOIN known ON sentences.s = known.s),
+        lines AS (SELECT doc_id, i, j, trim(regexp_replace(lower(parts[j]), '[^a-z0-9]+', ' ', 'g')) AS s FROM (SELECT doc_id, i, parts, unnest(range(1, len(parts) + 1)) AS j FROM (SELECT doc_id, i, string_split(part, chr(10)) AS parts FROM whole WHERE id IS NULL))),
+        named AS (
+            SELECT doc_id, i, 0 AS j, id FROM whole WHERE id IS NOT NULL
+            UNION ALL
+            SELECT doc_id, i, j, coalesce(known.id, CASE WHEN regexp_matches(lines.s, 'licen[cs]e') THEN '{UNKNOWN}' END) AS id FROM lines LEFT JOIN known ON lines.s = known.s),
+        ids AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY i, j) AS ids FROM named WHERE id IS NOT NULL GROUP BY doc_id),
         steps(doc_id, k, rest, found) AS (
             SELECT doc_id, 0, ',' || ids || ',', CAST([] AS VARCHAR[]) FROM ids
             UNION ALL
