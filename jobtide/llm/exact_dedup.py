@@ -13,7 +13,8 @@
 
 Null text counts as empty; empty texts are equal to each other. Repeated rows (same doc_id, same
 text) belong to one group, and all copies of the row that stays are marked kept. A null doc_id is
-allowed and stays only where no other id has as many code points. An empty table gives no rows.
+allowed and stays only where no other id has as many code points. Very long texts are hashed whole. Columns of other names are
+ignored by `exact_duplicates` and kept by `drop_exact_duplicates`, whatever they are called. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -162,6 +163,21 @@ def repeated_fingerprints(fingerprints: DataFrame, rows: int) -> DataFrame:
     return filters.groupBy("slab").applyInArrow(_merge(slab_bits), "fp long, copies long")
 
 
+#: Groups are broadcast up to this many rows (about 20 MB). Beyond it those of `HOT` rows or more are, of which there is at most one
+#: in every `HOT` rows, and the others are joined by a shuffle in which no key has as many rows.
+BROADCAST_ROWS = 1 << 18
+HOT = 1_000_000
+
+
+def _join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, how: str = "inner") -> DataFrame:
+    """`rows` with the columns of `groups`, which has one row per key and the key's number of rows in `size`; no hot key meets in one task."""
+    if groups.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(groups), keys, how)
+    hot = F.broadcast(groups.filter(F.col(size) >= HOT))
+    others = rows.join(hot.select(*keys), keys, "left_anti").join(groups.filter(F.col(size) < HOT), keys, how)
+    return rows.join(hot, keys).unionByName(others)
+
+
 def exact_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, code_points."""
     normal = F.regexp_replace(text_or_empty(text_col), SPACE_CHARS, "")
@@ -169,27 +185,23 @@ def exact_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     narrow = scratch_table(texts.select("doc_id", "code_points", F.unhex(F.sha2("norm", 256)).alias("sha"), F.xxhash64("norm").alias("fp")), "exact-narrow")
     repeated = scratch_table(repeated_fingerprints(narrow.select("fp"), narrow.count()), "exact-repeated")
 
-    routed = texts.select("norm", F.xxhash64("norm").alias("fp")).join(repeated.select("fp"), "fp")
+    routed = _join_groups(texts.select("norm", F.xxhash64("norm").alias("fp")), repeated, ["fp"], "copies")
     verified = routed.groupBy("fp", "norm").agg(F.count("*").alias("group_size")).filter("group_size > 1")
     groups = scratch_table(verified.select("fp", F.unhex(F.sha2("norm", 256)).alias("sha"), "group_size"), "exact-verified")
 
     # the most code points, then the smallest id: the complement of an id falls as the id rises
     best = F.max(F.struct("code_points", F.bitwise_not(F.col("doc_id").cast("long")).alias("low")))
-    members = narrow.join(groups, ["fp", "sha"])
+    members = _join_groups(narrow, groups, ["fp", "sha"], "group_size")
     keepers = scratch_table(members.groupBy("fp", "sha").agg(best.alias("best"), F.max("group_size").alias("group_size")), "exact-keepers")
 
     alone = F.col("group_size").isNull()
     keep_id = F.when(alone, F.col("doc_id")).otherwise(F.bitwise_not(F.col("best.low")))
     kept = alone | (F.col("doc_id").eqNullSafe(keep_id) & (F.col("code_points") == F.col("best.code_points")))
-    return narrow.join(keepers, ["fp", "sha"], "left").select(
+    return _join_groups(narrow, keepers, ["fp", "sha"], "group_size", "left").select(
         "doc_id", keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), kept.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), "code_points"
     )
 
 
-#: Verdicts are broadcast up to this many rows; beyond it the join shuffles.
-BROADCAST_ROWS = 1 << 18
-
-
 def drop_exact_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with their columns; of rows repeated with id and text, one."""
     verdicts = scratch_table(exact_duplicates(docs, id_col=id_col, text_col=text_col), "exact-verdicts")

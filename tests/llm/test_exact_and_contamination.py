@@ -36,6 +36,20 @@ def test_exact_duplicates_against_brute_force(docs_frame):
     assert exact_dedup.exact_duplicates(docs_frame([])).count() == 0
 
 
+def test_hot_groups_are_joined_apart(docs_frame, monkeypatch):
+    rows = [(i, f"t {i % 9}" if i % 3 else "hot copy") for i in range(200)] + [(900, None), (901, ""), (902, "alone")]
+    docs = docs_frame(rows).repartition(3)
+    read = lambda: sorted(map(str, exact_dedup.exact_duplicates(docs).collect()))
+    kept = lambda: sorted(r.doc_id for r in exact_dedup.drop_exact_duplicates(docs).collect())
+    want, stay = read(), kept()
+    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(exact_dedup, "HOT", 50)
+    assert read() == want and kept() == stay and len(stay) == 1 + 6 + 1 + 1
+    clashing = docs.withColumn("sha", docs.text).withColumn("norm", docs.text).withColumn("fp", docs.doc_id).withColumn("group_size", docs.text).withColumn("v", docs.text)
+    assert sorted(map(str, exact_dedup.exact_duplicates(clashing).collect())) == want
+    assert sorted(r.doc_id for r in exact_dedup.drop_exact_duplicates(clashing).collect()) == stay
+
+
 def brute(texts, items, window=10):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
     windows = defaultdict(set)
