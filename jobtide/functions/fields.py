@@ -43,6 +43,7 @@ SENIORITY = [
     ("Tech Lead", "Lead"), ("Team Lead", "Lead"), ("Teamlead", "Lead"), ("Teamleiter", "Lead"), ("Lead", "Lead"), ("Senior", "Senior"), ("Junior", "Junior"), ("Trainee", "Junior"), ("Werkstudent", "Junior"),
     ("Werkstudentin", "Junior"), ("Intern", "Junior"), ("Praktikant", "Junior"), ("Praktikantin", "Junior"),
 ]
+# Patterns of pay, experience and languages, and the names of levels.
 _AMOUNT = r"(\d{1,3}(?:\.\d{3})*)(?:,\d{2})?\s*"
 _MONEY = r"(?:€|EUR|Euro)"
 SALARY_RANGE = rf"(?iU){_AMOUNT}{_MONEY}?\s*(?:bis|to|-|–|und|bis\s+zu)\s*{_AMOUNT}{_MONEY}"
@@ -67,6 +68,8 @@ LANGUAGES = [
 ]
 LANGUAGE_NAMES = {"english": "English", "englisch": "English", "deutsch": "German", "german": "German", "französisch": "French", "francösisch": "French", "french": "French"}
 LEVEL_NAMES = {"fließend": "B2+", "fluent": "B2+", "verhandlungssicher": "C1+", "muttersprachlich": "C2", "native": "C2"}
+#: What every pattern of a language holds; texts without it are not searched further.
+LANGUAGE_SIGN = "(?iU)deutsch|englisch|fran[cç]ösisch|german|english|french"
 LEVELS = ("required", "A1", "A2", "B1", "B2", "B2+", "C1", "C1+", "C2")
 BOILERPLATE = r"(?iU)equal\s+opportunity|diversity|inclusive|chancengleichheit|vielfalt|diskriminierung|unabhängig\s+von|regardless\s+of|freuen\s+uns\s+auf\s+(?:Ihre|deine|alle)\b|welcome\s+applications?\b"
 
@@ -96,25 +99,42 @@ def _amount(text: Column, pattern: str, group: int) -> Column:
     return F.replace(F.regexp_extract(text, pattern, group), F.lit("."), F.lit("")).try_cast("int")
 
 
-def _salary_context(d: Column, pattern: str) -> Column:
-    """The first match stands apart from head counts and monthly pay by 50 characters."""
-    at, size = F.regexp_instr(d, F.lit(pattern)), F.length(F.regexp_substr(d, F.lit(pattern)))
+def _salary_context(d: Column, found: Column) -> Column:
+    """The first match, whose text is `found`, stands apart from head counts and monthly pay by 50 characters."""
+    at, size = F.instr(d, found), F.length(found)
     start = F.greatest(F.lit(1), at - 50)
     return ~F.substring(d, start, at + size + 50 - start).rlike(NOT_SALARY)
 
 
 def salary_range(d: Column) -> Column:
-    """STRUCT<low, high> by four patterns in turn, each judged by its first match; NULLs if none holds."""
+    """STRUCT<low, high> by four patterns in turn, each judged by its first match; NULLs if none holds.
+
+    Texts without a sign of euros are not searched; each pattern is searched once, and its groups are read from the match.
+    """
+    none = F.struct(F.lit(None).cast("int").alias("low"), F.lit(None).cast("int").alias("high"))
+    return F.when(d.rlike("(?i)€|eur"), _salary_of(d)).otherwise(none)
+
+
+def _salary_of(d: Column) -> Column:
+    found = F.struct(*[F.regexp_substr(d, F.lit(p)).alias(n) for n, p in (("range", SALARY_RANGE), ("one", SALARY_SINGLE))], *[F.regexp_substr(d, F.lit(p)).alias(n) for n, p in (("k_range", SALARY_K_RANGE), ("k_one", SALARY_K_SINGLE))])
+
+    def numbers(m: Column) -> Column:
+        return F.struct(
+            m.alias("m"), _amount(m["range"], SALARY_RANGE, 1).alias("lo"), _amount(m["range"], SALARY_RANGE, 2).alias("hi"), _amount(m["one"], SALARY_SINGLE, 1).alias("one"),
+            (_amount(m["k_range"], SALARY_K_RANGE, 1) * 1000).alias("klo"), (_amount(m["k_range"], SALARY_K_RANGE, 2) * 1000).alias("khi"), (_amount(m["k_one"], SALARY_K_SINGLE, 1) * 1000).alias("kone"),
+        )
+
+    return let(found, lambda m: let(numbers(m), lambda v: _salary_choice(d, v)))
+
+
+def _salary_choice(d: Column, v: Column) -> Column:
     inside = lambda v: v.between(SALARY_FLOOR, SALARY_CEILING)
     pair = lambda lo, hi: F.struct(lo.alias("low"), hi.cast("int").alias("high"))
-    lo, hi = _amount(d, SALARY_RANGE, 1), _amount(d, SALARY_RANGE, 2)
-    one = _amount(d, SALARY_SINGLE, 1)
-    klo, khi = _amount(d, SALARY_K_RANGE, 1) * 1000, _amount(d, SALARY_K_RANGE, 2) * 1000
-    kone = _amount(d, SALARY_K_SINGLE, 1) * 1000
+    lo, hi, one, klo, khi, kone = (v[n] for n in ("lo", "hi", "one", "klo", "khi", "kone"))
     none = F.lit(None).cast("int")
     return (
-        F.when(inside(lo) & inside(hi) & (lo <= hi) & _salary_context(d, SALARY_RANGE), pair(lo, hi))
-        .when(inside(one) & _salary_context(d, SALARY_SINGLE), pair(one, none))
+        F.when(inside(lo) & inside(hi) & (lo <= hi) & _salary_context(d, v["m"]["range"]), pair(lo, hi))
+        .when(inside(one) & _salary_context(d, v["m"]["one"]), pair(one, none))
         .when(inside(klo) & inside(khi) & (klo <= khi), pair(klo, khi))
         .when(inside(kone), pair(kone, none))
         .otherwise(pair(none, none))
@@ -137,30 +157,31 @@ def languages(d: Column) -> Column:
     The place of the n-th match of a pattern is the length of what splitting by it leaves before, and of the matches themselves;
     matches with diversity or greeting phrases within 200 characters do not count.
     """
-    return let(F.concat(*[_mentions(d, p, g, level) for p, groups, level in LANGUAGES for g in groups]), _best_levels)
+    none = F.array().cast("array<struct<language:string,level:string>>")
+    return F.when(d.rlike(LANGUAGE_SIGN), let(F.concat(*[_mentions(d, p, g, level) for p, groups, level in LANGUAGES for g in groups]), _best_levels)).otherwise(none)
 
 
 def _mentions(d: Column, pattern: str, group: int, level: int) -> Column:
     """ARRAY<STRUCT<language, rank>> of one group of one pattern."""
     p = F.lit("(?iU)" + pattern)
     size = lambda xs, n: F.aggregate(F.slice(xs, 1, n), F.lit(0), lambda a, x: a + F.length(x))
-    found = F.struct(
-        F.regexp_extract_all(d, p, F.lit(0)).alias("whole"), F.split(d, "(?iU)" + pattern, -1).alias("rest"), F.regexp_extract_all(d, p, F.lit(group)).alias("langs"),
-        (F.regexp_extract_all(d, p, F.lit(level)) if level else F.array().cast("array<string>")).alias("levels"),
-    )
+    # a group of a match is read from the match itself
+    found = F.struct(F.regexp_extract_all(d, p, F.lit(0)).alias("whole"), F.split(d, "(?iU)" + pattern, -1).alias("rest"))
 
     def hits(m: Column) -> Column:
         def hit(w: Column, i: Column) -> Column:
             at = size(m["rest"], i + 1) + size(m["whole"], i)
             start = F.greatest(F.lit(0), at - 200)
             around = F.substring(d, start + 1, at + 200 - start)
-            name = _named(F.get(m["langs"], i), LANGUAGE_NAMES, F.initcap(F.get(m["langs"], i)))
-            rank = _named(F.get(m["levels"], i), LEVEL_NAMES, F.upper(F.get(m["levels"], i))) if level else F.lit("required")
+            lang, own = F.regexp_extract(w, "(?iU)" + pattern, group), F.regexp_extract(w, "(?iU)" + pattern, level) if level else None
+            name = _named(lang, LANGUAGE_NAMES, F.initcap(lang))
+            rank = _named(own, LEVEL_NAMES, F.upper(own)) if level else F.lit("required")
             return F.when(~around.rlike(BOILERPLATE), F.struct(name.alias("language"), F.array_position(F.array(*map(F.lit, LEVELS)), rank).cast("int").alias("rank")))
 
         return F.filter(F.transform(m["whole"], hit), lambda x: x.isNotNull())
 
-    return let(found, hits)
+    nothing = F.array().cast("array<struct<language:string,rank:int>>")
+    return F.when(d.rlike("(?iU)" + pattern), let(found, hits)).otherwise(nothing)
 
 
 def _best_levels(every: Column) -> Column:

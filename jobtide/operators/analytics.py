@@ -75,8 +75,8 @@ def _unpivot(cells: DataFrame, names: Sequence[str], name: str, value: str, key:
     return cells.select(key, F.inline(pairs_))
 
 
-def required_vs_optional(df: DataFrame, required: str, optional: str, n: int = 20, n_optional: int = 200) -> DataFrame:
-    """item, required, optional and the required share, for the n most required; optional counts are looked up among the first n_optional."""
+def required_vs_optional(df: DataFrame, required: str, optional: str, n: int = 20, n_optional: int | None = None) -> DataFrame:
+    """item, required, optional and the required share, for the n most required. With n_optional, optional counts are looked up among that many first ones only, and others count as 0."""
     req, opt = skill_counts(df, required, n).withColumnRenamed("n", "required"), skill_counts(df, optional, n_optional).withColumnRenamed("n", "optional")
     joined = req.join(opt, "item", "left").fillna(0, ["optional"])
     return joined.withColumn("ratio", F.round(F.col("required") / F.greatest(F.col("required") + F.col("optional"), F.lit(1)), 4))
@@ -131,11 +131,12 @@ def per_period(df: DataFrame, date: str, unit: str = "month") -> DataFrame:
 
 def category_by_group(df: DataFrame, column: str, group: str, n_groups: int = 10) -> DataFrame:
     """Percentage of rows of the most frequent groups whose list holds each category; every category of those rows, zeros too."""
-    groups = [r["value"] for r in counts(df, group, n_groups).collect()]
-    rows = df.filter(F.col(group).isin(*groups)) if groups else df.limit(0)
-    categories = sorted(r["c"] for r in rows.select(F.explode(column).alias("c")).distinct().collect() if r["c"])
-    cells = rows.groupBy(F.col(group).alias("grp")).agg(*([F.round(F.avg(F.coalesce(F.array_contains(column, c), F.lit(False)).cast("int")) * 100, 4).alias(str(k)) for k, c in enumerate(categories)] or [F.count("*").alias("0")]))
-    return _unpivot(cells, categories, "category", "pct")
+    chosen = counts(df, group, n_groups, name="grp").withColumnRenamed("n", "rows")
+    rows = df.select(F.col(group).alias("grp"), F.array_distinct(column).alias("cats")).join(F.broadcast(chosen.select("grp")), "grp")
+    hits = rows.select("grp", F.explode("cats").alias("category")).filter("category IS NOT NULL AND category <> ''").groupBy("grp", "category").agg(F.count("*").alias("hits"))
+    # every category with each of the n_groups groups
+    cells = hits.select("category").distinct().crossJoin(F.broadcast(chosen)).join(hits, ["grp", "category"], "left")
+    return cells.select("grp", "category", F.round(F.coalesce("hits", F.lit(0)) / F.col("rows") * 100, 4).alias("pct"))
 
 
 def overlap_matrix(df: DataFrame, role: str, column: str, n: int = 25) -> DataFrame:

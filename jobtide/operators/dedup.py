@@ -8,18 +8,21 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import casing_score, description_hash, strip
 
 
 def keep_first(df: DataFrame, keys: list, *order) -> DataFrame:
-    """The first row of each key in the given order. NULL keys are equal."""
-    names = [f"_k{i}" for i in range(len(keys))]
-    keyed = df.withColumns(dict(zip(names, [F.col(k) if isinstance(k, str) else k for k in keys])))
-    first = F.row_number().over(Window.partitionBy(*names).orderBy(*order))
-    return keyed.withColumn("_n", first).filter("_n = 1").drop("_n", *names)
+    """The row of each key with the smallest order. NULL keys are equal.
+
+    Tasks keep one row per key before anything is shuffled, so a hot key (NULL included) costs a row per task. Keys are hashed to 128 bits.
+    """
+    values = [F.col(k) if isinstance(k, str) else k for k in keys]
+    text = F.to_json(F.struct(*[v.cast("string").alias(str(i)) for i, v in enumerate(values)]), {"ignoreNullFields": "false"})
+    first = F.min_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), F.struct(*[(F.col(o) if isinstance(o, str) else o).alias(str(i)) for i, o in enumerate(order)]))
+    return df.groupBy(F.unhex(F.md5(text)).alias("key")).agg(first.alias("row")).select("row.*")
 
 
 def dedup_urls(df: DataFrame, url: str = "job_url", order: str = "_ord") -> DataFrame:
@@ -29,7 +32,7 @@ def dedup_urls(df: DataFrame, url: str = "job_url", order: str = "_ord") -> Data
 def dedup_composite(df: DataFrame, title: str = "title", company: str = "company_name", location: str = "location", order: str = "_ord") -> DataFrame:
     """One row per lower-case, stripped title, company and location: the best-cased company, then the first."""
     key = lambda c: F.lower(strip(F.col(c)))
-    return keep_first(df, [key(title), key(company), key(location)], F.desc(casing_score(F.col(company))), order)
+    return keep_first(df, [key(title), key(company), key(location)], -casing_score(F.col(company)), order)
 
 
 def dedup_rows(df: DataFrame, *, title: str = "title_cleaned", url: str = "job_url", company: str = "company_name", location: str = "location", order: str = "_ord") -> DataFrame:
@@ -66,6 +69,8 @@ def spread_value(df: DataFrame, group: str, column: str, is_rep: str) -> DataFra
 
 def _shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return (named or "file:///tmp/checkpoints").rstrip("/")
 
 

@@ -508,9 +508,9 @@ def clean_html(spark, d):
     return read(spark, d, "pages").select("page_id", F.sha2(text.clean_html(F.col("html"), all_entities=False), 256).alias("sha"))
 
 
-@query(r"""SELECT doc_id, sha256(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '//+', ' ', 'g'), '(^|[^CF])#', '\1 ', 'g'), '(^|[^CF])#', '\1 ', 'g'), '[*]+', ' ', 'g')) AS sha FROM documents WHERE NOT contains(text, '|')""")
+@query(r"""SELECT doc_id, sha256(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '//+', ' ', 'g'), '(^|[^CF])#', '\1 ', 'g'), '(^|[^CF])#', '\1 ', 'g'), '[*]+', ' ', 'g'), '[|\\~`]', ' ', 'g')) AS sha FROM documents""")
 def clean_special_chars(spark, d):
-    return read(spark, d, "documents").filter(~F.col("text").contains("|")).select("doc_id", F.sha2(text.clean_special_chars(F.col("text")), 256).alias("sha"))
+    return read(spark, d, "documents").select("doc_id", F.sha2(text.clean_special_chars(F.col("text")), 256).alias("sha"))
 
 
 @query(r"SELECT doc_id, sha256(trim(regexp_replace(regexp_replace(text, '[ \t]{2,}', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')) AS sha FROM documents")
