@@ -75,3 +75,47 @@ def length_report(df: DataFrame, text: str, company: str) -> DataFrame:
     """Lengths and companies of an input in one pass."""
     n = F.length(text)
     return df.agg(F.count("*").alias("rows"), F.min(n).cast("long").alias("shortest"), F.max(n).cast("long").alias("longest"), F.round(F.avg(n), 2).alias("mean"), F.percentile(n, 0.5).alias("median"), F.countDistinct(company).alias("companies"))
+
+
+# The fields that are compared with a labelled set.
+CATEGORICAL_FIELDS = ("contract_type", "work_modality", "seniority")
+NUMERIC_FIELDS = ("salary_min", "salary_max", "experience_years")
+LIST_FIELDS = ("technical_skills", "soft_skills", "nice_to_have_skills", "benefits", "tasks")
+
+
+def golden_join(results: DataFrame, golden: DataFrame, fields: Sequence[str], *, tier1: DataFrame | None = None, id_col: str = "row_id") -> DataFrame:
+    """Rows of both sides: id, g_<field>, p_<field>. The fields of `tier1` replace those of the results for its rows, NULLs too."""
+    prefixed = lambda df, mark: df.select(id_col, *[F.col(f).alias(mark + f) for f in fields if f in df.columns])
+    joined = prefixed(golden, "g_").join(prefixed(results, "p_"), id_col)
+    if tier1 is None:
+        return joined
+    joined = joined.join(prefixed(tier1, "t_").withColumn("_hit", F.lit(True)), id_col, "left")
+    over = {f"p_{f}": F.when(F.col("_hit"), F.col(f"t_{f}")).otherwise(F.col(f"p_{f}") if f"p_{f}" in joined.columns else F.lit(None)) for f in fields if f in tier1.columns}
+    return joined.withColumns(over).drop("_hit", *[f"t_{f}" for f in fields])
+
+
+def evaluate(results: DataFrame, golden: DataFrame, *, tier1: DataFrame | None = None, id_col: str = "row_id", categoricals: Sequence[str] = CATEGORICAL_FIELDS, numerics: Sequence[str] = NUMERIC_FIELDS, lists: Sequence[str] = LIST_FIELDS, tolerance: float = 0.1) -> DataFrame:
+    """field, kind, n, exact, close, jaccard, precision, recall over the rows that both sides have: one join, one pass."""
+    rows = golden_join(results, golden, [*categoricals, *numerics, *lists], tier1=tier1, id_col=id_col)
+    cells: list[tuple[str, str, dict[str, Column]]] = []
+    for f in categoricals:
+        cells.append((f, "categorical", {"exact": F.count_if(F.col(f"g_{f}").eqNullSafe(F.col(f"p_{f}")))}))
+    for f in numerics:
+        g, p = F.col(f"g_{f}"), F.col(f"p_{f}")
+        exact = g.eqNullSafe(p)
+        cells.append((f, "numeric", {"exact": F.count_if(exact), "close": F.count_if(exact | F.coalesce((g != 0) & (F.abs(p - g) <= F.abs(g) * tolerance), F.lit(False)))}))
+    low = lambda c: F.array_distinct(F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), F.lower))
+    for f in lists:
+        g, p = low(f"g_{f}"), low(f"p_{f}")
+        common, none = F.size(F.array_intersect(g, p)), (F.size(g) == 0) & (F.size(p) == 0)
+        share = lambda of, none=none, common=common: F.round(F.avg(F.when(none, 1.0).when(F.size(of) == 0, 0.0).otherwise(common / F.greatest(F.size(of), F.lit(1)))), 4)
+        cells.append((f, "list", {"jaccard": F.round(F.avg(jaccard(g, p)), 4), "precision": share(p), "recall": share(g)}))
+    counted = rows.agg(F.count("*").alias("n"), *[c.alias(f"{k}_{m}") for k, (_, _, ms) in enumerate(cells) for m, c in ms.items()])
+    kinds = {"exact": "long", "close": "long", "jaccard": "double", "precision": "double", "recall": "double"}
+    made = [F.struct(F.lit(f).alias("field"), F.lit(kind).alias("kind"), F.col("n"), *[(F.col(f"{k}_{m}") if m in ms else F.lit(None)).cast(t).alias(m) for m, t in kinds.items()]) for k, (f, kind, ms) in enumerate(cells)]
+    return counted.select(F.inline(F.array(*made)))
+
+
+def token_usage(answers: DataFrame, tokens_in: str = "tokens_in", tokens_out: str = "tokens_out") -> DataFrame:
+    """Totals and price of a table of answers; rows without counts count as none."""
+    return token_cost(answers, F.coalesce(F.col(tokens_in), F.lit(0)), F.coalesce(F.col(tokens_out), F.lit(0)))

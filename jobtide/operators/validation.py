@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -152,3 +154,71 @@ def normalise_list(c: Column) -> Column:
 def latest(df: DataFrame, key: str, *order) -> DataFrame:
     """The last row of each key."""
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter("_n = 1").drop("_n")
+
+
+# ------------------------------------------------------------ all validators in their order
+
+SKILL_FIELDS = ("technical_skills", "nice_to_have_skills")
+SKILL_RULES = ("skill_not_in_description", "high_hallucination_rate")
+_EVIDENCE = "array<struct<name:string,source:string>>"
+
+
+def literal_map(values: Mapping[str, str | Sequence[str]], kind: str) -> Column:
+    """A bounded dictionary as a literal, keys in lower case."""
+    cells = [x for k, v in values.items() for x in (F.lit(k.lower()), F.lit(v) if isinstance(v, str) else F.array(*[F.lit(s.lower()) for s in v]))]
+    return F.create_map(*cells) if cells else F.create_map().cast(f"map<string,{kind}>")
+
+
+def item_verdict(item: Column, text: Column, variants: Column) -> Column:
+    """source_verified, name_verified or unverified."""
+    spellings = F.coalesce(F.element_at(variants, F.lower(item["name"])), F.array().cast("array<string>"))
+    return F.when(source_grounded(item["source"], text), "source_verified").when(skill_grounded(item["name"], text, spellings), "name_verified").otherwise("unverified")
+
+
+def _skill_flags(field: str, names: Column, total: Column, share: float) -> Column:
+    each = F.transform(names, lambda n: _flag(field, SKILL_RULES[0], "warning", F.concat(F.lit("'"), n, F.lit("' not found in description"))))
+    many = F.when(F.size(names) > total * share, _flag(field, SKILL_RULES[1], "error", f"more than {share:.0%} of {field} not found in description"))
+    return F.concat(each, F.array_compact(F.array(many)))
+
+
+def run_validators(df: DataFrame, *, aliases: Mapping[str, str] | None = None, variants: Mapping[str, Sequence[str]] | None = None, share: float = UNVERIFIED_SHARE, text: str = "description", title: str = "title_cleaned", prefix: str = "regex_") -> DataFrame:
+    """Skill lists (evidence structs) checked in this order: names through aliases, each once, sorted, optional ones without the required
+    ones; verdicts by source and name; ungrounded items go; lists become names beside *_evidence; flags across fields; pay;
+    truncated texts and lists (columns was_truncated and list_truncated, where there are any). Flags of all steps
+    are in validation_flags, in that order. NULL lists count as empty."""
+    known, spelt = literal_map(aliases or {}, "string"), literal_map(variants or {}, "array<string>")
+    body = F.coalesce(F.col(text), F.lit(""))
+    full = lambda c: F.coalesce(F.col(c), F.array().cast(_EVIDENCE))
+    out = df.withColumns({f: alias_skills(full(f), known) for f in SKILL_FIELDS})
+    out = out.withColumn(SKILL_FIELDS[1], reconcile(F.col(SKILL_FIELDS[0]), F.col(SKILL_FIELDS[1])))
+    if "soft_skills" in df.columns:
+        out = out.withColumn("soft_skills", soft_skills(F.coalesce("soft_skills", F.array().cast("array<string>"))))
+    judged = lambda f: F.transform(F.col(f), lambda x: F.struct(x.alias("item"), item_verdict(x, body, spelt).alias("verdict")))
+    out = out.withColumns({f"_{f}": judged(f) for f in SKILL_FIELDS})
+    lost = lambda f: F.transform(F.filter(F.col(f"_{f}"), lambda v: v["verdict"] == "unverified"), lambda v: v["item"]["name"])
+    flags = [_skill_flags(f, lost(f), F.size(f"_{f}"), share) for f in SKILL_FIELDS]
+    out = out.withColumns({f"{f}_evidence": F.transform(F.filter(F.col(f"_{f}"), lambda v: v["verdict"] != "unverified"), lambda v: v["item"]) for f in SKILL_FIELDS} | {"_skill_flags": F.concat(*flags)})
+    if "benefits" in df.columns and df.schema["benefits"].dataType.simpleString().startswith("array<struct"):
+        out = out.withColumn("benefits_evidence", full("benefits")).withColumn("benefits", F.transform(full("benefits"), lambda x: x["name"]))
+    out = out.withColumns({f: F.transform(f"{f}_evidence", lambda x: x["name"]) for f in SKILL_FIELDS})
+    of = lambda name, kind="string": F.col(prefix + name) if prefix + name in df.columns else F.lit(None).cast(kind)
+    more = [
+        cross_field_flags(title=F.col(title), description=F.col(text), contract=of("contract_type"), modality=of("work_modality"), years=of("experience_years", "int"), skills=F.col("technical_skills"), title_seniority=of("seniority_from_title")),
+        salary_flags(of("salary_min", "int"), of("salary_max", "int")),
+    ]
+    for column, field, rule in (("was_truncated", text, "description_truncated"), ("list_truncated", "tasks", "list_truncated")):
+        if column in df.columns:
+            more.append(F.array_compact(F.array(F.when(F.col(column), _flag(field, rule, "info", f"{field} was cut")))))
+    return out.withColumn("validation_flags", F.concat("_skill_flags", *more)).drop("_skill_flags", *[f"_{f}" for f in SKILL_FIELDS])
+
+
+def reverify_skills(df: DataFrame, *, variants: Mapping[str, Sequence[str]] | None = None, text: str = "description", flags: str = "validation_flags", fields: Sequence[str] = SKILL_FIELDS) -> DataFrame:
+    """After cleaning: flags of skills are made anew from the names as they are now, all other flags stay in front of them."""
+    spelt, body = literal_map(variants or {}, "array<string>"), F.coalesce(F.col(text), F.lit(""))
+    kept = F.filter(F.coalesce(F.col(flags), F.array().cast(f"array<{FLAG}>")), lambda x: ~x["rule"].isin(*SKILL_RULES))
+
+    def fresh(field: str) -> Column:
+        names = F.filter(F.coalesce(F.col(field), F.array().cast("array<string>")), lambda n: ~skill_grounded(n, body, F.coalesce(F.element_at(spelt, F.lower(n)), F.array().cast("array<string>"))))
+        return F.transform(names, lambda n: _flag(field, SKILL_RULES[0], "warning", F.concat(F.lit("'"), n, F.lit("' not found in description (post-clean check)"))))
+
+    return df.withColumn(flags, F.concat(kept, *[fresh(f) for f in fields if f in df.columns]))

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import let
 from ..functions.text import strip, truncate_description
+from ..shipping import ship
+from ..sources.io import exists
 
 Extractor = Callable[[DataFrame], DataFrame]
 EVIDENCE = "array<struct<name:string,source:string>>"
@@ -96,3 +98,71 @@ def extract(rows: DataFrame, done: DataFrame | None, extractor: Extractor) -> Da
     todo = rows if done is None else rows.join(done.select("row_id"), "row_id", "left_anti")
     fresh = extractor(todo).select("row_id", parse_response(F.col("raw")).alias("parsed"))
     return fresh if done is None else fresh.unionByName(done.select("row_id", "parsed"))
+
+
+def parse_summary(found: DataFrame) -> DataFrame:
+    """strategy, n: how the answers could be read."""
+    return found.groupBy(F.col("parsed.strategy").alias("strategy")).agg(F.count("*").alias("n"))
+
+
+def failures(found: DataFrame) -> DataFrame:
+    """row_id of answers that could not be read in any way."""
+    return found.filter("parsed.data IS NULL").select("row_id", F.col("parsed.strategy").alias("strategy"))
+
+
+def remote(call: Callable[[str, str], tuple[str, int, int]], *, attempts: int = 3, pause: float = 1.0, may_repeat: Callable[[Exception], bool] = lambda e: getattr(e, "status", 0) == 429 or getattr(e, "status", 0) >= 500) -> Extractor:
+    """`call(title, description)` gives (answer, tokens in, tokens out). Overload and server errors are tried again after 1, 2, 4 ... pauses;
+    what still fails is an empty answer with the error beside it, so one row never ends the job."""
+
+    def run(batches):
+        import time
+
+        import pyarrow as pa
+
+        for batch in batches:
+            rows: list[tuple] = []
+            for key, title, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                answer, tokens, error = "", (0, 0), None
+                for k in range(attempts):
+                    try:
+                        answer, *tokens = call(title or "", text or "")
+                        error = None
+                        break
+                    except Exception as e:  # any failure of the service is a result of the row
+                        error = f"{type(e).__name__}: {e}"
+                        if not may_repeat(e):
+                            break
+                        if k + 1 < attempts:
+                            time.sleep(pause * 2**k)
+                rows.append((key, answer, *tokens, error))
+            columns = list(zip(*rows)) if rows else [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()))], names=["row_id", "raw", "tokens_in", "tokens_out", "error"])
+
+    def extractor(rows: DataFrame) -> DataFrame:
+        ship(rows.sparkSession)
+        return rows.select("row_id", "title", "description").mapInArrow(run, "row_id string, raw string, tokens_in long, tokens_out long, error string")
+
+    return extractor
+
+
+def extract_resumable(rows: DataFrame, path: str, extractor: Extractor, *, attempts: int = 3, batches: int = 1) -> DataFrame:
+    """row_id, parsed, attempt: the best answer of each row, from the store at `path` and from calls for rows that lack one.
+
+    Each batch of rows is committed to the store before the next is begun, so a run that was stopped goes on with what is
+    missing. Rows that failed are tried again up to `attempts` times over all runs. Earlier answers are never lost.
+    """
+    spark = rows.sparkSession
+    for _ in range(attempts):
+        todo = rows.withColumn("_n", F.lit(1))
+        if exists(spark, path):
+            seen = spark.read.parquet(path).groupBy("row_id").agg(F.max("attempt").alias("_n"), F.max(F.col("parsed.data").isNotNull()).alias("_ok"))
+            todo = rows.join(seen, "row_id", "left").filter(~F.coalesce("_ok", F.lit(False)) & (F.coalesce("_n", F.lit(0)) < attempts)).drop("_ok").withColumn("_n", F.coalesce("_n", F.lit(0)) + 1)
+        if todo.isEmpty():
+            break
+        numbers = todo.select("row_id", F.col("_n").alias("attempt"))
+        for b in range(batches):
+            part = todo.filter(F.pmod(F.xxhash64("row_id"), F.lit(batches)) == b).drop("_n")
+            answers = extractor(part).select("row_id", parse_response(F.col("raw")).alias("parsed")).join(numbers, "row_id")
+            answers.write.mode("append").parquet(path)
+    best = F.min_by(F.struct("parsed", "attempt"), F.struct(F.col("parsed.data").isNull().alias("bad"), (-F.col("attempt")).alias("late")))
+    return spark.read.parquet(path).groupBy("row_id").agg(best.alias("best")).select("row_id", "best.*")

@@ -42,6 +42,9 @@ class Settings:
     families: Mapping[str, str] = field(default_factory=lambda: {"Data Engineer": "data engineer", "Software Developer": "developer"})
     skills: Mapping[str, str] = field(default_factory=lambda: {"Python": "python", "SQL": "sql", "Java": "java "})
     extractor: Extractor | None = None
+    aliases: Mapping[str, str] = field(default_factory=dict)
+    variants: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    limit: int | None = None
 
     def __post_init__(self):
         for name, low, high in (("batch_size", 1, 10_000), ("retries", 1, 20), ("temperature", 0, 2), ("near_threshold", 0, 1)):
@@ -50,7 +53,7 @@ class Settings:
 
 
 def ingest(spark: SparkSession, _: DataFrame | None, s: Settings) -> DataFrame:
-    return io.ingest_contract(io.ingest(spark, s.sources, s.scrape_date))
+    return io.ingest_contract(io.ingest(spark, s.sources, s.scrape_date, limit=s.limit))
 
 
 def prepare(spark: SparkSession, df: DataFrame, s: Settings) -> DataFrame:
@@ -91,25 +94,22 @@ def semantic_extract(spark: SparkSession, df: DataFrame, s: Settings) -> DataFra
 
 
 def validate(spark: SparkSession, df: DataFrame, s: Settings) -> DataFrame:
-    """Ungrounded skills go, lists become names, flags are attached."""
-    grounded = lambda c: F.filter(c, lambda x: validation.source_grounded(x["source"], F.col("description")) | validation.skill_grounded(x["name"], F.col("description"), F.array().cast("array<string>")))
-    kept = df.withColumns({"technical_skills_evidence": grounded(F.col("technical_skills")), "nice_to_have_skills_evidence": validation.reconcile(F.col("nice_to_have_skills"), F.coalesce("technical_skills", F.array().cast("array<struct<name:string,source:string>>")))})
-    names = lambda c: F.transform(c, lambda x: x["name"])
-    flat = kept.withColumns({"technical_skills": names(F.col("technical_skills_evidence")), "nice_to_have_skills": names(F.col("nice_to_have_skills_evidence")), "benefits": names(F.col("benefits"))})
-    flags = F.concat(
-        validation.cross_field_flags(title=F.col("title_cleaned"), description=F.col("description"), contract=F.col("regex_contract_type"), modality=F.col("regex_work_modality"), years=F.col("regex_experience_years"), skills=F.col("technical_skills")),
-        validation.salary_flags(F.col("regex_salary_min"), F.col("regex_salary_max")),
-    )
-    return flat.withColumn("validation_flags", flags)
+    """Names through aliases, ungrounded skills out, lists to names, flags attached; see `validation.run_validators`."""
+    return validation.run_validators(df, aliases=s.aliases, variants=s.variants)
 
 
 def clean_enrich(spark: SparkSession, df: DataFrame, s: Settings) -> DataFrame:
     merged = merge_results(df.withColumnRenamed("regex_seniority_from_title", "regex_seniority"), df.select("row_id"))
+    # a run without extraction has no lists and no family
+    absent = {c: "array<string>" for c in ("benefits", "soft_skills")} | {"job_family": "string"}
+    merged = merged.withColumns({c: F.lit(None).cast(t) for c, t in absent.items() if c not in merged.columns})
     lists = [c for c in ("technical_skills", "soft_skills", "nice_to_have_skills", "benefits", "tasks") if c in merged.columns]
     out = cleaning.standardize_missing(merged, lists, ["job_family", "contract_type", "work_modality"])
     out = cleaning.fix_company(cleaning.fix_numeric(out))
     out = out.withColumn("city", normalize_city(F.col("city"), F.col("state"))).withColumn("title", cleaning.strip_residual_gender(F.col("title_cleaned")))
     out = out.withColumns({"benefit_categories": cleaning.benefit_categories(F.col("benefits")), "soft_skill_categories": cleaning.soft_skill_categories(F.col("soft_skills")), "description_quality": concatenated(F.col("description"))})
+    if "validation_flags" in out.columns:
+        out = validation.reverify_skills(out, variants=s.variants)
     return filters.drop_blank(out, "job_family")
 
 
@@ -130,8 +130,10 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame | None, Settings], Dat
 NAMES = [n for n, _ in STAGES]
 
 
-def plan(*, step: str | None = None, start: str | None = None, only: Sequence[str] = (), done: Sequence[str] = ()) -> list[str]:
-    """Stages to run: the one, from one on, the named ones, or all that are not done."""
+def plan(*, step: str | None = None, start: str | None = None, only: Sequence[str] = (), done: Sequence[str] = (), no_llm: bool = False) -> list[str]:
+    """Stages to run: the one, from one on, the named ones, or all that are not done; without extraction and validation if so asked."""
+    if no_llm:
+        return [n for n in plan(step=step, start=start, only=only, done=done) if n not in ("extract", "validate")]
     for n in [x for x in (step, start, *only) if x]:
         if n not in NAMES:
             raise ValueError(f"no stage {n}; there are {', '.join(NAMES)}")
@@ -154,12 +156,19 @@ def run(spark: SparkSession, settings: Settings, work: str, stages: Sequence[str
             stage(spark, df, settings).write.mode("overwrite").parquet(path)
             _note(work, name, time.time() - began)
             df = spark.read.parquet(path)
+        elif not io.exists(spark, path):
+            continue  # left out: the next stage reads the last table there is
         else:
             df = None
         last = path
     return df
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _note(work: str, name: str, seconds: float) -> None:
     """Progress beside the tables where the work folder is local."""
     local = work.removeprefix("file://")
@@ -174,22 +183,31 @@ def _note(work: str, name: str, seconds: float) -> None:
 def main(args: Sequence[str] | None = None) -> int:
     p = argparse.ArgumentParser(description=__doc__)
     p.add_argument("--config", help="JSON with sources (name, path, site, columns) and settings")
-    p.add_argument("--work", default="file:///tmp/jobtide-work")
+    p.add_argument("--work", help="folder that driver and executors share")
+    p.add_argument("--reset", action="store_true", help="delete all tables of the work folder first")
+    p.add_argument("--clean", action="store_true", help="delete the tables of the stages that will run first")
+    p.add_argument("--limit", type=int, help="rows to ingest")
+    p.add_argument("--no-llm", action="store_true", help="without extraction and validation")
     p.add_argument("--step")
     p.add_argument("--from", dest="start")
     p.add_argument("--only", nargs="*", default=[])
     p.add_argument("--list", action="store_true")
     p.add_argument("--dry-run", action="store_true")
     a = p.parse_args(args)
-    steps = plan(step=a.step, start=a.start, only=a.only)
+    steps = plan(step=a.step, start=a.start, only=a.only, no_llm=a.no_llm)
     if a.list or a.dry_run:
         print("\n".join(NAMES if a.list else steps))
         return 0
+    if not a.config or not a.work:
+        p.error("--config and --work are needed")
     raw = json.load(open(a.config, encoding="utf-8"))
-    settings = Settings(**(raw | {"sources": [io.Source(**x) for x in raw.get("sources", [])]}))
+    settings = Settings(**(raw | {"sources": [io.Source(**x) for x in raw.get("sources", [])]} | ({"limit": a.limit} if a.limit is not None else {})))
     from ..session import session
 
-    run(session(), settings, a.work, steps)
+    spark = session()
+    for name in NAMES if a.reset else steps if a.clean else ():
+        delete(spark, f"{a.work}/{name}")
+    run(spark, settings, a.work, steps)
     return 0
 
 

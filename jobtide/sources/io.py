@@ -128,3 +128,42 @@ def fingerprint_files(spark: SparkSession, path: str) -> DataFrame:
 
 def fingerprint_config(config: Mapping) -> str:
     return hashlib.sha256(json.dumps(config, sort_keys=True, default=str).encode()).hexdigest()[:16]
+
+
+def export_by_source(df: DataFrame, path: str, *, source: str = "source_file", categoricals: Sequence[str] = ("contract_type", "work_modality", "seniority")) -> dict[str, str]:
+    """CSV per source (folders source=<name>) and all rows together; blank categories are NULL, lists are JSON. Returns the two folders."""
+    clean = df.withColumns({c: F.when(strip(F.col(c)) != "", F.col(c)) for c in categoricals if c in df.columns})
+    found = {"by_source": f"{path}/by_source", "combined": f"{path}/combined"}
+    write_csv_safe(clean, found["combined"])
+    flat(clean).write.mode("overwrite").partitionBy(source).option("header", True).option("nullValue", "NA").option("emptyValue", "").option("quote", '"').option("escape", '"').csv(found["by_source"])
+    return found
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def load_enriched(spark: SparkSession, work: str, names: Sequence[str] = ("export_light", "export")) -> DataFrame:
+    """The finished table for analysis: the light one where there is one, else the full one."""
+    for name in names:
+        if exists(spark, f"{work}/{name}"):
+            return spark.read.parquet(f"{work}/{name}")
+    raise FileNotFoundError(f"{work} holds none of {', '.join(names)}")
+
+
+class JsonTables:
+    """JSON tables of a folder by name, each read and cached at its first use."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder, self.known = spark, folder, {}
+
+    def __call__(self, name: str) -> DataFrame:
+        if name not in self.known:
+            self.known[name] = self.spark.read.json(f"{self.folder}/{name}").cache()
+        return self.known[name]
+
+    def clear(self) -> None:
+        for df in self.known.values():
+            df.unpersist()
+        self.known = {}
