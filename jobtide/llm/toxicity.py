@@ -5,7 +5,7 @@ of its lower-cased words, in 2**BITS slots. FTRL-proximal (McMahan et al., 2013)
 rate from the squares of its gradients, and its L1 term leaves most weights at exactly zero: what is
 broadcast for scoring is a list of a few thousand slots and weights, bounded by 2**BITS.
 
-The model is fitted on at most `TRAIN_ROWS` labelled rows, those whose doc_id hashes lowest: the rows are
+The model is fitted on at most `TRAIN_ROWS` labelled rows (and about `TRAIN_CHARS` characters), those whose doc_id hashes lowest: the rows are
 found on labels alone, and only the chosen ids (of that bounded number) are broadcast to the scan that hashes their
 texts. Ids, languages and sources are never features.
 
@@ -29,6 +29,8 @@ from .common import bounded_batches, record_batch, scratch_table, text_or_empty,
 BITS = 20
 #: Bound of the labelled sample that the model is fitted on.
 TRAIN_ROWS = 15_000
+#: Bound of the characters of that sample, which a single task learns from: beyond it a share of the rows is taken by their hashes.
+TRAIN_CHARS = 200_000_000
 #: FTRL-proximal: rate, its offset, L1 and L2; passes over the sample.
 ALPHA, BETA, L1, L2, PASSES = 3.0, 1.0, 5.0, 0.01, 6
 SKIPS = (1, 2, 3)
@@ -144,14 +146,18 @@ def _featurize(bits: int):
 
 def _fit_group(bits: int, passes: int):
     def run(group: pa.Table) -> pa.Table:
-        rows = sorted(zip(group.column("doc_id").to_pylist(), group.column("toxic").to_pylist(), group.column("slots").to_pylist()))
-        slots, weights = fit([(y, np.frombuffer(s, "u4")) for _, y, s in rows], bits, passes)
+        # slots are read in place
+        slots = [np.frombuffer(x.as_buffer(), "u4") for x in group.column("slots")]
+        ids, labels = group.column("doc_id").to_pylist(), group.column("toxic").to_pylist()
+        # equal ids (repeated documents) are told apart by their features
+        order = sorted(range(len(ids)), key=lambda i: (ids[i], labels[i], xxhash.xxh64_intdigest(slots[i].data)))
+        slots, weights = fit([(labels[i], slots[i]) for i in order], bits, passes)
         return pa.table({"slot": slots, "weight": weights}, schema=_WEIGHTS)
 
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", train_rows: int = TRAIN_ROWS, bits: int = BITS, passes: int = PASSES) -> DataFrame:
+def train(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", train_rows: int = TRAIN_ROWS, train_chars: int = TRAIN_CHARS, bits: int = BITS, passes: int = PASSES) -> DataFrame:
     """slot, weight of the fitted model. `labels` holds the rows that may be learnt from."""
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -163,6 +169,9 @@ def train(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", train
     chosen = scratch_table(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows), "toxic-sample")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     sample = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")
+    chars = sample.agg(F.sum(F.length("text"))).first()[0] or 0
+    if chars > train_chars:
+        sample = sample.filter(F.xxhash64("doc_id", F.lit(1)).cast("double") < -(2.0**63) + 2.0**64 * train_chars / chars)
     rows = sample.mapInArrow(_featurize(bits), "doc_id long, toxic int, slots binary")
     return rows.groupBy(F.lit(0).alias("all")).applyInArrow(_fit_group(bits, passes), "slot long, weight double")
 

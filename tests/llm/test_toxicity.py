@@ -51,3 +51,34 @@ def test_held_out_accuracy_and_edges(spark, docs_frame):
     assert kept == {r.doc_id for r in got if r.score < 0.5} and {5000, 5001} <= kept
     assert T.score_documents(docs.limit(0), weights).count() == 0
     assert 0 <= T.score_documents(docs, T.train(docs, labels.limit(0))).first().score <= 1
+
+
+def test_learning_step_by_the_book():
+    """FTRL-proximal with per-coordinate rates, one coordinate after the other, as the paper writes it."""
+    rng = np.random.default_rng(5)
+    bits, alpha, beta, l1, l2 = 6, 3.0, 1.0, 0.5, 0.01
+    model = T.FtrlProximal(bits, alpha, beta, l1, l2)
+    z, n = [0.0] * 65, [0.0] * 65
+    for _ in range(300):
+        slots, label = np.unique(rng.integers(0, 64, 9)).astype("u4"), int(rng.integers(0, 2))
+        w = {}
+        for i in [*slots.tolist(), 64]:
+            lasso = 0.0 if i == 64 else l1
+            sign = 1.0 if z[i] > 0 else -1.0
+            w[i] = 0.0 if abs(z[i]) <= lasso else -(z[i] - sign * lasso) / ((beta + n[i] ** 0.5) / alpha + l2)
+        p = 1 / (1 + np.exp(-sum(w.values())))
+        for i in w:
+            g = p - label
+            sigma = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / alpha
+            z[i] += g - sigma * w[i]
+            n[i] += g * g
+        model.learn(slots, label)
+    assert np.allclose(model.z, z) and np.allclose(model.n, n)
+
+
+def test_sample_is_bounded_in_characters(docs_frame, spark):
+    rows = [(i, ("bad insult " if i % 2 else "good words ") * 50) for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    weights = T.train(docs_frame(rows), labels, train_chars=30_000)
+    scores = {r.doc_id: r.score for r in T.score_documents(docs_frame(rows), weights).collect()}
+    assert all((s >= 0.5) == bool(i % 2) for i, s in scores.items())
