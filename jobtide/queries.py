@@ -649,3 +649,163 @@ def parse_llm_response(spark, d):
     raw = F.when(k == 0, F.concat(body, F.lit("}"))).when(k == 1, F.concat(F.lit("```json\n"), body, F.lit("}\n```"))).when(k == 2, F.concat(body, F.lit(",}"))).when(k == 3, F.concat(F.lit("Here it is: "), body, F.lit(",} Good luck"))).otherwise("I am sorry, I can not help with that request.")
     parsed = read(spark, d, "events").select("event_id", extraction.parse_response(raw).alias("p"))
     return parsed.select("event_id", "p.strategy", F.when(F.col("p.data").isNotNull(), F.size("p.data.technical_skills")).alias("skills"))
+
+
+# ------------------------------------------------------------------ filters, lists and reports on whole tables
+
+
+@query("""WITH s AS (SELECT o_orderkey, CAST(floor(o_totalprice) AS INTEGER) AS lo, CAST(floor(o_totalprice * 0.9 + 9000) AS INTEGER) AS hi FROM orders),
+    f AS (SELECT o_orderkey, 'salary_min' AS field, lo AS v, lo, hi FROM s UNION ALL SELECT o_orderkey, 'salary_max', hi, lo, hi FROM s)
+    SELECT o_orderkey, field, CASE WHEN v < 5000 THEN 'possible_monthly' WHEN v > 300000 THEN 'possible_revenue' ELSE 'below_floor' END AS rule, CASE WHEN v > 300000 THEN 'error' ELSE 'warning' END AS severity FROM f WHERE v < 15000 OR v > 300000
+    UNION ALL SELECT o_orderkey, 'salary_min', 'min_greater_than_max', 'error' FROM s WHERE lo > hi""")
+def flags_exploded(spark, d):
+    lo, hi = F.floor("o_totalprice").cast("int"), F.floor(F.col("o_totalprice") * 0.9 + 9000).cast("int")
+    rows = read(spark, d, "orders").withColumn("validation_flags", validation.salary_flags(lo, hi))
+    return filters.explode_flags(rows, "o_orderkey").drop("message")
+
+
+@query("SELECT o_orderkey FROM orders WHERE NOT (o_orderstatus = 'F' OR o_orderpriority = '1-URGENT')")
+def flagged_rows_dropped(spark, d):
+    rows = read(spark, d, "orders").withColumn("input_flags", F.array("o_orderstatus", "o_orderpriority"))
+    return filters.drop_flagged(rows, ("F", "1-URGENT")).select("o_orderkey")
+
+
+@query("SELECT count(*) FILTER (WHERE o_orderstatus = 'F') AS F, count(*) FILTER (WHERE o_orderstatus = 'O' OR o_orderpriority = 'O') AS O FROM orders")
+def flags_counted(spark, d):
+    return filters.flag_counts(read(spark, d, "orders").withColumn("input_flags", F.array("o_orderstatus", "o_orderpriority")), ["F", "O"])
+
+
+_PERSON = "CASE o_custkey % 5 WHEN 0 THEN 'Junior' WHEN 1 THEN 'Senior' WHEN 2 THEN 'Lead' WHEN 3 THEN 'Mid' END"
+
+
+def _people(spark, d) -> DataFrame:
+    k = F.col("o_custkey") % 5
+    seniority = F.when(k == 0, "Junior").when(k == 1, "Senior").when(k == 2, "Lead").when(k == 3, "Mid")
+    return read(spark, d, "orders").select(
+        "o_orderkey", seniority.alias("seniority"), (F.col("o_orderkey") % 6).alias("experience_years"), F.when(F.col("o_orderstatus") == "O", "REMOTE").when(F.col("o_orderstatus") == "F", "Hybrid").alias("work_modality"),
+        F.when(F.col("o_orderkey") % 4 == 1, "Bachelor").when(F.col("o_orderkey") % 4 == 2, "PhD").alias("education_level"), F.when(F.col("o_orderkey") % 3 == 0, "Other").otherwise("Data").alias("job_family"),
+    )
+
+
+@query(f"""WITH p AS (SELECT o_orderkey, {_PERSON} AS s, o_orderkey % 6 AS y, o_orderstatus, o_orderkey % 4 AS e FROM orders), j AS (SELECT *, coalesce(s = 'Junior', y < 3) AS junior FROM p)
+    SELECT o_orderkey, junior, coalesce(s IN ('Senior', 'Lead'), false) AS senior, o_orderstatus = 'O' AS remote, junior AND e = 1 AS career_changer FROM j""")
+def dashboard_personas(spark, d):
+    return _people(spark, d).select("o_orderkey", *[c.alias(n) for n, c in filters.personas().items()])
+
+
+@query(f"SELECT o_orderkey, coalesce(({_PERSON}) = 'Junior', false) AS junior, coalesce(({_PERSON}) IN ('Senior', 'Lead'), false) AS senior, o_orderkey % 3 = 0 AS career_changer FROM orders")
+def guide_personas(spark, d):
+    return _people(spark, d).select("o_orderkey", *[c.alias(n) for n, c in filters.guide_personas().items()])
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderpriority <> '5-LOW' AND (o_orderdate >= TIMESTAMP '1998-01-01' OR o_orderdate IS NULL)")
+def blank_and_old_rows_dropped(spark, d):
+    rows = read(spark, d, "orders").withColumn("p", F.when(F.col("o_orderpriority") == "5-LOW", " \t").otherwise(F.col("o_orderpriority")))
+    return filters.not_before(filters.drop_blank(rows, "p"), "o_orderdate", "1998-01-01").select("o_orderkey")
+
+
+@query("WITH r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents) SELECT d.doc_id, coalesce(r.n_chars, d.n_chars) AS n_chars FROM documents d LEFT JOIN r ON d.source = r.source AND r.k = 1")
+def column_fan_out(spark, d):
+    rows = read(spark, d, "documents")
+    first = rows.groupBy("source").agg(F.min("doc_id").alias("rep"))
+    marked = rows.join(first, "source", "left").withColumn("is_rep", F.col("doc_id") == F.col("rep"))
+    return dedup.spread_value(marked, "source", "n_chars", "is_rep").select("doc_id", "n_chars")
+
+
+@query("WITH b AS (SELECT p_brand, min(p_partkey) AS rep FROM part GROUP BY 1), s AS (SELECT substr(p_brand, 1, 7) AS maker, min(rep) AS leader FROM b GROUP BY 1) SELECT p.p_partkey AS id, s.leader AS representative FROM part p JOIN s ON substr(p.p_brand, 1, 7) = s.maker")
+def near_groups_merged(spark, d):
+    p = read(spark, d, "part")
+    brands = p.groupBy("p_brand").agg(F.min("p_partkey").alias("representative"))
+    makers = brands.groupBy(F.substring("p_brand", 1, 7).alias("maker")).agg(F.min("representative").alias("leader"))
+    near = brands.withColumn("maker", F.substring("p_brand", 1, 7)).join(makers, "maker").select(F.col("representative").alias("id"), "leader")
+    groups = p.join(brands, "p_brand").select(F.col("p_partkey").alias("id"), "representative")
+    return dedup.merge_groups(groups, near).select("id", "representative")
+
+
+@query("""WITH w AS (SELECT *, string_split(p_name, ' ') AS w FROM part)
+    SELECT p_partkey, CASE WHEN lower(w[1]) = lower(w[2]) THEN w[1] ELSE concat_ws('|', w[1], w[2]) END AS items, CASE WHEN p_size % 5 = 0 THEN NULL ELSE p_brand END AS brand,
+           CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_brand END AS company FROM w""")
+def missing_standardised(spark, d):
+    rows = parts(spark, d).select("p_partkey", "p_size", F.array(F.col("skills")[0], F.upper(F.col("skills")[0]), F.lit(" "), F.col("skills")[1], F.lit(None).cast("string")).alias("items"), F.when(F.col("p_size") % 5 == 0, " N/A ").otherwise(F.concat("p_brand", F.lit(" "))).alias("brand"), F.when(F.col("p_size") % 3 == 0, "N/A").otherwise(F.col("p_brand")).alias("company"))
+    out = cleaning.fix_company(cleaning.standardize_missing(rows, ["items"], ["brand"]), "company")
+    return out.select("p_partkey", F.array_join("items", "|").alias("items"), "brand", "company")
+
+
+@query("SELECT p_partkey, concat_ws('|', CASE WHEN lower(split_part(p_name, ' ', 1)) <> lower(split_part(p_type, ' ', 1)) THEN split_part(p_name, ' ', 1) END, CASE WHEN lower(split_part(p_name, ' ', 2)) <> lower(split_part(p_type, ' ', 1)) THEN split_part(p_name, ' ', 2) END) AS left_over FROM part")
+def list_except_ci(spark, d):
+    other = F.array(F.upper(F.split_part("p_type", F.lit(" "), F.lit(1))))
+    return parts(spark, d).select("p_partkey", F.array_join(arrays.ci_except(F.col("skills"), other), "|").alias("left_over"))
+
+
+@query(r"""SELECT doc_id, sha256(regexp_replace(replace(text, '.', '\.'), '\\([.\-+*(){}|^$#!@&~`\[\]])', '\1', 'g')) AS markdown, sha256(replace(replace(replace(replace(replace(text, '-', '\-'), '\-', '-'), '\+', '+'), '\_', '_'), '\.', '.')) AS four FROM documents""")
+def escapes_stripped(spark, d):
+    return read(spark, d, "documents").select(
+        "doc_id", F.sha2(text.strip_markdown_escapes(F.replace("text", F.lit("."), F.lit("\\."))), 256).alias("markdown"), F.sha2(text.strip_four_escapes(F.replace("text", F.lit("-"), F.lit("\\-"))), 256).alias("four")
+    )
+
+
+@query("""WITH w AS (SELECT p_partkey, p_name, string_split(lower(p_name), ' ') AS w FROM part),
+    v AS (SELECT p_partkey, p_name, w[1] AS a, w[2] AS b FROM w)
+    SELECT p_partkey, CASE WHEN a < b THEN a || ',' || b WHEN a > b THEN b || ',' || a ELSE a END AS required, 'absent-skill' AS dropped, 2 AS flags FROM v""")
+def validators_in_order(spark, d):
+    """Of three required skills one is not in the text; the optional ones are all required already."""
+    item = lambda n, s: F.struct(n.alias("name"), s.alias("source"))
+    w = F.split(F.lower("p_name"), " ")
+    rows = read(spark, d, "part").select(
+        "p_partkey", F.col("p_name").alias("description"), F.lit("Part").alias("title_cleaned"), F.array(item(w[1], F.lit("")), item(w[0], F.col("p_name")), item(F.upper(w[0]), F.lit("")), item(F.lit("alias-of-absent"), F.lit("no such words"))).alias("technical_skills"),
+        F.array(item(F.upper(w[1]), F.lit(""))).alias("nice_to_have_skills"),
+    )
+    out = validation.run_validators(rows, aliases={"alias-of-absent": "absent-skill"})
+    gone = F.array_join(F.transform(F.filter("validation_flags", lambda x: x["rule"] == "skill_not_in_description"), lambda x: F.regexp_extract(x["message"], "'([^']*)'", 1)), ",")
+    return out.select("p_partkey", F.array_join("technical_skills", ",").alias("required"), gone.alias("dropped"), F.size("validation_flags").alias("flags"))
+
+
+@query("SELECT p_partkey, 'below_floor,' || 'skill_not_in_description' AS rules, '''zzz'' not found in description (post-clean check)' AS message FROM part")
+def skills_reverified(spark, d):
+    old = [F.struct(F.lit("technical_skills").alias("field"), F.lit(rule).alias("rule"), F.lit("warning").alias("severity"), F.lit("old").alias("message")) for rule in ("high_hallucination_rate", "below_floor", "skill_not_in_description")]
+    rows = parts(spark, d).select("p_partkey", F.col("p_name").alias("description"), F.array(F.col("skills")[0], F.lit("zzz")).alias("technical_skills"), F.array(*old).alias("validation_flags"))
+    out = validation.reverify_skills(rows)
+    return out.select("p_partkey", F.array_join(F.transform("validation_flags", lambda x: x["rule"]), ",").alias("rules"), F.element_at("validation_flags", -1)["message"].alias("message"))
+
+
+@query("""WITH v AS (SELECT doc_id, text, lower(text) AS low FROM documents)
+    SELECT doc_id, 'quoted' AS name, CASE WHEN substr(low, 1, 40) <> '' THEN 'source_verified' ELSE 'unverified' END AS verdict FROM v
+    UNION ALL SELECT doc_id, 'the', CASE WHEN regexp_matches(low, '(^|[^a-z0-9])the($|[^a-z0-9])') THEN 'name_verified' ELSE 'unverified' END FROM v
+    UNION ALL SELECT doc_id, 'spelt', CASE WHEN contains(low, 'tion') THEN 'name_verified' ELSE 'unverified' END FROM v""")
+def evidence_verdicts(spark, d):
+    item = lambda n, s: F.struct(F.lit(n).alias("name"), s.alias("source"))
+    rows = read(spark, d, "documents").select("doc_id", "text", F.array(item("quoted", F.substring("text", 1, 40)), item("the", F.lit("qqq zzz")), item("spelt", F.lit(""))).alias("items"))
+    variants = spark.createDataFrame([("Spelt", ["tion"])], "name string, spellings array<string>")
+    return validation.verify_evidence(rows, "items", "text", "doc_id", variants).drop("source")
+
+
+@query("""WITH j AS (SELECT l.doc_id, CAST(l.quality AS VARCHAR) AS gq, CAST(l.toxic AS INTEGER) AS gt, d.n_chars, CASE WHEN l.doc_id % 2 = 0 THEN NULL WHEN d.n_chars > 1500 THEN '1' ELSE '0' END AS pq FROM labels l JOIN documents d ON l.doc_id = d.doc_id)
+    SELECT 'quality' AS field, 'categorical' AS kind, count(*) AS n, count(*) FILTER (WHERE gq IS NOT DISTINCT FROM pq) AS exact, CAST(NULL AS BIGINT) AS close FROM j
+    UNION ALL SELECT 'toxic', 'numeric', count(*), count(*) FILTER (WHERE gt IS NOT DISTINCT FROM CASE WHEN n_chars > 800 THEN 0 ELSE 1 END), count(*) FILTER (WHERE gt IS NOT DISTINCT FROM CASE WHEN n_chars > 800 THEN 0 ELSE 1 END) FROM j""")
+def evaluate_fields(spark, d):
+    """All fields in one pass; the overlay replaces the even rows' quality by NULL."""
+    docs_, labels = read(spark, d, "documents"), read(spark, d, "labels")
+    results = docs_.select("doc_id", F.when(F.col("n_chars") > 1500, "1").otherwise("0").alias("quality"), F.when(F.col("n_chars") > 800, 0).otherwise(1).alias("toxic"))
+    golden = labels.select("doc_id", F.col("quality").cast("string").alias("quality"), F.col("toxic").cast("int").alias("toxic"))
+    overlay = labels.filter("doc_id % 2 = 0").select("doc_id", F.lit(None).cast("string").alias("quality"))
+    return evaluation.evaluate(results, golden, tier1=overlay, id_col="doc_id", categoricals=["quality"], numerics=["toxic"], lists=[]).select("field", "kind", "n", "exact", "close")
+
+
+@query("WITH s AS (SELECT CASE WHEN length(text) % 3 = 0 THEN 'failed' WHEN length(text) % 3 = 1 THEN 'direct' ELSE 'strip_fences' END AS strategy FROM documents) SELECT strategy, count(*) AS n FROM s GROUP BY 1")
+def parse_strategies(spark, d):
+    kind = F.length("text") % 3
+    answer = '{"job_family": "Data", "job_summary": "A summary long enough."}'
+    raw = F.when(kind == 0, "no answer in here, just some words").when(kind == 1, answer).otherwise(f"```json\n{answer}\n```")
+    return extraction.parse_summary(read(spark, d, "documents").select(F.col("doc_id").alias("row_id"), extraction.parse_response(raw).alias("parsed")))
+
+
+@query("SELECT doc_id, lang, sha256(text) AS sha FROM documents WHERE CASE WHEN len(regexp_extract_all(text, '[a-z][A-Z]')) > 10 THEN 'concatenated' ELSE 'clean' END = 'clean'")
+def clean_descriptions(spark, d):
+    rows = read(spark, d, "documents").withColumn("description_quality", text.concatenated(F.col("text")))
+    return filters.filter_description_quality(rows).select("doc_id", "lang", F.sha2("text", 256).alias("sha"))
+
+
+@query("""SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 'C++,Java' WHEN 1 THEN 'C,Java' ELSE 'Java' END AS skills FROM part""")
+def c_inference(spark, d):
+    body = F.when(F.col("p_size") % 3 == 0, "We write c++ here").when(F.col("p_size") % 3 == 1, "Knowledge of C, please").otherwise("C# and Java")
+    return read(spark, d, "part").select("p_partkey", F.array_join(validation.fix_c_inference(F.array(F.lit("C++"), F.lit("Java")), body), ",").alias("skills"))
