@@ -89,17 +89,22 @@ def share_over_time(df: DataFrame, column: str, values: Sequence[str], date: str
     return _unpivot(cells, values, "item", "share", "period")
 
 
-def quantiles_by_group(df: DataFrame, group: str, value: str, min_count: int = 10, n: int | None = None) -> DataFrame:
-    """count, median and quartiles (exact, linear between ranks) of groups with min_count rows; the highest medians first where n cuts."""
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+def quantiles_by_group(df: DataFrame, group: str, value: str, min_count: int = 10, n: int | None = None, *, accuracy: int | None = None) -> DataFrame:
+    """count, median and quartiles (exact, linear between ranks) of groups with min_count rows; the highest medians first where n cuts.
+
+    Exact quantiles hold a count for each different value of a group. With `accuracy` they are sketches of bounded size,
+    whose ranks are wrong by 1 / accuracy at most.
+    """
+    at = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    q = F.percentile(value, at) if accuracy is None else F.percentile_approx(value, at, accuracy)
     found = df.filter(F.col(group).isNotNull() & F.col(value).isNotNull()).groupBy(F.col(group).alias("grp")).agg(F.count("*").alias("n"), q.alias("q")).filter(F.col("n") >= min_count)
     found = found.select("grp", "n", F.col("q")[1].alias("median"), F.col("q")[0].alias("p25"), F.col("q")[2].alias("p75"))
     return top(found, n, F.desc("median"), "grp")
 
 
-def skill_premium(df: DataFrame, column: str, value: str, min_count: int = 5, n: int = 25) -> DataFrame:
+def skill_premium(df: DataFrame, column: str, value: str, min_count: int = 5, n: int = 25, *, accuracy: int | None = None) -> DataFrame:
     """Quantiles of a value by listed element."""
-    return quantiles_by_group(_items(df, column), "item", value, min_count, n).withColumnRenamed("grp", "item")
+    return quantiles_by_group(_items(df, column), "item", value, min_count, n, accuracy=accuracy).withColumnRenamed("grp", "item")
 
 
 def crosstab(df: DataFrame, a: str, b: str, *, missing: str | None = None) -> DataFrame:
@@ -139,8 +144,13 @@ def category_by_group(df: DataFrame, column: str, group: str, n_groups: int = 10
     return cells.select("grp", "category", F.round(F.coalesce("hits", F.lit(0)) / F.col("rows") * 100, 4).alias("pct"))
 
 
-def overlap_matrix(df: DataFrame, role: str, column: str, n: int = 25) -> DataFrame:
-    """Jaccard percentage of the n most frequent elements of each two roles; 100 for a role with itself."""
+def overlap_matrix(df: DataFrame, role: str, column: str, n: int = 25, n_roles: int | None = None) -> DataFrame:
+    """Jaccard percentage of the n most frequent elements of each two roles; 100 for a role with itself.
+
+    The result has a row for each two roles, of which there are few; n_roles takes the most frequent ones.
+    """
+    if n_roles is not None:
+        df = df.join(F.broadcast(counts(df, role, n_roles, name=role).select(role)), role)
     items = _items(df.filter(F.col(role).isNotNull()), column).groupBy(F.col(role).alias("role"), "item").agg(F.count("*").alias("n"))
     first = items.withColumn("k", F.row_number().over(Window.partitionBy("role").orderBy(F.desc("n"), "item"))).filter(F.col("k") <= n)
     # one row per role with at most n elements
@@ -178,8 +188,8 @@ def casing_map(df: DataFrame, column: str, *, order: str | None = None) -> DataF
 
 
 def apply_casing(df: DataFrame, column: str, canonical: DataFrame) -> DataFrame:
-    joined = df.withColumn("key", F.lower(column)).join(canonical, "key", "left")
-    return joined.withColumn(column, F.coalesce("canonical", column)).drop("key", "canonical")
+    known = canonical.select(F.col("key").alias("_key"), F.col("canonical").alias("_canonical"))
+    return df.join(known, F.lower(df[column]) == F.col("_key"), "left").withColumn(column, F.coalesce("_canonical", column)).drop("_key", "_canonical")
 
 
 def top_per_group(df: DataFrame, group: str, value: str, n: int) -> DataFrame:

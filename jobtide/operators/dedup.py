@@ -85,23 +85,33 @@ def near_duplicate_pairs(df: DataFrame, tokens: str, threshold: float = 0.95, id
     """a, b, similarity: rows with a < b whose token sets have a Jaccard similarity of at least `threshold`.
 
     Exact prefix filter: tokens are ordered from rare to frequent, two similar sets share one of their first
-    n - ceil(threshold * n) + 1 tokens. Rows with equal sets are joined by their smallest id, and only
-    different sets are compared; empty sets are equal to each other only.
+    n - ceil(threshold * n) + 1 tokens. The list of a token is dealt by size of set: similar sets lie in one size class or in
+    neighbouring ones, so a frequent token is many smaller lists. A pair that meets at a place from where too few tokens are left
+    to be similar is no candidate; the first token that two similar sets share always leaves enough.
+    Rows with equal sets are joined by their smallest id, and only different sets are compared; empty sets are equal to each
+    other only, NULL sets to none. Sets are told apart by 128-bit hashes.
     """
-    rows = df.select(F.col(id_col).alias("id"), F.array_sort(F.array_distinct(tokens)).alias("set"))
-    classes = written(rows.groupBy("set").agg(F.min("id").alias("id")).withColumn("n", F.size("set")))
+    rows = df.select(F.col(id_col).alias("id"), F.array_sort(F.array_distinct(tokens)).alias("set")).filter("set IS NOT NULL")
+    hashed = rows.withColumn("digest", F.unhex(F.md5(F.to_json("set"))))
+    classes = written(hashed.groupBy("digest").agg(F.min("id").alias("id"), F.first("set").alias("set")).withColumn("n", F.size("set")))
     frequency = classes.select(F.explode("set").alias("t")).groupBy("t").agg(F.count("*").alias("df"))
     ranked = classes.select("id", "n", F.explode("set").alias("t")).join(frequency, "t")
     ordered = ranked.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("ts"))
     size = F.col("n") - F.ceil(F.col("n") * F.lit(threshold)).cast("int") + 1
-    prefix = written(ordered.select("id", "n", F.explode(F.transform(F.slice("ts", 1, size), lambda x: x["t"])).alias("t")))
-    a, b = prefix.select("t", F.col("id").alias("a"), F.col("n").alias("na")), prefix.select("t", F.col("id").alias("b"), F.col("n").alias("nb"))
-    close = (F.least("na", "nb") >= F.greatest("na", "nb") * threshold) & (F.col("a") < F.col("b"))
-    candidates = a.join(b, "t").filter(close).select("a", "b").distinct()
+    # a little wider than the ratio of similar sizes, so that rounding leaves them in neighbouring classes
+    width = max(-math.log(threshold) * (1 + 1e-9), 1e-9)
+    prefix = ordered.select("id", "n", F.posexplode(F.transform(F.slice("ts", 1, size), lambda x: x["t"])).alias("at", "t"))
+    prefix = written(prefix.select("id", "n", "t", (F.col("n") - F.col("at")).alias("left"), F.floor(F.log(F.col("n")) / width).alias("class")))
+    a = prefix.select("t", F.col("class"), F.col("id").alias("x"), F.col("n").alias("nx"), F.col("left").alias("lx"))
+    b = prefix.select("t", F.col("class").alias("own"), F.explode(F.array("class", F.col("class") - 1)).alias("class"), F.col("id").alias("y"), F.col("n").alias("ny"), F.col("left").alias("ly"))
+    close = F.least("nx", "ny") >= F.greatest("nx", "ny") * threshold
+    enough = F.least("lx", "ly") >= (F.col("nx") + F.col("ny")) * F.lit(threshold / (1 + threshold)) - 1e-6
+    once = (F.col("own") != F.col("class")) | (F.col("x") < F.col("y"))
+    candidates = a.join(b, ["t", "class"]).filter(close & enough & once).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     x, y = classes.select(F.col("id").alias("a"), F.col("set").alias("x")), classes.select(F.col("id").alias("b"), F.col("set").alias("y"))
     similarity = F.size(F.array_intersect("x", "y")) / F.size(F.array_union("x", "y"))
     different = candidates.join(x, "a").join(y, "b").select("a", "b", similarity.alias("similarity")).filter(F.col("similarity") >= threshold)
-    same = rows.join(classes.select("set", F.col("id").alias("first")), "set").filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"))
+    same = hashed.select("id", "digest").join(classes.select("digest", F.col("id").alias("first")), "digest").filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"))
     return different.unionByName(same)
 
 
@@ -132,8 +142,8 @@ def leaders(pairs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def merge_groups(groups: DataFrame, near: DataFrame) -> DataFrame:
     """Description groups whose representatives are near duplicates become one: near has id, leader of representatives."""
-    moved = near.select(F.col("id").alias("representative"), "leader")
-    return groups.join(moved, "representative", "left").withColumn("representative", F.coalesce("leader", "representative")).drop("leader")
+    moved = near.select(F.col("id").alias("representative"), F.col("leader").alias("_leader"))
+    return groups.join(moved, "representative", "left").withColumn("representative", F.coalesce("_leader", "representative")).drop("_leader")
 
 
 def prefix_size(n: int, threshold: float) -> int:

@@ -103,8 +103,8 @@ def source_grounded(source: Column, text: Column, share: float = SOURCE_OVERLAP)
 
 
 def verify_evidence(df: DataFrame, items: str, text: str, id_col: str, variants: DataFrame) -> DataFrame:
-    """id, name, source, verdict of each evidence item. `variants` has name, spellings (lower-case list), a bounded dictionary."""
-    rows = df.select(id_col, text, F.inline(items)).join(F.broadcast(variants.select(F.lower("name").alias("_k"), "spellings")), F.lower("name") == F.col("_k"), "left")
+    """id, name, source, verdict of each evidence item. `variants` has name, spellings (lower-case list); it is broadcast where Spark finds it small."""
+    rows = df.select(id_col, text, F.inline(items)).join(variants.select(F.lower("name").alias("_k"), "spellings"), F.lower("name") == F.col("_k"), "left")
     verdict = F.when(source_grounded(F.col("source"), F.col(text)), "source_verified").when(skill_grounded(F.col("name"), F.col(text), F.col("spellings")), "name_verified").otherwise("unverified")
     return rows.select(id_col, "name", "source", verdict.alias("verdict"))
 

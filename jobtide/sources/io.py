@@ -102,14 +102,17 @@ def write_json_records(df: DataFrame, path: str, columns: Sequence[str] | None =
     (df.select(*columns) if columns else df).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def write_json_report(tables: Mapping[str, DataFrame], path: str) -> None:
-    """Small results as one JSON file on the driver, numbers rounded to two decimals."""
+def write_json_report(tables: Mapping[str, DataFrame], path: str, max_rows: int = 100_000) -> None:
+    """Small results as one JSON file on the driver, numbers rounded to two decimals. A table of more than max_rows is refused."""
 
     def cell(v):
         return None if isinstance(v, float) and v != v else round(v, 2) if isinstance(v, float) else v if isinstance(v, (int, str, bool, type(None), list)) else str(v)
 
+    found = {k: t.limit(max_rows + 1).collect() for k, t in tables.items()}
+    if large := [k for k, rows in found.items() if len(rows) > max_rows]:
+        raise ValueError(f"more than {max_rows} rows in {', '.join(large)}")
     with open(path, "w", encoding="utf-8") as out:
-        json.dump({k: [{c: cell(v) for c, v in r.asDict().items()} for r in t.collect()] for k, t in tables.items()}, out, ensure_ascii=False, indent=1)
+        json.dump({k: [{c: cell(v) for c, v in r.asDict().items()} for r in rows] for k, rows in found.items()}, out, ensure_ascii=False, indent=1)
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:

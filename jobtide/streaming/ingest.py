@@ -26,14 +26,24 @@ def weekly_counts(df: DataFrame, time: str, *keys: str, delay: str = "1 day") ->
 
 
 def upsert_batches(path: str, key: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that merges each batch into a versioned table: new rows win."""
+    """A foreachBatch function that merges each batch into a versioned table: new rows win.
+
+    A batch reads the latest finished version before its own number, so batches may be skipped, and one that is run again writes
+    its version anew. Versions before the one read are deleted.
+    """
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        target = f"{path}/v{number:09d}"
-        before = f"{path}/v{number - 1:09d}"
+        root = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        made = [s.getPath() for s in files.listStatus(root)] if files.exists(root) else []
+        done = {int(p.getName()[1:]): p for p in made if p.getName()[:1] == "v" and files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))}
+        before = max((v for v in done if v < number), default=None)
         fresh = batch.dropDuplicates([key])
-        merged = upsert(spark.read.parquet(before), fresh, key) if number else fresh
-        merged.write.mode("overwrite").parquet(target)
+        merged = fresh if before is None else upsert(spark.read.parquet(done[before].toString()), fresh, key)
+        merged.write.mode("overwrite").parquet(f"{path}/v{number:09d}")
+        for v in done:
+            if before is not None and v < before:
+                files.delete(done[v], True)
 
     return merge
