@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -40,11 +42,34 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+_SCOPES: ContextVar[tuple[set[str], ...]] = ContextVar("scratch scopes", default=())
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """At its end, or on a failure, the scratch tables made within are deleted, but for those that were given to what it yields."""
+    made: set[str] = set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        made.discard(df.scratch)
+        return df
+
+    token = _SCOPES.set((*_SCOPES.get(), made))
+    try:
+        yield keep
+    finally:
+        _SCOPES.reset(token)
+        for path in made:
+            delete_path(spark, path)
+
+
 def scratch_table(df: DataFrame, tag: str, *partition_by: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back: lineage ends at committed files."""
     spark = df.sparkSession
     path = scratch_path(spark, tag)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    for made in _SCOPES.get():
+        made.add(path)
     writer.parquet(path)
     found = spark.read.schema(df.schema).parquet(path)
     found.scratch = path

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .common import scratch_table, text_or_empty
+from .common import scratch_scope, scratch_table, text_or_empty
 
 #: Deleted before comparing: space and the ASCII controls from tab to carriage return.
 SPACE_CHARS = r"[\x20\x09-\x0D]"
@@ -204,7 +204,8 @@ def exact_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 def drop_exact_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with their columns; of rows repeated with id and text, one."""
-    verdicts = scratch_table(exact_duplicates(docs, id_col=id_col, text_col=text_col), "exact-verdicts")
+    with scratch_scope(docs.sparkSession) as keep:
+        verdicts = keep(scratch_table(exact_duplicates(docs, id_col=id_col, text_col=text_col), "exact-verdicts"))
     dropped = verdicts.filter("NOT kept").select("doc_id", "text_sha256", "code_points")
     repeated = scratch_table(verdicts.filter("kept AND group_size > 1").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id", "text_sha256"), "exact-repeated-rows")
     sha, size = F.sha2(F.regexp_replace(text_or_empty(text_col), SPACE_CHARS, ""), 256), F.length(text_or_empty(text_col))

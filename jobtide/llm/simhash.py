@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, lower_ascii, record_batch, release, scratch_table, text_or_empty
+from .common import bounded_batches, lower_ascii, record_batch, release, scratch_scope, scratch_table, text_or_empty
 from .components import connected_components
 
 WORDS = 3
@@ -340,6 +340,7 @@ def near_duplicate_groups(docs: DataFrame, *, words: int = SHINGLE, similarity:
 
 def drop_near_duplicates(docs: DataFrame, *, words: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """The documents without those that have a near duplicate with a smaller doc_id in their group."""
-    groups = scratch_table(near_duplicate_groups(docs, words=words, similarity=similarity).filter("doc_id <> group_id").select("doc_id"), "near-dropped")
+    with scratch_scope(docs.sparkSession) as keep:
+        groups = keep(scratch_table(near_duplicate_groups(docs, words=words, similarity=similarity).filter("doc_id <> group_id").select("doc_id"), "near-dropped"))
     dropped = F.broadcast(groups) if groups.count() <= BROADCAST_IDS else groups
     return docs.join(dropped, "doc_id", "left_anti")

@@ -1,7 +1,9 @@
 import random
+from pathlib import Path
 
 import corpus_pipeline
-from jobtide.llm import exact_dedup, packing
+import pytest
+from jobtide.llm import common, exact_dedup, packing
 
 
 def test_drop_exact_duplicates(docs_frame):
@@ -55,3 +57,20 @@ def test_planted_cases(spark, tmp_path):
 def test_empty_tables(spark, tmp_path):
     write(spark, str(tmp_path), [], [], [])
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_scratch_tables_are_deleted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "scratch_root", lambda _: f"file://{tmp_path}/scratch")
+    left = lambda: sorted(p.name.rsplit("-", 1)[0] for p in Path(tmp_path, "scratch", "jobtide").iterdir())
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(500)}" for _ in range(80)) for _ in range(30)]
+    texts += [texts[0], texts[1] + " more", texts[2] + " idiot"]
+    write(spark, f"{tmp_path}/in", [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], [(i, 1, int(i == 32)) for i in range(33)], [(1, texts[5])])
+    assert corpus_pipeline.run(spark, f"{tmp_path}/in").count()
+    # what the lazy last stage reads
+    assert left() == ["pieces", "stage-decontamination"]
+    with pytest.raises(ZeroDivisionError), common.scratch_scope(spark) as keep:
+        kept = keep(common.scratch_table(spark.range(2), "kept"))
+        common.scratch_table(spark.range(2), "lost")
+        raise ZeroDivisionError
+    assert left() == ["kept", "pieces", "stage-decontamination"] and kept.count() == 2
