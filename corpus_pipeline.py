@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from jobtide.llm import decontaminate, exact_dedup, packing, simhash, toxicity
-from jobtide.llm.common import scratch_table, table
+from jobtide.llm.common import release, scratch_scope, scratch_table, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -61,7 +61,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. A stage's output is deleted when the next one's is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = scratch_table(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scratch_scope(spark) as keep:
+            written = keep(scratch_table(stage(spark, docs, sf_dir), f"stage-{name}"))
+        if name != STAGES[0][0]:
+            release(docs)
+        docs = written
     return STAGES[-1][1](spark, docs, sf_dir)
