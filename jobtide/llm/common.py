@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -92,10 +93,35 @@ def bounded_batches(spark: SparkSession, rows: int = 1000, megabytes: int = 16)
 _WORKER: dict[str, object] = {}
 
 
+def forget() -> None:
+    _WORKER.clear()
+
+
+def trim() -> None:
+    """Give memory that Arrow and the C library hold free back to the machine; idle workers then cost the next stage little."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library than glibc
+        pass
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`run` as a task that uses no worker cache: it begins without what earlier stages left and ends without what it held."""
+
+    def whole(batches: Iterator) -> Iterator:
+        forget()
+        yield from run(batches)
+        trim()
+
+    return whole
+
+
 def worker_cache(name: str, make: Callable[[], object]):
     """What a Python worker keeps between its tasks: one thing at a time, so memory of an earlier stage is given back by the next one."""
     if name not in _WORKER:
-        _WORKER.clear()
+        forget()
+        trim()
         _WORKER[name] = make()
     return _WORKER[name]
 

@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from .common import bounded_batches, record_batch, scratch_table, size_sliced, text_or_empty
-from .tokens import shared_encoder
+from .common import bounded_batches, lean, record_batch, scratch_table, size_sliced, text_or_empty
+from .tokens import PIECES, shared_encoder
 
 SEQUENCE = 1024
 OPEN_BINS = 8192
@@ -37,9 +37,9 @@ def piece_starts(n: int, sequence: int) -> list[int]:
     return [0, *range(n % sequence or sequence, n, sequence)]
 
 
-def _cut(tokenizer: str | None, end_id: int, sequence: int):
+def _cut(tokenizer: str | None, end_id: int, sequence: int, remember: int):
     def cut(batches):
-        encoder, end = shared_encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        encoder, end = shared_encoder(tokenizer, remember), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in size_sliced(texts):
@@ -114,14 +114,16 @@ def _pack(sequence: int, open_bins: int, window: int):
     return pack
 
 
-def cut_pieces(docs: DataFrame, *, tokenizer: str | None = None, end_id: int = 2, sequence: int = SEQUENCE) -> DataFrame:
-    """The pieces of all texts: doc_id, piece, start, length, ids_crc32. No shuffle."""
+def cut_pieces(docs: DataFrame, *, tokenizer: str | None = None, end_id: int = 2, sequence: int = SEQUENCE, remember: int = PIECES) -> DataFrame:
+    """The pieces of all texts: doc_id, piece, start, length, ids_crc32. No shuffle. `remember` bounds the encoder's memory, not the result."""
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInArrow(_cut(tokenizer, end_id, sequence), from_arrow_schema(_PIECES))
+    return rows.mapInArrow(_cut(tokenizer, end_id, sequence, remember), from_arrow_schema(_PIECES))
 
 
-def pack_documents(docs: DataFrame, *, tokenizer: str | None = None, end_id: int = 2, sequence: int = SEQUENCE, open_bins: int = OPEN_BINS, window: int = WINDOW) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, *, tokenizer: str | None = None, end_id: int = 2, sequence: int = SEQUENCE, open_bins: int = OPEN_BINS, window: int = WINDOW, remember: int = PIECES
+) -> DataFrame:
     """One row per piece with its sequence_id and offset. The pieces are small rows, written once and packed in place."""
-    pieces = scratch_table(cut_pieces(docs, tokenizer=tokenizer, end_id=end_id, sequence=sequence), "pieces")
-    return pieces.mapInArrow(_pack(sequence, open_bins, window), from_arrow_schema(_PACKED))
+    pieces = scratch_table(cut_pieces(docs, tokenizer=tokenizer, end_id=end_id, sequence=sequence, remember=remember), "pieces")
+    return pieces.mapInArrow(lean(_pack(sequence, open_bins, window)), from_arrow_schema(_PACKED))

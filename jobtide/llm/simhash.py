@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, lower_ascii, record_batch, release, scratch_scope, scratch_table, text_or_empty
+from .common import bounded_batches, lean, lower_ascii, record_batch, release, scratch_scope, scratch_table, text_or_empty
 from .components import connected_components
 
 WORDS = 3
@@ -250,7 +250,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     rows = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return rows.mapInArrow(_similar(similarity), "a long, b long, same boolean").filter("same").select("a", "b")
+    return rows.mapInArrow(lean(_similar(similarity)), "a long, b long, same boolean").filter("same").select("a", "b")
 
 
 def _joined(edges: list[DataFrame]) -> DataFrame:
@@ -300,7 +300,7 @@ def near_duplicate_groups(docs: DataFrame, *, words: int = SHINGLE, similarity:
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), text_or_empty().alias("text"))
-    sketch = scratch_table(rows.mapInArrow(_sketch(words), "id long, fp long, bands array<long>"), "near-sketch")
+    sketch = scratch_table(rows.mapInArrow(lean(_sketch(words)), "id long, fp long, bands array<long>"), "near-sketch")
     unique = sketch.groupBy("fp").agg(F.min("id").alias("id"))
     unique = scratch_table(unique, "near-unique")
     by_print = sketch.select("fp", F.col("id").alias("b")).join(unique.select("fp", F.col("id").alias("a")), "fp").filter("a <> b").select("a", "b")
@@ -314,7 +314,7 @@ def near_duplicate_groups(docs: DataFrame, *, words: int = SHINGLE, similarity:
     wanted = members.select("id").unionAll(simhash_pairs.select(F.col("a").alias("id"))).unionAll(simhash_pairs.select(F.col("b").alias("id"))).distinct()
     wanted = scratch_table(wanted, "near-wanted")
     ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    sets = scratch_table(rows.join(ids, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_sets(words), "id long, shingles binary, digest binary"), "near-sets")
+    sets = scratch_table(rows.join(ids, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(lean(_sets(words)), "id long, shingles binary, digest binary"), "near-sets")
 
     first = scratch_table(sets.groupBy("digest").agg(F.min("id").alias("first")), "near-first")
     copies = scratch_table(sets.select("id", "digest").join(first, "digest").filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")), "near-copies")

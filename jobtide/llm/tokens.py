@@ -125,9 +125,9 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(rest)) for b in range(256)]
 
 
-def shared_encoder(path: str | None) -> Encoder:
+def shared_encoder(path: str | None, pieces: int = PIECES) -> Encoder:
     """One encoder for a Python worker, so that later tasks of it find the pieces of earlier ones."""
-    return worker_cache(f"encoder {path}", lambda: Encoder(path))
+    return worker_cache(f"encoder {path} {pieces}", lambda: Encoder(path, pieces))
 
 
 class Encoder:
