@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from jobtide.llm import decontaminate, exact_dedup, packing, simhash, toxicity
 from jobtide.llm.common import release, scratch_scope, scratch_table, table
 
+#: Pieces of text that a worker's encoder remembers, twice over: fewer than by default, as its executor has been through other stages.
+REMEMBER = 200_000
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -45,7 +47,7 @@ def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 1024 tokens with their sequence and place in it."""
-    return packing.pack_documents(docs, end_id=2)
+    return packing.pack_documents(docs, end_id=2, remember=REMEMBER)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
