@@ -58,7 +58,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack),
 ]
 
-#: No SQL expresses a learnt model, suffix automata and bin packing; tests/llm/test_pipeline.py has the brute-force version.
+#: No SQL expresses a learnt model, suffix automata and bin packing; tests/llm/test_pipeline.py has planted cases, the tests of each operator compare with plain versions.
 ORACLE_SQL = None
 
 
