@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, html_extract, language, licenses, packing, pii, simhash, token_store, toxicity
+from . import decontaminate, exact_dedup, html_extract, language, licenses, packing, pii, simhash, token_store, toxicity, vector_codes
 from .common import scratch_path, table
 
 
@@ -61,12 +61,17 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop("code_points")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_simhash_near_dedup, op2_token_store, op3_license_scan, op4_decontaminate, op5_best_fit_packing, op6_toxicity, op7_language_id, op8_pii_surrogates, op9_html_extraction, op10_exact_dedup)
+    for f in (op1_simhash_near_dedup, op2_token_store, op3_license_scan, op4_decontaminate, op5_best_fit_packing, op6_toxicity, op7_language_id, op8_pii_surrogates, op9_html_extraction, op10_exact_dedup, op11_vector_codes)
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_vector_codes": vector_codes.oracle_sql(),
     "op3_license_scan": licenses.oracle_sql(),
     "op4_decontaminate": r"""
         WITH it AS (
