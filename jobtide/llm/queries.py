@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, html_extract, language, licenses, packing, pii, simhash, token_store, toxicity, vector_codes
+from . import decontaminate, exact_dedup, html_extract, language, licenses, packing, pii, simhash, token_alignment, token_store, toxicity, vector_codes
 from .common import scratch_path, table
 
 
@@ -65,9 +65,13 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.encode_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_simhash_near_dedup, op2_token_store, op3_license_scan, op4_decontaminate, op5_best_fit_packing, op6_toxicity, op7_language_id, op8_pii_surrogates, op9_html_extraction, op10_exact_dedup, op11_vector_codes)
+    for f in (op1_simhash_near_dedup, op2_token_store, op3_license_scan, op4_decontaminate, op5_best_fit_packing, op6_toxicity, op7_language_id, op8_pii_surrogates, op9_html_extraction, op10_exact_dedup, op11_vector_codes, op12_token_alignment)
 }
 
 ORACLE_SQL: dict[str, str] = {
