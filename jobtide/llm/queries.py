@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, html_extract, language, licenses, packing, pii, simhash, token_alignment, token_store, toxicity, vector_codes
+from . import decontaminate, exact_dedup, html_extract, language, licenses, ngram_join, packing, pii, simhash, token_alignment, token_store, toxicity, vector_codes
 from .common import scratch_path, table
 
 
@@ -69,13 +69,18 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_simhash_near_dedup, op2_token_store, op3_license_scan, op4_decontaminate, op5_best_fit_packing, op6_toxicity, op7_language_id, op8_pii_surrogates, op9_html_extraction, op10_exact_dedup, op11_vector_codes, op12_token_alignment)
+    for f in (op1_simhash_near_dedup, op2_token_store, op3_license_scan, op4_decontaminate, op5_best_fit_packing, op6_toxicity, op7_language_id, op8_pii_surrogates, op9_html_extraction, op10_exact_dedup, op11_vector_codes, op12_token_alignment, op13_ngram_join)
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op11_vector_codes": vector_codes.oracle_sql(),
+    "op13_ngram_join": ngram_join.oracle_sql(),
     "op3_license_scan": licenses.oracle_sql(),
     "op4_decontaminate": r"""
         WITH it AS (
