@@ -23,6 +23,9 @@ null component_id. An empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -31,7 +34,6 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, lean, lower_ascii, record_batch, release, scratch_table, text_or_empty, worker_cache
 from .components import connected_components
-from .tokens import TwoGenerations
 
 WORDS = 4
 #: A link: PART * shared >= SHARE * united.
@@ -48,42 +50,103 @@ BLOCK_ROWS, BLOCK_BYTES, BLOCK_GRAMS = 512, 8 << 20, 4096
 BROADCAST_IDS = 1 << 20
 #: Documents per key of the frequency count: about half a million n-grams meet in a group.
 CHUNK_DOCUMENTS = 1024
+#: Bytes of texts whose words are hashed at once.
+TEXT_BLOCK = 1 << 19
 _HELD_GRAMS = 1 << 22
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 # ---------------------------------------------------------------- sets
 
 
-def word_hashes(words: list[bytes], known: TwoGenerations) -> np.ndarray:
-    found = known.get_all(words)
-    new = {w for w, x in zip(words, found) if x is None}
-    if new:
-        fresh = {w: xxhash.xxh3_64_intdigest(w) for w in new}
-        for w, x in fresh.items():
-            if len(w) < 64:
-                known.put(w, x)
-        found = [fresh[w] if x is None else x for w, x in zip(words, found)]
-    return np.fromiter(found, "u8", len(found))
-
-
-def gram_set(text: str | None, words: int, known: TwoGenerations) -> np.ndarray:
-    """Sorted different hashes of the n-grams of a text; of fewer words the whole sequence is one."""
-    found = lower_ascii(text).split()  # bytes split at space and the controls from tab to carriage return
-    if not found:
-        return np.zeros(0, "u8")
-    each, size = word_hashes(found, known), min(words, len(found))
-    grams = np.full(len(each) - size + 1, size, "u8")
-    for k in range(size):
-        grams = grams * _ODD + each[k : len(each) - size + 1 + k]
+def _powers(odd: np.uint64, size: int) -> np.ndarray:
+    steps = np.full(size, odd, "u8")
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
+
+
+class WordHashes:
+    """64-bit hashes of all words of a block of bytes at once: a random number per byte times the power of its place, summed from a word's start."""
+
+    def __init__(self):
+        self.bytes = np.random.default_rng(20_240_613).integers(1, 2**64, 256, dtype="u8", endpoint=False)
+        self.space = np.isin(np.arange(256), np.frombuffer(b" \t\n\x0b\x0c\r", "u1"))
+        self.odd = int(_ODD)
+        self.up = self.down = np.zeros(0, "u8")
+
+    def of(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Hash and start of each word."""
+        at = np.frombuffer(raw, "u1")
+        if len(at) > len(self.up):
+            self.up, self.down = _powers(_ODD, len(at)), _powers(np.uint64(pow(self.odd, -1, 1 << 64)), len(at))
+        inside = np.zeros(len(at) + 2, bool)
+        inside[1:-1] = ~self.space[at]
+        starts, ends = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
+        sums = np.zeros(len(at) + 1, "u8")
+        np.cumsum(self.bytes[at] * self.up[: len(at)], out=sums[1:])
+        found = (sums[ends] - sums[starts]) * self.down[starts] + (ends - starts).astype("u8")
+        return mixed(found), starts
+
+
+def mixed(values: np.ndarray) -> np.ndarray:
     for shift in (29, 32):
-        grams ^= grams >> np.uint64(shift)
-        grams *= _ODD
-    return np.unique(grams ^ (grams >> np.uint64(31)))
+        values = (values ^ (values >> np.uint64(shift))) * _ODD
+    return values ^ (values >> np.uint64(31))
 
 
-def _known() -> TwoGenerations:
-    return worker_cache("word hashes", lambda: TwoGenerations(400_000))
+def _grams(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of each run of so many words, in their order."""
+    grams = np.full(len(words) - size + 1, size, "u8")
+    for k in range(size):
+        grams = grams * _ODD + words[k : len(words) - size + 1 + k]
+    return mixed(grams)
+
+
+def gram_sets(texts: list[str | None], words: int) -> Iterator[np.ndarray]:
+    """Sorted different hashes of the n-grams of each text; of fewer words the whole sequence is one."""
+    hashes: WordHashes = worker_cache("word hashes", WordHashes)
+
+    def of_block(block: list[bytes]) -> Iterator[np.ndarray]:
+        raw = b"\n".join(block)
+        found, starts = hashes.of(raw)
+        begins = np.concatenate([[0], np.cumsum([len(t) + 1 for t in block])])
+        bounds = np.searchsorted(starts, begins).tolist()
+        every = _grams(found, words) if len(found) >= words else np.zeros(0, "u8")
+        for s, e in zip(bounds, bounds[1:]):
+            yield np.unique(every[s : e - words + 1]) if e - s >= words else _grams(found[s:e], e - s) if e > s else np.zeros(0, "u8")
+
+    held: list[bytes] = []
+    size = 0
+    for text in texts:
+        raw = lower_ascii(text)
+        if len(raw) > TEXT_BLOCK:
+            yield from of_block(held)
+            held, size = [], 0
+            found = np.concatenate([hashes.of(part)[0] for part in _at_spaces(raw)])
+            yield np.unique(_grams(found, min(words, len(found)))) if len(found) else found
+            continue
+        held.append(raw)
+        size += len(raw)
+        if size > TEXT_BLOCK:
+            yield from of_block(held)
+            held, size = [], 0
+    if held:
+        yield from of_block(held)
+
+
+def _at_spaces(raw: bytes) -> Iterator[bytes]:
+    """A long text in parts that end at white space. A run without any is one part."""
+    at = 0
+    while at < len(raw):
+        found = _SPACE.search(raw, at + TEXT_BLOCK)
+        end = found.start() if found else len(raw)
+        yield raw[at:end]
+        at = end
+
+
+def gram_set(text: str | None, words: int = WORDS) -> np.ndarray:
+    return next(gram_sets([text], words))
 
 
 def prefix_length(n: int) -> int:
@@ -127,8 +190,8 @@ def _gram_chunks(words: int, bits: int):
         held: list[np.ndarray] = []
         size = 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.append(_short_key(gram_set(text, words, _known()), bits))
+            for grams in gram_sets(batch.column(0).to_pylist(), words):
+                held.append(_short_key(grams, bits))
                 size += len(held[-1])
                 if size >= _HELD_GRAMS:
                     yield _chunk_rows(np.concatenate(held))
@@ -180,8 +243,7 @@ def _prefixes(words: int, bits: int, shared):
         keys, powers = shared.value
         for batch in batches:
             out: dict[str, list] = {"doc_id": batch.column(0).to_pylist(), "n": [], "digest": [], "prefix": []}
-            for text in batch.column(1).to_pylist():
-                grams = gram_set(text, words, _known())
+            for grams in gram_sets(batch.column(1).to_pylist(), words):
                 prefix = np.zeros(0, "i8")
                 if len(grams):
                     power = np.zeros(len(grams), "u1")
@@ -206,8 +268,7 @@ def _whole_sets(words: int):
         seen: set[bytes] = set()
         for batch in batches:
             out: dict[str, list] = {"digest": [], "grams": []}
-            for text in batch.column(0).to_pylist():
-                raw = gram_set(text, words, _known()).tobytes()
+            for raw in map(np.ndarray.tobytes, gram_sets(batch.column(0).to_pylist(), words)):
                 digest = xxhash.xxh3_128_digest(raw)
                 if raw and digest not in seen:
                     seen.add(digest)
@@ -422,7 +483,8 @@ def oracle_sql(*, words: int = WORDS) -> str:
     """The same as DuckDB SQL over `documents` with different doc_ids."""
     return rf"""
         WITH RECURSIVE w AS (
-            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w FROM documents),
         g AS (
             SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(w) - {words - 1}, 1) + 1), lambda i: array_to_string(w[i : i + {words - 1}], ' '))) AS s
             FROM w WHERE len(w) > 0),

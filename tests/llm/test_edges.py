@@ -12,6 +12,7 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 CLASHES = [
     "id", "fp", "sha", "a", "b", "n", "key", "row", "own", "label", "first", "bucket", "bands", "list", "ids", "low", "high", "score", "rejected", "predicted", "held_out", "keep_id", "kept", "group_size",
     "group_id", "root", "component_id", "fingerprint", "start", "piece", "length", "offset", "sequence_id", "n_tokens", "n_hit", "n_words", "n_items", "host", "html_text", "toxic", "slots", "batch", "part", "chunk", "lang_pred",
+    "digest", "prefix", "gram", "m", "kind", "rep", "pop", "hub", "grams", "pairs", "pair", "n_a", "n_links", "rest", "best", "q", "code", "error", "entry", "place", "total", "_label",
 ]
 #: Columns that do not depend on how rows are dealt over tasks.
 STABLE = {"op5_best_fit_packing": ["doc_id", "piece", "start", "length", "ids_crc32"], "packing": ["doc_id", "piece", "start", "length", "ids_crc32"]}
@@ -34,8 +35,13 @@ def tables(null_ids: bool):
     return docs, labels, items, pages
 
 
-def write(spark, folder, docs, labels, items, pages, extra=()):
-    shapes = {"documents": (docs, DOCS), "labels": (labels, "doc_id long, quality int, toxic int"), "benchmark": (items, "item_id long, text string"), "pages": (pages, "page_id long, url string, html string")}
+#: Kept ones first.
+VECTORS = [(i, [((i * 7 + k) % 11) / 10 - 0.5 for k in range(16)], i % 3 or None) for i in range(40)] + [(3, [0.25] * 16, 1), (3, [0.25] * 16, 1), (None, [0.5] * 16, None)]
+DROPPED = [(50, None, 1), (51, [], 1), (52, [None] * 16, 1), (53, [float("nan")] * 16, 2), (54, [0.5] * 8, 2)]
+
+
+def write(spark, folder, docs, labels, items, pages, extra=(), vectors=VECTORS + DROPPED):
+    shapes = {"embeddings": (vectors, "vec_id long, embedding array<float>, label int"), "documents": (docs, DOCS), "labels": (labels, "doc_id long, quality int, toxic int"), "benchmark": (items, "item_id long, text string"), "pages": (pages, "page_id long, url string, html string")}
     for name, (rows, schema) in shapes.items():
         known = {c.split()[0] for c in schema.split(", ")}
         more = [c for c in extra if c not in known]
@@ -53,20 +59,21 @@ def odd(spark, tmp_path_factory):
     made = {"plain": tables(False), "nulls": tables(True)}
     found = {name: write(spark, tmp_path_factory.mktemp(name), *rows) for name, rows in made.items()}
     found["clash"] = write(spark, tmp_path_factory.mktemp("clash"), *made["nulls"], extra=CLASHES)
-    found["empty"] = write(spark, tmp_path_factory.mktemp("empty"), [], [], [], [])
+    found["empty"] = write(spark, tmp_path_factory.mktemp("empty"), [], [], [], [], vectors=[])
     return found
 
 
 @pytest.mark.parametrize("name", queries.QUERIES)
 def test_queries(spark, odd, name):
     query, (docs, _, _, pages) = queries.QUERIES[name], tables(True)
+    given = {"page_id": pages, "vec_id": VECTORS}
     whole = query(spark, odd["nulls"])
     columns = STABLE.get(name, whole.columns)
     rows = result(whole, columns)
     assert rows == result(query(spark, odd["clash"]), columns)
     if name != "op5_best_fit_packing":  # a row per piece there
-        assert len(rows) == len(pages if "page_id" in columns else docs)
-    assert {r[columns[0]] for r in whole.select(columns[0]).collect()} == {r[0] for r in (pages if "page_id" in columns else docs)}
+        assert len(rows) == len(given.get(columns[0], docs))
+    assert {r[columns[0]] for r in whole.select(columns[0]).collect()} == {r[0] for r in given.get(columns[0], docs)}
     nothing = query(spark, odd["empty"])
     assert nothing.columns == whole.columns and nothing.count() == 0
 
