@@ -6,12 +6,12 @@ Row order matters to "the first": it is a column, given as `order`.
 from __future__ import annotations
 
 import math
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import casing_score, description_hash, strip
+from ..scratch import written
 
 
 def keep_first(df: DataFrame, keys: list, *order) -> DataFrame:
@@ -67,20 +67,6 @@ def spread_value(df: DataFrame, group: str, column: str, is_rep: str) -> DataFra
 # ------------------------------------------------------------ near duplicates
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not named and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return (named or "file:///tmp/checkpoints").rstrip("/")
-
-
-def written(df: DataFrame) -> DataFrame:
-    """The table written to the shared folder and read back; loops end their lineage so."""
-    path = f"{_shared_folder(df.sparkSession)}/jobtide-core/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def near_duplicate_pairs(df: DataFrame, tokens: str, threshold: float = 0.95, id_col: str = "id") -> DataFrame:
     """a, b, similarity: rows with a < b whose token sets have a Jaccard similarity of at least `threshold`.
 

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from .functions import arrays, fields, locations, numbers, text, titles
 from .operators import analytics, cleaning, dedup, evaluation, explorer, filters, validation
 from .plans import extraction
-from .sources import io, state
+from .scratch import scratch_path
+from .sources import csv_split, io, state, state_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -809,3 +810,32 @@ def clean_descriptions(spark, d):
 def c_inference(spark, d):
     body = F.when(F.col("p_size") % 3 == 0, "We write c++ here").when(F.col("p_size") % 3 == 1, "Knowledge of C, please").otherwise("C# and Java")
     return read(spark, d, "part").select("p_partkey", F.array_join(validation.fix_c_inference(F.array(F.lit("C++"), F.lit("Java")), body), ",").alias("skills"))
+
+
+# ------------------------------------------------------------------ sources
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, sha256(text) AS sha, CAST(length(text) AS BIGINT) AS n, lang FROM documents")
+def csv_quoted_by_ranges(spark, d):
+    """All documents as quoted CSV, line breaks included, read back by byte ranges."""
+    path = scratch_path(spark)
+    rows = read(spark, d, "documents").select("doc_id", "text", "lang")
+    rows.write.options(header=True, quoteAll=True, quote='"', escape='"', nullValue="\0", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    back = csv_split.read_csv_split(spark, path)
+    return back.select("doc_id", F.sha2("text", 256).alias("sha"), F.length("text").cast("long").alias("n"), "lang")
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 100 = 3 THEN 'moved' ELSE c_mktsegment END AS segment, CASE WHEN c_custkey % 100 = 3 THEN 0.0 ELSE CAST(c_acctbal AS DOUBLE) END AS balance
+    FROM customer WHERE c_custkey % 100 <> 7 UNION ALL SELECT -c_custkey, 'new', CAST(c_acctbal AS DOUBLE) FROM customer WHERE c_custkey % 50 = 11""")
+def state_log_merges(spark, d):
+    """Customers as a state log after an update, a deletion and two inserts (one of known keys), with one compaction between."""
+    c = read(spark, d, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").cast("double").alias("balance"))
+    log = state_log.StateLog.create(spark, scratch_path(spark), c.schema, ["c_custkey"])
+    log.upsert(c)
+    log.compact()
+    log.upsert(c.filter("c_custkey % 100 = 3").withColumns({"segment": F.lit("moved"), "balance": F.lit(0.0)}))
+    log.delete(c.filter("c_custkey % 100 = 7"))
+    new = c.filter("c_custkey % 50 = 11").withColumns({"c_custkey": -F.col("c_custkey"), "segment": F.lit("new")})
+    log.insert(new)
+    log.insert(new.withColumn("segment", F.lit("ignored")))
+    return log.read()

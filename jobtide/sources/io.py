@@ -14,6 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.numbers import UNKNOWN_DATE, posted_date
 from ..functions.text import null_if_sentinel, row_id, strip
+from .csv_split import read_csv_split
 
 INGEST_COLUMNS = ("title", "site", "job_url", "company_name", "location", "date_posted", "description")
 INGEST_SCHEMA = StructType([StructField(c, StringType()) for c in INGEST_COLUMNS])
@@ -30,25 +31,20 @@ class Source:
 
 
 def read_csv(spark: SparkSession, path: str, *, encoding: str = "UTF-8", schema: StructType | None = None) -> DataFrame:
-    """Every cell as text. Quoted cells may hold line breaks and doubled quotes."""
+    """Every cell as text, a file per task. Quoted cells may hold line breaks and doubled quotes; `read_csv_split` reads such files by ranges."""
     reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("encoding", encoding).option("nullValue", "\0")
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
 def guess_encoding(spark: SparkSession, path: str, fallback: str = "ISO-8859-1") -> str:
-    """UTF-8 unless the head of the first file is not."""
-    head = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, 65536).alias("head")).first()
-    try:
-        (head["head"] if head else b"")[:65000].decode("utf-8", "strict")
-    except UnicodeDecodeError as e:
-        if e.start < 64990:
-            return fallback
-    return "UTF-8"
+    """UTF-8 unless a line is not valid UTF-8; all lines are looked at, by all tasks."""
+    broken = spark.read.option("lineSep", "\n").text(path).filter(~F.is_valid_utf8("value"))
+    return fallback if broken.limit(1).count() else "UTF-8"
 
 
 def read_csv_safe(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with sentinels as NULL."""
-    raw = read_csv(spark, path, encoding=guess_encoding(spark, path))
+    """CSV with sentinels as NULL, read by byte ranges."""
+    raw = read_csv_split(spark, path, encoding=guess_encoding(spark, path))
     return raw.select(*[null_if_sentinel(F.col(f"`{c}`")).alias(c) for c in raw.columns])
 
 
@@ -65,12 +61,12 @@ def write_csv_safe(df: DataFrame, path: str, *, single: bool = False) -> None:
 
 def load_source(spark: SparkSession, source: Source, *, limit: int | None = None) -> DataFrame:
     """A source's rows under the ingest columns, stripped, with row order in _ord."""
-    raw = read_csv(spark, source.path)
+    raw = read_csv_split(spark, source.path, encoding=guess_encoding(spark, source.path), order="_ord")
     missing = [s for s in source.columns.values() if s not in raw.columns]
     if missing:
         raise ValueError(f"{source.name} lacks {', '.join(missing)}")
     cells = {t: F.col(f"`{s}`") for t, s in source.columns.items()} | {"site": F.lit(source.site)}
-    picked = raw.select(*[strip(cells.get(c, F.lit(None).cast("string"))).alias(c) for c in INGEST_COLUMNS], F.monotonically_increasing_id().alias("_ord"), F.lit(source.name).alias("source_file"))
+    picked = raw.select(*[strip(cells.get(c, F.lit(None).cast("string"))).alias(c) for c in INGEST_COLUMNS], "_ord", F.lit(source.name).alias("source_file"))
     no_text = picked.withColumns({c: F.when(~F.col(c).isin("nan", "None"), F.col(c)) for c in INGEST_COLUMNS})
     return no_text.orderBy("_ord").limit(limit) if limit is not None else no_text
 

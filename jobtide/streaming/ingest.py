@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..sources.io import upsert
+from ..sources.state_log import StateLog
 
 
 def read_drops(spark: SparkSession, folder: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
@@ -47,3 +48,14 @@ def upsert_batches(path: str, key: str) -> Callable[[DataFrame, int], None]:
                 files.delete(done[v], True)
 
     return merge
+
+
+def merge_batches(log: StateLog, *, order: Sequence = (), writer: str = "stream", compact_every: int = 20) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that commits each batch as a delta of a state log, once, and compacts now and then."""
+
+    def merge(batch: DataFrame, number: int) -> None:
+        log.upsert(batch, order=order, writer=writer, batch=number)
+        if number % compact_every == compact_every - 1:
+            log.compact()
+
+    return merge
