@@ -126,6 +126,17 @@ def leaders(pairs: DataFrame, ids: DataFrame) -> DataFrame:
     return ids.select("id").join(follow, "id", "left").withColumn("leader", F.coalesce("leader", "id"))
 
 
+def similar_leaders(df: DataFrame, tokens: str, threshold: float = 0.95, id_col: str = "id") -> DataFrame:
+    """id, leader of every row by the similarity of its token sets, as `leaders` of all similar pairs would have it.
+
+    Rows with equal sets have the same similar rows, so the smallest of them decides for all: what it follows, or itself.
+    """
+    pairs, classes = class_pairs(df, tokens, threshold, id_col)
+    classes = written(classes)
+    led = leaders(pairs, classes.filter("id = class_id")).toDF("class_id", "leader")
+    return classes.join(led, "class_id").select("id", "leader")
+
+
 def merge_groups(groups: DataFrame, near: DataFrame) -> DataFrame:
     """Description groups whose representatives are near duplicates become one: near has id, leader of representatives."""
     moved = near.select(F.col("id").alias("representative"), F.col("leader").alias("_leader"))

@@ -73,8 +73,7 @@ def deduplicate(spark: SparkSession, df: DataFrame, s: Settings) -> DataFrame:
     groups = dedup.description_groups(rows)
     reps = rows.join(groups.filter("id = representative").select(F.col("id").alias("row_id")), "row_id", "left_semi")
     tokens = F.array_distinct(F.filter(F.split(F.lower(F.coalesce("description", F.lit(""))), r"(?U)\s+"), lambda x: x != ""))
-    near = dedup.near_duplicate_pairs(reps.select(F.col("row_id").alias("id"), tokens.alias("tokens")), "tokens", s.near_threshold)
-    led = dedup.leaders(near, reps.select(F.col("row_id").alias("id")))
+    led = dedup.similar_leaders(reps.select(F.col("row_id").alias("id"), tokens.alias("tokens")), "tokens", s.near_threshold)
     merged = dedup.merge_groups(groups, led).select(F.col("id").alias("row_id"), "representative")
     return rows.join(merged, "row_id")
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import arrays, fields, locations, numbers, text, titles
-from .operators import analytics, cleaning, dedup, evaluation, explorer, filters, validation
+from .operators import analytics, cleaning, dedup, evaluation, explorer, filters, near_index, validation
 from .plans import extraction
 from .scratch import scratch_path
 from .sources import csv_split, io, state, state_log
@@ -343,8 +343,7 @@ def near_dup_pairs_jaccard(spark, d):
 
 @query()
 def near_dup_leaders(spark, d):
-    rows = docs(spark, d).withColumnRenamed("doc_id", "id")
-    return dedup.leaders(dedup.near_duplicate_pairs(rows, "skills", 0.95), rows)
+    return dedup.similar_leaders(docs(spark, d).withColumnRenamed("doc_id", "id"), "skills", 0.95)
 
 
 @query(r"""WITH h AS (SELECT doc_id, sha256(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS g FROM documents), r AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY g) AS rep FROM h)
@@ -839,3 +838,15 @@ def state_log_merges(spark, d):
     log.insert(new)
     log.insert(new.withColumn("segment", F.lit("ignored")))
     return log.read()
+
+
+def near_leaders_by_batches(spark, d):
+    """Leaders of documents that come in three batches through a stored index: id, leader."""
+    rows = docs(spark, d).select(F.col("doc_id").cast("string").alias("id"), "skills", F.pmod(F.xxhash64("doc_id"), F.lit(3)).alias("batch"))
+    index = near_index.NearIndex.create(spark, scratch_path(spark), rows.filter("batch = 0").select("skills"), "skills")
+    for b in range(3):
+        index.add(rows.filter(F.col("batch") == b).drop("batch"), "skills", batch=b)
+    return index.leaders()
+
+
+QUERIES["near_leaders_by_batches"] = near_leaders_by_batches
