@@ -74,21 +74,40 @@ LEVELS = ("required", "A1", "A2", "B1", "B2", "B2+", "C1", "C1+", "C2")
 BOILERPLATE = r"(?iU)equal\s+opportunity|diversity|inclusive|chancengleichheit|vielfalt|diskriminierung|unabhängig\s+von|regardless\s+of|freuen\s+uns\s+auf\s+(?:Ihre|deine|alle)\b|welcome\s+applications?\b"
 
 
-def first_match(c: Column, patterns: list[tuple[str, str]]) -> Column:
-    """Value of the first pattern that the text has; NULL if none."""
-    return F.coalesce(*[F.when(c.rlike("(?iU)" + p), v) for p, v in patterns])
+# For each pattern above what its matches hold, in lower case. Texts are searched for these parts, which is many times
+# cheaper, before a pattern is tried.
+CONTRACT_SIGNS = [("vollzeit", "time", "festanstellung"), ("teilzeit", "time"), ("freelance", "freiberufler"), ("unbefristet",), ("contractor", "auftragnehmer", "befristet"), ("werkstudent",), ("praktik",)]
+MODALITY_SIGNS = [("hybrid",), ("arbeiten",), ("arbeitsort",), ("remote", "office"), ("vor", "site", "präsenz")]
+EDUCATION_SIGNS = [("promotion", "ph", "doktor"), ("master", "sc", "diplom"), ("bachelor", "sc"), ("studium", "hochschulabschluss", "degree"), ("ausbildung",)]
+EXPERIENCE_SIGNS = ("jahr", "year")
+EXPERIENCE_WORD_SIGNS = ("erfahrung",)
+
+
+def folded(c: Column) -> Column:
+    """Lower case as patterns that are blind to case see it: four letters beyond ASCII count as s, i and k there."""
+    return F.lower(F.translate(c, "\u017f\u0130\u0131\u212a", "siik"))
+
+
+def holds(text: Column, signs: tuple[str, ...]) -> Column:
+    return reduce(lambda a, b: a | b, [text.contains(s) for s in signs])
+
+
+def first_match(c: Column, patterns: list[tuple[str, str]], signs: list[tuple[str, ...]] | None = None) -> Column:
+    """Value of the first pattern that the text has; NULL if none. A pattern is tried only where the text has one of its signs."""
+    low = folded(c)
+    return F.coalesce(*[F.when((holds(low, signs[k]) & c.rlike("(?iU)" + p)) if signs else c.rlike("(?iU)" + p), v) for k, (p, v) in enumerate(patterns)])
 
 
 def contract_type(description: Column, title: Column) -> Column:
-    return F.coalesce(first_match(description, CONTRACT), first_match(title, CONTRACT))
+    return F.coalesce(first_match(description, CONTRACT, CONTRACT_SIGNS), first_match(title, CONTRACT, CONTRACT_SIGNS))
 
 
 def work_modality(description: Column, title: Column) -> Column:
-    return F.coalesce(first_match(description, MODALITY), first_match(title, MODALITY))
+    return F.coalesce(first_match(description, MODALITY, MODALITY_SIGNS), first_match(title, MODALITY, MODALITY_SIGNS))
 
 
 def education_level(description: Column) -> Column:
-    return first_match(description, EDUCATION)
+    return first_match(description, EDUCATION, EDUCATION_SIGNS)
 
 
 def seniority(title: Column) -> Column:
@@ -142,9 +161,11 @@ def _salary_choice(d: Column, v: Column) -> Column:
 
 
 def experience_years(d: Column) -> Column:
+    low = folded(d)
+    years = lambda p: F.when(holds(low, EXPERIENCE_SIGNS), F.regexp_extract(d, p, 1).try_cast("int"))
     word = F.lower(F.regexp_extract(d, EXPERIENCE_WORDS, 1))
     named = reduce(lambda e, kv: e.when(word == kv[0], kv[1]), EXPERIENCE_YEARS.items(), F.when(F.lit(False), 0))
-    return F.coalesce(F.regexp_extract(d, EXPERIENCE, 1).try_cast("int"), F.regexp_extract(d, EXPERIENCE_LEAST, 1).try_cast("int"), named)
+    return F.coalesce(years(EXPERIENCE), years(EXPERIENCE_LEAST), F.when(holds(low, EXPERIENCE_WORD_SIGNS), named))
 
 
 def _named(c: Column, names: dict[str, str], other: Column) -> Column:
@@ -190,13 +211,27 @@ def _best_levels(every: Column) -> Column:
     return F.transform(names, lambda n: F.struct(n.alias("language"), F.element_at(F.array(*map(F.lit, LEVELS)), best(n)).alias("level")))
 
 
-def regex_fields(description: Column, title: Column, *, unescape: bool = True) -> dict[str, Column]:
-    """The eight regex_* columns of a posting."""
+def description_fields(description: Column) -> dict[str, Column]:
+    """What the description alone says; two of the fields fall back on the title."""
     d = strip_markdown_escapes(F.coalesce(description, F.lit("")))
+    pay = salary_range(d)
+    return {
+        "regex_contract_type": first_match(d, CONTRACT, CONTRACT_SIGNS), "regex_work_modality": first_match(d, MODALITY, MODALITY_SIGNS), "regex_salary_min": pay["low"], "regex_salary_max": pay["high"],
+        "regex_experience_years": experience_years(d), "regex_languages": languages(d), "regex_education_level": education_level(d),
+    }
+
+
+def title_fields(title: Column, *, unescape: bool = True) -> dict[str, Column]:
     t = F.coalesce(title, F.lit(""))
     t = strip_markdown_escapes(unescape_entities(t) if unescape else t)
-    pay = salary_range(d)
+    return {"regex_contract_type": first_match(t, CONTRACT, CONTRACT_SIGNS), "regex_work_modality": first_match(t, MODALITY, MODALITY_SIGNS), "regex_seniority_from_title": seniority(t)}
+
+
+def regex_fields(description: Column, title: Column, *, unescape: bool = True) -> dict[str, Column]:
+    """The eight regex_* columns of a posting."""
+    own, named = description_fields(description), title_fields(title, unescape=unescape)
     return {
-        "regex_contract_type": contract_type(d, t), "regex_work_modality": work_modality(d, t), "regex_salary_min": pay["low"], "regex_salary_max": pay["high"],
-        "regex_experience_years": experience_years(d), "regex_seniority_from_title": seniority(t), "regex_languages": languages(d), "regex_education_level": education_level(d),
+        "regex_contract_type": F.coalesce(own["regex_contract_type"], named["regex_contract_type"]), "regex_work_modality": F.coalesce(own["regex_work_modality"], named["regex_work_modality"]),
+        "regex_salary_min": own["regex_salary_min"], "regex_salary_max": own["regex_salary_max"], "regex_experience_years": own["regex_experience_years"],
+        "regex_seniority_from_title": named["regex_seniority_from_title"], "regex_languages": own["regex_languages"], "regex_education_level": own["regex_education_level"],
     }

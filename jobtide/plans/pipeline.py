@@ -16,11 +16,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.fields import regex_fields
+from ..functions.fields import description_fields, title_fields
 from ..functions.locations import is_non_german, normalize_city, parse_location
 from ..functions.text import concatenated
 from ..functions.titles import normalize_title, translate_title
 from ..operators import cleaning, dedup, filters, validation
+from ..operators.distinct import evaluate_once
 from ..sources import io
 from ..sources.state import merge_results
 from .extraction import Extractor, extract, rule_based
@@ -79,8 +80,11 @@ def deduplicate(spark: SparkSession, df: DataFrame, s: Settings) -> DataFrame:
 
 
 def regex_extract(spark: SparkSession, df: DataFrame, s: Settings) -> DataFrame:
+    """Fields by pattern: once for each different description, and by row what titles say."""
     filters.require_columns(df, ("title_cleaned", "description"))
-    return df.withColumns(regex_fields(F.col("description"), F.coalesce("title_cleaned", "title")))
+    found = evaluate_once(df, ["description"], description_fields(F.col("description")), id_col="row_id")
+    named = title_fields(F.coalesce("title_cleaned", "title"))
+    return found.withColumns({n: F.coalesce(F.col(n), c) if n in found.columns else c for n, c in named.items()})
 
 
 def semantic_extract(spark: SparkSession, df: DataFrame, s: Settings) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import arrays, fields, locations, numbers, text, titles
-from .operators import analytics, cleaning, dedup, evaluation, explorer, filters, near_index, validation
+from .operators import analytics, cleaning, dedup, distinct, evaluation, explorer, filters, near_index, validation
 from .plans import extraction
 from .scratch import scratch_path
 from .sources import csv_split, io, state, state_log
@@ -850,3 +850,20 @@ def near_leaders_by_batches(spark, d):
 
 
 QUERIES["near_leaders_by_batches"] = near_leaders_by_batches
+
+
+_PHRASES = ["", "Vollzeit oder Teilzeit, vor Ort", "part-time, Remote möglich", "unbefristet, Hybrid, Master oder Bachelor", "befristeter Vertrag, mobiles Arbeiten, 3+ Jahre Berufserfahrung", "Freelancer, on-site, Ph.D., at least 5 years", "Werkstudent, Studium, Homeoffice", "Praktikum; Ausbildung; mindestens 2 Jahre", "FULL TIME, M.Sc., 4 years experience"]
+_MATCH = lambda *rules: "CASE " + " ".join(f"WHEN regexp_matches(d, '(?i){p}') THEN '{v}'" for p, v in rules) + " END"
+
+
+@query(f"""WITH t AS (SELECT doc_id, text || ' ' || {_PHRASES}[CAST(doc_id % {len(_PHRASES)} AS INT) + 1] AS d FROM documents)
+    SELECT doc_id, {_MATCH((r"\b(Vollzeit|full[- ]?time|Festanstellung)\b", "Full-time"), (r"\b(Teilzeit|part[- ]?time)\b", "Part-time"), (r"\b(Freelance|freelancer|Freiberufler)\b", "Freelance"), (r"\bunbefristet(e[rsnm]?)?\b", "Permanent"), (r"\b(Contractor|Auftragnehmer|befristet(e[rsnm]?)?)\b", "Contract"), (r"\bWerkstudent(in)?\b", "Working Student"), (r"\bPraktik(um|ant(in)?)\b", "Internship"))} AS contract,
+    {_MATCH((r"\bHybrid", "Hybrid"), (r"\bmobile[snmr]?\s+Arbeiten\b", "Hybrid"), (r"\bflexible[rns]?\s+Arbeitsort", "Hybrid"), (r"\b(Remote|Home\s*Office)\b", "Remote"), (r"\b(vor\s+Ort|on[- ]?site)\b|\bPräsenz", "On-site"))} AS modality,
+    {_MATCH((r"\bPromotion\b|\bPh\.?D\.?\b|\bDoktor", "PhD"), (r"\bMaster\b|\bM\.?\s?Sc\.?\b|\bDiplom", "Master"), (r"\bBachelor\b|\bB\.?\s?Sc\.?\b", "Bachelor"), (r"\bStudium\b|\bHochschulabschluss\b|\bdegree\b", "Degree"), (r"\bAusbildung\b|\bBerufsausbildung\b", "Vocational"))} AS education,
+    coalesce(TRY_CAST(regexp_extract(d, '(?i)(\\d+)\\+?\\s*(?:Jahre?|years?)\\s+(?:Berufserfahrung|Erfahrung|experience)', 1) AS INT), TRY_CAST(regexp_extract(d, '(?i)(?:mindestens|at\\s+least|min\\.?)\\s*(\\d+)\\s*(?:Jahre?|years?)', 1) AS INT)) AS years FROM t""")
+def description_fields_once(spark, d):
+    """Fields of all documents, each with one of a few phrases behind it, computed once for each different text."""
+    phrase = F.element_at(F.array(*map(F.lit, _PHRASES)), (F.col("doc_id") % len(_PHRASES) + 1).cast("int"))
+    rows = read(spark, d, "documents").select("doc_id", F.concat("text", F.lit(" "), phrase).alias("d"))
+    found = distinct.evaluate_once(rows, ["d"], fields.description_fields(F.col("d")), id_col="doc_id")
+    return found.select("doc_id", F.col("regex_contract_type").alias("contract"), F.col("regex_work_modality").alias("modality"), F.col("regex_education_level").alias("education"), F.col("regex_experience_years").alias("years"))
