@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.arrays import pairs
 from ..functions.numbers import round_half_up
 from ..functions.text import strip
+from .quantiles import quantiles
 
 
 def top(df: DataFrame, n: int | None, *order: Column | str) -> DataFrame:
@@ -89,22 +90,27 @@ def share_over_time(df: DataFrame, column: str, values: Sequence[str], date: str
     return _unpivot(cells, values, "item", "share", "period")
 
 
-def quantiles_by_group(df: DataFrame, group: str, value: str, min_count: int = 10, n: int | None = None, *, accuracy: int | None = None) -> DataFrame:
+def quantiles_by_group(df: DataFrame, group: str, value: str, min_count: int = 10, n: int | None = None, *, accuracy: int | None = None, bounded: bool = False) -> DataFrame:
     """count, median and quartiles (exact, linear between ranks) of groups with min_count rows; the highest medians first where n cuts.
 
-    Exact quantiles hold a count for each different value of a group. With `accuracy` they are sketches of bounded size,
-    whose ranks are wrong by 1 / accuracy at most.
+    One pass holds a count for each different value of a group. `bounded` takes two or three passes instead, whose counters do not grow with a
+    group; it is exact as well. With `accuracy` quantiles are sketches of bounded size, whose ranks are wrong by 1 / accuracy at most.
     """
-    at = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    q = F.percentile(value, at) if accuracy is None else F.percentile_approx(value, at, accuracy)
-    found = df.filter(F.col(group).isNotNull() & F.col(value).isNotNull()).groupBy(F.col(group).alias("grp")).agg(F.count("*").alias("n"), q.alias("q")).filter(F.col("n") >= min_count)
-    found = found.select("grp", "n", F.col("q")[1].alias("median"), F.col("q")[0].alias("p25"), F.col("q")[2].alias("p75"))
+    shares = (0.25, 0.5, 0.75)
+    rows = df.filter(F.col(group).isNotNull() & F.col(value).isNotNull())
+    if bounded:
+        found = quantiles(rows, [group], value, shares).select(F.col(group).alias("grp"), "n", F.col("quantiles").alias("q"))
+    else:
+        at = F.array(*map(F.lit, shares))
+        q = F.percentile(value, at) if accuracy is None else F.percentile_approx(value, at, accuracy)
+        found = rows.groupBy(F.col(group).alias("grp")).agg(F.count("*").alias("n"), q.alias("q"))
+    found = found.filter(F.col("n") >= min_count).select("grp", "n", F.col("q")[1].alias("median"), F.col("q")[0].alias("p25"), F.col("q")[2].alias("p75"))
     return top(found, n, F.desc("median"), "grp")
 
 
-def skill_premium(df: DataFrame, column: str, value: str, min_count: int = 5, n: int = 25, *, accuracy: int | None = None) -> DataFrame:
+def skill_premium(df: DataFrame, column: str, value: str, min_count: int = 5, n: int = 25, *, accuracy: int | None = None, bounded: bool = False) -> DataFrame:
     """Quantiles of a value by listed element."""
-    return quantiles_by_group(_items(df, column), "item", value, min_count, n, accuracy=accuracy).withColumnRenamed("grp", "item")
+    return quantiles_by_group(_items(df, column), "item", value, min_count, n, accuracy=accuracy, bounded=bounded).withColumnRenamed("grp", "item")
 
 
 def crosstab(df: DataFrame, a: str, b: str, *, missing: str | None = None) -> DataFrame:

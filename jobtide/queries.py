@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import arrays, fields, locations, numbers, text, titles
-from .operators import analytics, cleaning, dedup, distinct, evaluation, explorer, filters, near_index, validation
+from .operators import analytics, cleaning, dedup, distinct, evaluation, explorer, filters, near_index, quantiles, validation
 from .plans import extraction
 from .scratch import scratch_path
 from .sources import csv_split, io, state, state_log
@@ -867,3 +867,12 @@ def description_fields_once(spark, d):
     rows = read(spark, d, "documents").select("doc_id", F.concat("text", F.lit(" "), phrase).alias("d"))
     found = distinct.evaluate_once(rows, ["d"], fields.description_fields(F.col("d")), id_col="doc_id")
     return found.select("doc_id", F.col("regex_contract_type").alias("contract"), F.col("regex_work_modality").alias("modality"), F.col("regex_education_level").alias("education"), F.col("regex_experience_years").alias("years"))
+
+
+@query("""SELECT l_returnflag, l_linestatus, count(*) AS n, round(quantile_cont(v, 0.0), 4) AS p0, round(quantile_cont(v, 0.1), 4) AS p10, round(quantile_cont(v, 0.5), 4) AS p50, round(quantile_cont(v, 0.99), 4) AS p99, round(quantile_cont(v, 1.0), 4) AS p100
+    FROM (SELECT CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_returnflag END AS l_returnflag, l_linestatus, CAST(l_extendedprice AS DOUBLE) - 30000 AS v FROM lineitem) GROUP BY 1, 2""")
+def quantiles_refined(spark, d):
+    """Exact quantiles of prices by flag (NULL is one) and mode, through refined histograms."""
+    rows = read(spark, d, "lineitem").select(F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")).alias("l_returnflag"), "l_linestatus", (F.col("l_extendedprice").cast("double") - 30000).alias("v"))
+    found = quantiles.quantiles(rows, ["l_returnflag", "l_linestatus"], "v", [0.0, 0.1, 0.5, 0.99, 1.0], bits=8)
+    return found.select("l_returnflag", "l_linestatus", "n", *[F.round(F.col("quantiles")[k], 4).alias(x) for k, x in enumerate(("p0", "p10", "p50", "p99", "p100"))])
