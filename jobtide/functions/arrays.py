@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import SENTINELS, strip
+from .text import SENTINELS, let, strip
 
 STRINGS = "array<string>"
 
@@ -20,11 +20,6 @@ def parse_list(c: Column, *, strict_json: bool = False) -> Column:
     return F.coalesce(parsed, F.array().cast(STRINGS))
 
 
-def let(value: Column, use) -> Column:
-    """use(value) with the value computed once per row: a lambda over an expression would compute it for every element."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def first_of_each(items: Column, key) -> Column:
     """The first element of each key, in order, by two sorts."""
     keyed = F.array_sort(F.transform(items, lambda x, i: F.struct(key(x).alias("k"), i.alias("i"), x.alias("x"))))

@@ -222,9 +222,10 @@ def description_fields(description: Column) -> dict[str, Column]:
 
 
 def title_fields(title: Column, *, unescape: bool = True) -> dict[str, Column]:
+    """What the title alone says. The cleaned title is computed once for each of the fields."""
     t = F.coalesce(title, F.lit(""))
     t = strip_markdown_escapes(unescape_entities(t) if unescape else t)
-    return {"regex_contract_type": first_match(t, CONTRACT, CONTRACT_SIGNS), "regex_work_modality": first_match(t, MODALITY, MODALITY_SIGNS), "regex_seniority_from_title": seniority(t)}
+    return {"regex_contract_type": let(t, lambda x: first_match(x, CONTRACT, CONTRACT_SIGNS)), "regex_work_modality": let(t, lambda x: first_match(x, MODALITY, MODALITY_SIGNS)), "regex_seniority_from_title": let(t, seniority)}
 
 
 def regex_fields(description: Column, title: Column, *, unescape: bool = True) -> dict[str, Column]:

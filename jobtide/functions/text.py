@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import html
+import json
+import zlib
 from collections.abc import Sequence
+from html.entities import html5
 
-import pandas as pd
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
-
-from ..shipping import ship
 
 # Strings that mean "missing" (case matters).
 SENTINELS = ("", "nan", "NaN", "None", "none", "NA", "na", "N/A", "n/a", "null")
@@ -40,15 +38,68 @@ def blank(c: Column) -> Column:
     return c.isNotNull() & (strip(c) == "")
 
 
-@F.pandas_udf(StringType())
-def _unescape(s: pd.Series) -> pd.Series:
-    return s.map(html.unescape, na_action="ignore")
+#: Named entities are dealt by checksum over so many short tables.
+_TABLES = 256
+
+
+def _entity_tables() -> str:
+    """All names of HTML 5, with and without semicolon as they are defined, as a JSON list of texts: U+0001, name, U+0002, value in two characters."""
+    tables = [""] * _TABLES
+    for name, value in html5.items():
+        tables[zlib.crc32(name.encode()) % _TABLES] += f"\x01{name}\x02{value:\x03<2}"
+    return json.dumps(tables)
+
+
+def let(value: Column, use) -> Column:
+    """use(value) with the value computed once per row: a lambda over an expression would compute it for every element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _code_point(n: Column) -> Column:
+    """The character of a number, as HTML 5 has it: Windows-1252 for 128 to 159, U+FFFD for what is no character, nothing for controls and noncharacters."""
+    windows = {k: bytes([k]).decode("cp1252", "ignore") or chr(k) for k in range(0x80, 0xA0)}
+    known = F.when(n == 0, "\ufffd").when(n == 0xFEFF, "\ufeff")
+    for k, c in windows.items():
+        known = known.when(n == k, c)
+    gone = n.between(1, 8) | (n == 11) | n.between(14, 31) | (n == 127) | n.between(0xFDD0, 0xFDEF) | (n.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    plain = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    return known.when((n > 0x10FFFF) | n.between(0xD800, 0xDFFF), "\ufffd").when(gone, "").otherwise(plain)
 
 
 def unescape_entities(c: Column) -> Column:
-    """All named and numeric entities; an Arrow batch at a time. Spark has no built-in for it."""
-    ship(SparkSession.getActiveSession())
-    return _unescape(c)
+    """All named and numeric character references, as browsers read them: names without a semicolon where HTML 5 knows them so, longest first.
+
+    Each part behind a sign of & is read by itself, since no reference holds that sign. Texts without one are left as they are.
+    """
+    tables = F.from_json(F.lit(_entity_tables()), "array<string>")
+    bare = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
+
+    def named(name: Column) -> Column:
+        """The value of a name that HTML 5 has, else NULL."""
+        table = F.get(tables, F.pmod(F.crc32(F.encode(name, "UTF-8")), F.lit(_TABLES)).cast("int"))
+        at = lambda t: F.instr(t, F.concat(F.lit("\x01"), name, F.lit("\x02")))
+        return F.when(name.rlike("^[A-Za-z0-9]+;?$"), let(table, lambda t: F.when(at(t) > 0, F.rtrim(F.substr(t, at(t) + F.length(name) + 2, F.lit(2)), F.lit("\x03")))))
+
+    def number(digits: Column, base: int, most: int) -> Column:
+        short = F.ltrim(digits, F.lit("0"))
+        return let(F.when(F.length(short) > most, 0x110000).when(short == "", 0).otherwise(F.conv(short, base, 10).cast("int")), _code_point)
+
+    def read(p: Column, reference: Column) -> Column:
+        rest = lambda size: F.substr(p, size + 1)
+        start = F.regexp_extract(reference, f"^(?:{bare})", 0)
+        other = let(start, lambda s: F.when(s != "", F.concat(named(s), rest(F.length(s)))).otherwise(F.concat(F.lit("&"), p)))
+        return (
+            F.when(reference == "", F.concat(F.lit("&"), p))
+            .when(reference.rlike("^#[0-9]"), F.concat(number(F.regexp_extract(reference, "[0-9]+", 0), 10, 7), rest(F.length(reference))))
+            .when(reference.rlike("^#[xX]"), F.concat(number(F.regexp_extract(reference, "^#[xX]([0-9a-fA-F]+)", 1), 16, 6), rest(F.length(reference))))
+            .otherwise(F.coalesce(F.concat(named(reference), rest(F.length(reference))), other))
+        )
+
+    def part(p: Column) -> Column:
+        return let(F.regexp_extract(p, r"^(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)", 0), lambda reference: read(p, reference))
+
+    whole = let(F.split(c, "&", -1), lambda parts: F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, 2, 1 << 30), part), "")))
+    return F.when(c.contains("&"), whole).otherwise(c)
 
 
 def decode_basic_entities(c: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import arrays, fields, locations, numbers, text, titles
-from .operators import analytics, cleaning, dedup, distinct, evaluation, explorer, filters, near_index, quantiles, validation
+from .operators import analytics, cleaning, cube, dedup, distinct, evaluation, explorer, filters, near_index, quantiles, validation
 from .plans import extraction
 from .scratch import scratch_path
 from .sources import csv_split, io, state, state_log
@@ -508,6 +508,13 @@ def clean_html(spark, d):
     return read(spark, d, "pages").select("page_id", F.sha2(text.clean_html(F.col("html"), all_entities=False), 256).alias("sha"))
 
 
+@query(f"SELECT page_id, sha256({_decoded(chr(39).join(['regexp_replace(html, ', '<[^>]+>', ', ', ' ', ', ', 'g', ')']))}) AS sha FROM pages")
+def clean_html_entities(spark, d):
+    """With all references that HTML 5 knows; pages use few of them, tests all."""
+    return read(spark, d, "pages").select("page_id", F.sha2(text.clean_html(F.col("html")), 256).alias("sha"))
+
+
+
 @query(r"""SELECT doc_id, sha256(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '//+', ' ', 'g'), '(^|[^CF])#', '\1 ', 'g'), '(^|[^CF])#', '\1 ', 'g'), '[*]+', ' ', 'g'), '[|\\~`]', ' ', 'g')) AS sha FROM documents""")
 def clean_special_chars(spark, d):
     return read(spark, d, "documents").select("doc_id", F.sha2(text.clean_special_chars(F.col("text")), 256).alias("sha"))
@@ -876,3 +883,32 @@ def quantiles_refined(spark, d):
     rows = read(spark, d, "lineitem").select(F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")).alias("l_returnflag"), "l_linestatus", (F.col("l_extendedprice").cast("double") - 30000).alias("v"))
     found = quantiles.quantiles(rows, ["l_returnflag", "l_linestatus"], "v", [0.0, 0.1, 0.5, 0.99, 1.0], bits=8)
     return found.select("l_returnflag", "l_linestatus", "n", *[F.round(F.col("quantiles")[k], 4).alias(x) for k, x in enumerate(("p0", "p10", "p50", "p99", "p100"))])
+
+
+_CUBE_SQL = """c AS (SELECT o_orderstatus AS status, CASE WHEN o_orderpriority <> '3-MEDIUM' THEN o_orderpriority END AS priority, c_mktsegment AS segment, n_name AS nation, CAST(year(o_orderdate) AS VARCHAR) AS year, CAST(n_regionkey AS VARCHAR) AS region, CAST(o_totalprice AS DOUBLE) AS pay, c_custkey FROM o)"""
+
+
+def _order_cube(spark, d):
+    rows = orders(spark, d).select(
+        F.col("o_orderstatus").alias("status"), F.when(F.col("o_orderpriority") != "3-MEDIUM", F.col("o_orderpriority")).alias("priority"), F.col("c_mktsegment").alias("segment"), F.col("n_name").alias("nation"),
+        F.year("o_orderdate").cast("string").alias("year"), F.col("n_regionkey").cast("string").alias("region"), F.col("o_totalprice").cast("double").alias("pay"), "c_custkey",
+    )
+    dims = ["status", "priority", "segment", "nation", "year", "region"]
+    measures = {"n": ("count", F.lit(True)), "large": ("count", F.col("pay") > 200_000), "least": ("min", F.col("pay")), "most": ("max", F.col("pay"))}
+    return cube.FilterCube.build(rows, scratch_path(spark), dims, measures, different=["c_custkey"], sets=[[], ["status"], ["priority"], ["segment"], ["nation"], ["year"], ["segment", "priority"], ["nation", "segment", "priority"], ["year", "status"]])
+
+
+@query(f"""WITH {O_SQL}, {_CUBE_SQL} SELECT 'one value' AS asked, nation AS a, NULL AS b, count(*) AS n, count_if(pay > 200000) AS large, min(pay) AS least, max(pay) AS most FROM c WHERE segment = 'BUILDING' GROUP BY nation
+    UNION ALL SELECT 'more values', priority, year, count(*), count_if(pay > 200000), min(pay), max(pay) FROM c WHERE segment IN ('BUILDING', 'MACHINERY') AND status IN ('O', 'F') AND priority IN ('1-URGENT', '5-LOW') GROUP BY priority, year
+    UNION ALL SELECT 'with null', priority, NULL, count(*), count_if(pay > 200000), min(pay), max(pay) FROM c GROUP BY priority
+    UNION ALL SELECT 'customers', NULL, NULL, count(DISTINCT c_custkey), NULL, NULL, NULL FROM c WHERE region IN ('1', '2')""")
+def cube_answers(spark, d):
+    """Questions of the dashboard's kind, answered from stored cells of orders."""
+    stored = _order_cube(spark, d)
+    shaped = lambda df, asked, a, b: df.select(F.lit(asked).alias("asked"), (F.col(a) if a else F.lit(None).cast("string")).alias("a"), (F.col(b) if b else F.lit(None).cast("string")).alias("b"), "n", "large", "least", "most")
+    one = shaped(stored.answer(["nation"], {"segment": "BUILDING"}), "one value", "nation", None)
+    more = shaped(stored.answer(["priority", "year"], {"segment": "BUILDING, MACHINERY", "status": "O,F", "priority": "1-URGENT,5-LOW"}), "more values", "priority", "year")
+    null = shaped(stored.answer(["priority"], {"nation": ""}), "with null", "priority", None)
+    none = lambda kind: F.lit(None).cast(kind)
+    customers = stored.different("c_custkey", {"region": "1,2"}).select(F.lit("customers").alias("asked"), none("string").alias("a"), none("string").alias("b"), "n", none("long").alias("large"), none("double").alias("least"), none("double").alias("most"))
+    return one.unionAll(more).unionAll(null).unionAll(customers)
