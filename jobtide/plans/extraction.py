@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import let
+from ..functions.json_schema import compile_schema
 from ..functions.text import strip, truncate_description
 from ..shipping import ship
 from ..sources.io import exists
@@ -74,6 +75,38 @@ def parse_response(raw: Column, max_tasks: int = MAX_TASKS) -> Column:
     return let(picked, read)
 
 
+#: What an answer must be (draft 7). The fields and their rules.
+_EVIDENCE_LIST = {"type": "array", "items": {"$ref": "#/definitions/evidence_item"}}
+OUTPUT_SCHEMA: Mapping = {
+    "definitions": {"evidence_item": {"type": "object", "properties": {"name": {"type": "string", "minLength": 1}, "source": {"type": "string"}}, "required": ["name", "source"], "additionalProperties": False}},
+    "type": "object",
+    "properties": {
+        "technical_skills": _EVIDENCE_LIST, "soft_skills": {"type": "array", "items": {"type": "string", "minLength": 1}, "uniqueItems": True}, "nice_to_have_skills": _EVIDENCE_LIST, "benefits": _EVIDENCE_LIST, "tasks": _EVIDENCE_LIST,
+        "job_family": {"type": "string", "minLength": 1}, "job_summary": {"oneOf": [{"type": "string", "minLength": 1}, {"type": "null"}]},
+    },
+    "required": ["technical_skills", "soft_skills", "nice_to_have_skills", "benefits", "tasks", "job_family"],
+    "additionalProperties": False,
+}
+
+
+def schema_errors(raw: Column, schema: Mapping = OUTPUT_SCHEMA) -> Column:
+    """Every error (path, rule, message) of an answer under a schema, in the first of the ways of reading it that gives an object; misspelt keys are mended
+    before. An answer that cannot be read has one error of the rule `json`."""
+    short = F.length(strip(F.coalesce(raw, F.lit("")))) < MIN_ANSWER
+    tries = F.array(*candidates(raw).values())
+    readable = F.filter(tries, lambda t: F.coalesce(F.try_parse_json(t).isNotNull() & t.startswith("{"), F.lit(False)))
+    text = F.when(~short, F.get(readable, F.lit(0)))
+    for typo, name in TYPOS.items():
+        text = F.replace(text, F.lit(f'"{typo}"'), F.lit(f'"{name}"'))
+    return compile_schema(schema)(F.try_parse_json(text))
+
+
+def schema_report(found: DataFrame, errors: str = "errors") -> DataFrame:
+    """path (places of items as *), rule, n, rows: how often each rule is broken, and in how many answers."""
+    each = found.select(F.monotonically_increasing_id().alias("_i"), F.explode(errors).alias("e")).select("_i", F.regexp_replace("e.path", r"(?<= )\d+(?= |$)", "*").alias("path"), "e.rule")
+    return each.groupBy("path", "rule").agg(F.count("*").alias("n"), F.countDistinct("_i").alias("rows"))
+
+
 def replay(answers: DataFrame) -> Extractor:
     """Answers from a table of row_id, raw."""
     return lambda rows: rows.select("row_id").join(answers.select("row_id", "raw"), "row_id")

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import arrays, fields, locations, numbers, text, titles
+from .functions import arrays, fields, json_schema, locations, numbers, text, titles
 from .operators import analytics, cleaning, cube, dedup, distinct, evaluation, explorer, filters, near_index, quantiles, validation
 from .plans import extraction
 from .scratch import scratch_path
@@ -912,3 +912,21 @@ def cube_answers(spark, d):
     none = lambda kind: F.lit(None).cast(kind)
     customers = stored.different("c_custkey", {"region": "1,2"}).select(F.lit("customers").alias("asked"), none("string").alias("a"), none("string").alias("b"), "n", none("long").alias("large"), none("double").alias("least"), none("double").alias("most"))
     return one.unionAll(more).unionAll(null).unionAll(customers)
+
+
+_PART_SCHEMA = {
+    "type": "object", "required": ["id", "brand"], "additionalProperties": False,
+    "properties": {"id": {"type": "integer"}, "name": {"type": "string", "minLength": 14}, "brand": {"enum": ["Brand#11", "Brand#12", "Brand#13"]}, "tags": {"type": "array", "uniqueItems": True, "items": {"type": "string", "minLength": 5}}},
+}
+
+
+@query("""SELECT p_partkey, array_to_string(list_sort(list_filter(list_concat([
+        CASE WHEN p_partkey % 3 = 0 THEN ':required' END, CASE WHEN p_partkey % 4 = 1 THEN ':additionalProperties' END, CASE WHEN length(p_name) < 14 THEN 'name:minLength' END,
+        CASE WHEN p_partkey % 3 <> 0 AND p_brand NOT IN ('Brand#11', 'Brand#12', 'Brand#13') THEN 'brand:enum' END, CASE WHEN len(list_distinct(string_split(p_name, ' '))) < len(string_split(p_name, ' ')) THEN 'tags:uniqueItems' END],
+        list_transform(string_split(p_name, ' '), lambda x, i: CASE WHEN length(x) < 5 THEN concat('tags → ', i - 1, ':minLength') END)), lambda x: x IS NOT NULL)), ', ') AS errors FROM part""")
+def json_schema_errors(spark, d):
+    """All errors of a JSON text of every part, some without a brand and some with a property too many."""
+    p = read(spark, d, "part")
+    shown = F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.when(F.col("p_partkey") % 3 != 0, F.col("p_brand")).alias("brand"), F.split("p_name", " ").alias("tags"), F.when(F.col("p_partkey") % 4 == 1, 1).alias("more"))
+    errors = json_schema.validate_json(F.to_json(shown), _PART_SCHEMA)
+    return p.select("p_partkey", F.array_join(F.array_sort(F.transform(errors, lambda e: F.concat(e["path"], F.lit(":"), e["rule"]))), ", ").alias("errors"))
