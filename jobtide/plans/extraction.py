@@ -6,7 +6,11 @@ answers from a table, `rule_based` makes deterministic ones, and any other may d
 
 from __future__ import annotations
 
+import threading
+import time
+from collections import deque
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -143,37 +147,86 @@ def failures(found: DataFrame) -> DataFrame:
     return found.filter("parsed.data IS NULL").select("row_id", F.col("parsed.strategy").alias("strategy"))
 
 
-def remote(call: Callable[[str, str], tuple[str, int, int]], *, attempts: int = 3, pause: float = 1.0, may_repeat: Callable[[Exception], bool] = lambda e: getattr(e, "status", 0) == 429 or getattr(e, "status", 0) >= 500) -> Extractor:
+class TokenBucket:
+    """At most `rate` calls a second on average and `burst` at once; `take` waits for its turn. For threads of one task."""
+
+    def __init__(self, rate: float, burst: int = 1, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
+        if rate <= 0 or burst < 1:
+            raise ValueError("rate must be above 0 and burst at least 1")
+        self.rate, self.burst, self.clock, self.sleep = rate, burst, clock, sleep
+        self.lock, self.held, self.at = threading.Lock(), float(burst), clock()
+
+    def take(self) -> None:
+        with self.lock:
+            now = self.clock()
+            self.held = min(self.burst, self.held + (now - self.at) * self.rate) - 1
+            self.at = now
+            wait = -self.held / self.rate
+        if wait > 0:
+            self.sleep(wait)  # the place is taken, so others queue up behind it
+
+
+def _busy(e: Exception) -> bool:
+    return getattr(e, "status", 0) == 429 or getattr(e, "status", 0) >= 500
+
+
+def remote(
+    call: Callable[[str, str], tuple[str, int, int]], *, attempts: int = 3, pause: float = 1.0, may_repeat: Callable[[Exception], bool] = _busy,
+    in_flight: int = 1, rate: float | None = None, burst: int = 1, tasks: int | None = None,
+) -> Extractor:
     """`call(title, description)` gives (answer, tokens in, tokens out). Overload and server errors are tried again after 1, 2, 4 ... pauses;
-    what still fails is an empty answer with the error beside it, so one row never ends the job."""
+    what still fails is an empty answer with the error beside it, so one row never ends the job.
 
-    def run(batches):
-        import time
+    A task keeps a window of at most `in_flight` calls and gives answers in the order of its rows. `rate` bounds the calls a second of all tasks together,
+    tries included, where `tasks` says how many tasks there are: rows are then dealt over as many, and each has its share. Without `tasks`
+    the bound is one of each task.
+    """
+    if in_flight < 1 or tasks is not None and tasks < 1:
+        raise ValueError("in_flight and tasks must be at least 1")
+    share = rate / (tasks or 1) if rate is not None else None
 
+    def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            rows: list[tuple] = []
-            for key, title, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                answer, tokens, error = "", (0, 0), None
-                for k in range(attempts):
-                    try:
-                        answer, *tokens = call(title or "", text or "")
-                        error = None
+        bucket = TokenBucket(share, burst) if share is not None else None
+
+        def one(key: str, title: str | None, text: str | None) -> tuple:
+            answer, tokens, error = "", (0, 0), None
+            for k in range(attempts):
+                if bucket:
+                    bucket.take()
+                try:
+                    answer, *tokens = call(title or "", text or "")
+                    return (key, answer, *tokens, None)
+                except Exception as e:  # any failure of the service is a result of the row
+                    error = f"{type(e).__name__}: {e}"
+                    if not may_repeat(e):
                         break
-                    except Exception as e:  # any failure of the service is a result of the row
-                        error = f"{type(e).__name__}: {e}"
-                        if not may_repeat(e):
-                            break
-                        if k + 1 < attempts:
-                            time.sleep(pause * 2**k)
-                rows.append((key, answer, *tokens, error))
+                    if k + 1 < attempts:
+                        time.sleep(pause * 2**k)
+            return (key, "", *tokens, error)
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*rows)) if rows else [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()))], names=["row_id", "raw", "tokens_in", "tokens_out", "error"])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()))], names=["row_id", "raw", "tokens_in", "tokens_out", "error"])
+
+        pool, waiting = ThreadPoolExecutor(in_flight), deque()
+        try:
+            for batch in batches:
+                done: list[tuple] = []
+                for row in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                    waiting.append(pool.submit(one, *row))
+                    if len(waiting) >= in_flight:
+                        done.append(waiting.popleft().result())
+                yield batch_of(done)
+            yield batch_of([f.result() for f in waiting])
+        finally:
+            pool.shutdown(wait=False, cancel_futures=True)
 
     def extractor(rows: DataFrame) -> DataFrame:
         ship(rows.sparkSession)
-        return rows.select("row_id", "title", "description").mapInArrow(run, "row_id string, raw string, tokens_in long, tokens_out long, error string")
+        asked = rows.select("row_id", "title", "description")
+        return (asked.repartition(tasks) if tasks else asked).mapInArrow(run, "row_id string, raw string, tokens_in long, tokens_out long, error string")
 
     return extractor
 

@@ -11,7 +11,7 @@ import json
 import os
 import time
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,11 +20,11 @@ from ..functions.fields import description_fields, title_fields
 from ..functions.locations import is_non_german, normalize_city, parse_location
 from ..functions.text import concatenated
 from ..functions.titles import normalize_title, translate_title
-from ..operators import cleaning, dedup, filters, validation
+from ..operators import analytics, cleaning, dedup, filters, validation
 from ..operators.distinct import evaluate_once
 from ..sources import io
 from ..sources.state import merge_results
-from .extraction import Extractor, extract, rule_based
+from .extraction import Extractor, extract, extract_resumable, rule_based
 
 
 @dataclass(frozen=True)
@@ -46,9 +46,15 @@ class Settings:
     aliases: Mapping[str, str] = field(default_factory=dict)
     variants: Mapping[str, Sequence[str]] = field(default_factory=dict)
     limit: int | None = None
+    #: Column -> values and what they become; families that are then unknown become Other where `known_families` are given.
+    remaps: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
+    known_families: Sequence[str] = ()
+    #: Folder of answers, by which extraction goes on where it was stopped; `run` sets it. Rows between two commits of answers.
+    answers: str | None = None
+    commit_rows: int = 10_000
 
     def __post_init__(self):
-        for name, low, high in (("batch_size", 1, 10_000), ("retries", 1, 20), ("temperature", 0, 2), ("near_threshold", 0, 1)):
+        for name, low, high in (("batch_size", 1, 10_000), ("commit_rows", 1, 10_000_000), ("retries", 1, 20), ("temperature", 0, 2), ("near_threshold", 0, 1)):
             if not low <= getattr(self, name) <= high:
                 raise ValueError(f"{name} must be from {low} to {high}")
 
@@ -88,10 +94,14 @@ def regex_extract(spark: SparkSession, df: DataFrame, s: Settings) -> DataFrame:
 
 
 def semantic_extract(spark: SparkSession, df: DataFrame, s: Settings) -> DataFrame:
-    """One extraction per representative, given to all members."""
-    reps = df.filter("row_id = representative")
+    """One extraction per representative, given to all members. Answers are kept in `s.answers`, so a stopped run goes on with what is missing."""
+    reps = df.filter("row_id = representative").select("row_id", F.col("title_cleaned").alias("title"), "description")
     run = s.extractor or rule_based(s.families, s.skills)
-    found = extract(reps.select("row_id", F.col("title_cleaned").alias("title"), "description"), None, run)
+    if s.answers:
+        commits = max(1, -(-reps.count() // s.commit_rows))
+        found = extract_resumable(reps, s.answers, run, attempts=s.retries, batches=commits).join(reps.select("row_id"), "row_id", "left_semi")
+    else:
+        found = extract(reps, None, run)
     by_rep = found.filter("parsed.data IS NOT NULL").select(F.col("row_id").alias("representative"), "parsed.data.*")
     return df.join(by_rep, "representative", "left")
 
@@ -109,6 +119,13 @@ def clean_enrich(spark: SparkSession, df: DataFrame, s: Settings) -> DataFrame:
     lists = [c for c in ("technical_skills", "soft_skills", "nice_to_have_skills", "benefits", "tasks") if c in merged.columns]
     out = cleaning.standardize_missing(merged, lists, ["job_family", "contract_type", "work_modality"])
     out = cleaning.fix_company(cleaning.fix_numeric(out))
+    for column, mapping in s.remaps.items():
+        if column in out.columns:
+            out = cleaning.remap(out, column, mapping)
+    if s.known_families:
+        out = cleaning.remap(out, "job_family", {}, valid=s.known_families)
+    if "company_name" in out.columns:
+        out = analytics.apply_casing(out, "company_name", analytics.casing_map(out, "company_name", order="_ord" if "_ord" in out.columns else None))
     out = out.withColumn("city", normalize_city(F.col("city"), F.col("state"))).withColumn("title", cleaning.strip_residual_gender(F.col("title_cleaned")))
     out = out.withColumns({"benefit_categories": cleaning.benefit_categories(F.col("benefits")), "soft_skill_categories": cleaning.soft_skill_categories(F.col("soft_skills")), "description_quality": concatenated(F.col("description"))})
     if "validation_flags" in out.columns:
@@ -131,6 +148,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame | None, Settings], Dat
     ("validate", validate), ("clean_enrich", clean_enrich), ("export", export), ("export_light", export_light),
 ]
 NAMES = [n for n, _ in STAGES]
+#: Folder of the answers of the extraction, under the work folder.
+ANSWERS = "answers"
 
 
 def plan(*, step: str | None = None, start: str | None = None, only: Sequence[str] = (), done: Sequence[str] = (), no_llm: bool = False) -> list[str]:
@@ -148,15 +167,18 @@ def plan(*, step: str | None = None, start: str | None = None, only: Sequence[st
 
 
 def run(spark: SparkSession, settings: Settings, work: str, stages: Sequence[str] | None = None) -> DataFrame:
-    """Run stages in order; each table is written under `work` and read back."""
+    """Run stages in order; each table is published under `work` as a whole and read back. Answers of the extraction are kept there as well."""
     df, last = None, None
+    if settings.answers is None:
+        settings = replace(settings, answers=f"{work}/{ANSWERS}")
     for name, stage in STAGES:
         path = f"{work}/{name}"
+        io.restore(spark, path)
         if stages is None or name in stages:
             if df is None and last:
                 df = spark.read.parquet(last)
             began = time.time()
-            stage(spark, df, settings).write.mode("overwrite").parquet(path)
+            io.publish(stage(spark, df, settings), path)
             _note(work, name, time.time() - began)
             df = spark.read.parquet(path)
         elif not io.exists(spark, path):
@@ -210,6 +232,8 @@ def main(args: Sequence[str] | None = None) -> int:
     spark = session()
     for name in NAMES if a.reset else steps if a.clean else ():
         delete(spark, f"{a.work}/{name}")
+        if name == "extract":
+            delete(spark, f"{a.work}/{ANSWERS}")
     run(spark, settings, a.work, steps)
     return 0
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -143,6 +144,42 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def publish(df: DataFrame, path: str, write: Callable[[DataFrame, str], None] | None = None) -> None:
+    """Replace the table at `path` by a finished one: written beside it, then put in its place by renames.
+
+    A run that fails while it writes leaves the old table. One that dies between the two renames leaves it under a name that the next call, and
+    `restore`, put back.
+    """
+    spark = df.sparkSession
+    path = path.rstrip("/")
+    restore(spark, path)
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    target, old, new = make(path), make(f"{path}._old"), f"{path}._new-{uuid.uuid4().hex}"
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        (write or (lambda d, p: d.write.parquet(p)))(df, new)
+    except BaseException:
+        files.delete(make(new), True)
+        raise
+    if files.exists(target) and not files.rename(target, old):
+        raise OSError(f"cannot move {path}")
+    if not files.rename(make(new), target):
+        restore(spark, path)
+        raise OSError(f"cannot move {new}")
+    files.delete(old, True)
+
+
+def restore(spark: SparkSession, path: str) -> None:
+    """Put a table back that a publication had moved away when it died, or drop that copy where the new table is there."""
+    target, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}._old"))
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(old):
+        if files.exists(target):
+            files.delete(old, True)
+        else:
+            files.rename(old, target)
+
+
 def load_enriched(spark: SparkSession, work: str, names: Sequence[str] = ("export_light", "export")) -> DataFrame:
     """The finished table for analysis: the light one where there is one, else the full one."""
     for name in names:
