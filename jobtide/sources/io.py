@@ -15,6 +15,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.numbers import UNKNOWN_DATE, posted_date
 from ..functions.text import null_if_sentinel, row_id, strip
+from ..scratch import scratch_path
+from ..shipping import ship
 from .csv_split import read_csv_split
 
 INGEST_COLUMNS = ("title", "site", "job_url", "company_name", "location", "date_posted", "description")
@@ -121,9 +123,76 @@ def insert_or_ignore(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return old.unionByName(new.join(old.select(key), key, "left_anti"))
 
 
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """path, bytes, sha256 of each file below `path`, one task a file, which reads it as a stream of lines.
+
+    A file is never split and never in one row, so memory is that of its longest stretch without a line feed. The read runs in a session of its own, whose
+    limit of bytes per task is off; the digests are written to the shared folder.
+    """
+    ship(spark)
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", str((1 << 63) - 1))
+    own.conf.set("spark.sql.files.openCostInBytes", str(1 << 62))
+    # a line in a batch is held once; long lines make small batches
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "65536")
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+    lines = own.read.option("lineSep", "\n").option("recursiveFileLookup", True).text(path).select("_metadata.file_path", "_metadata.file_size", F.col("value").cast("binary").alias("value"))
+    target = scratch_path(spark)
+    lines.mapInArrow(_digest_lines, "path string, bytes long, sha256 string").write.parquet(target)
+    found = spark.read.parquet(target)
+    # files without a byte have no line; Spark's readers leave them out
+    empty = [(p, 0, hashlib.sha256().hexdigest()) for p in _empty_files(spark, path)]
+    return found.unionByName(spark.createDataFrame(empty, found.schema)) if empty else found
+
+
+def _empty_files(spark: SparkSession, path: str) -> list[str]:
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = []
+    for status in files.globStatus(top) or []:
+        listed = files.listFiles(status.getPath(), True)
+        while listed.hasNext():
+            f = listed.next()
+            if f.getLen() == 0 and not f.getPath().getName().startswith(("_", ".")):
+                out.append(f.getPath().toString())
+    return out
+
+
+def _digest_lines(batches):
+    """Lines come in order, file by file. The last one ends with a line feed if the bytes read are one short of the size."""
+    import pyarrow as pa
+
+    now, digest, size, read = None, None, 0, 0
+    done: list[tuple] = []
+
+    def finish() -> None:
+        if now is not None:
+            if read == size + 1:
+                done.append((now, size, last.hexdigest()))
+            else:
+                done.append((now, size, digest.hexdigest()))
+
+    last = None
+    for batch in batches:
+        for path, length, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            if path != now:
+                finish()
+                now, digest, size, read = path, hashlib.sha256(), length, 0
+            raw = line.as_buffer()
+            digest.update(raw)
+            read += raw.size + 1
+            if read > size:  # the file's last line has no line feed
+                last = digest.copy()
+            else:
+                digest.update(b"\n")
+    finish()
+    paths, sizes, found = zip(*done) if done else ((),) * 3
+    yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(sizes, pa.int64()), pa.array(found, pa.string())], names=["path", "bytes", "sha256"])
+
+
 def fingerprint_files(spark: SparkSession, path: str) -> DataFrame:
     """path, fingerprint: first 16 hex digits of each file's SHA-256."""
-    return spark.read.format("binaryFile").load(path).select("path", F.substring(F.sha2("content", 256), 1, 16).alias("fingerprint"))
+    return file_digests(spark, path).select("path", F.substring("sha256", 1, 16).alias("fingerprint"))
 
 
 def fingerprint_config(config: Mapping) -> str:
