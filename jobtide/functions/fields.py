@@ -44,10 +44,8 @@ SENIORITY = [
     ("Werkstudentin", "Junior"), ("Intern", "Junior"), ("Praktikant", "Junior"), ("Praktikantin", "Junior"),
 ]
 # Patterns of pay, experience and languages, and the names of levels.
-_AMOUNT = r"(\d{1,3}(?:\.\d{3})*)(?:,\d{2})?\s*"
-_MONEY = r"(?:€|EUR|Euro)"
-SALARY_RANGE = rf"(?iU){_AMOUNT}{_MONEY}?\s*(?:bis|to|-|–|und|bis\s+zu)\s*{_AMOUNT}{_MONEY}"
-SALARY_SINGLE = rf"(?iU)(?:ab|bis\s+zu|from|up\s+to)?\s*(\d{{1,3}}(?:\.\d{{3}})+)(?:,\d{{2}})?\s*{_MONEY}"
+SALARY_RANGE = r"(?iU)(\d{1,3}(?:\.\d{3})*)(?:,\d{2})?\s*(?:€|EUR|Euro)?\s*(?:bis|to|-|–|und|bis\s+zu)\s*(\d{1,3}(?:\.\d{3})*)(?:,\d{2})?\s*(?:€|EUR|Euro)"
+SALARY_SINGLE = r"(?iU)(?:ab|bis\s+zu|from|up\s+to)?\s*(\d{1,3}(?:\.\d{3})+)(?:,\d{2})?\s*(?:€|EUR|Euro)"
 SALARY_K_RANGE = r"(?U)€\s*(\d{2,4})\s*[kK]\s*(?:bis|to|-|–)\s*€?\s*(\d{2,4})\s*[kK]"
 SALARY_K_SINGLE = r"(?U)€\s*(\d{2,4})\s*[kK]"
 NOT_SALARY = r"(?iU)\b(?:Mitarbeiter|Kunden|Standorte|Bewerber|Kollegen|Beschäftigte|employees|users|customers)\b|/\s*Monat|pro\s+Monat|mtl|monthly|/\s*month"
@@ -55,16 +53,14 @@ EXPERIENCE = r"(?iU)(\d+)\+?\s*(?:Jahre?|years?)\s+(?:Berufserfahrung|Erfahrung|
 EXPERIENCE_LEAST = r"(?iU)(?:mindestens|at\s+least|min\.?)\s*(\d+)\s*(?:Jahre?|years?)"
 EXPERIENCE_WORDS = r"(?iU)\b(Mehrjährige|Langjährige|Erste|Einschlägige)\w*\s+(?:Berufs)?(?:erfahrung|Praxiserfahrung)\b"
 EXPERIENCE_YEARS = {"mehrjährige": 3, "langjährige": 5, "erste": 1, "einschlägige": 3}
-_DE, _ALL, _KNOWLEDGE = "(Deutsch|Englisch|Fran[cç]ösisch)", "(Deutsch|Englisch|Fran[cç]ösisch|German|English|French)", "(?:kenntnisse|sprachkenntnisse)"
-_CEFR = "(A1|A2|B1|B2|C1|C2)"
-#: Pattern, groups with a language, group with a level (0: required).
+# Pattern, groups with a language, group with a level (0: required).
 LANGUAGES = [
-    (rf"\b{_ALL}\s+{_CEFR}\b", (1,), 2),
-    (rf"\b{_CEFR}\s+{_ALL}\b", (2,), 1),
-    (rf"\b(fließend|fluent|verhandlungssicher|muttersprachlich|native)(?:e[rsnm]?)?\s+(?:in\s+)?{_ALL}{_KNOWLEDGE}?\b", (2,), 1),
-    (rf"\b{_DE}{_KNOWLEDGE}\b", (1,), 0),
-    (rf"\b{_DE}-?\s+und\s+{_DE}{_KNOWLEDGE}\b", (1, 2), 0),
-    (rf"\b(?:sehr\s+)?(?:gute|sichere|solide)[rsnm]?\s+{_ALL}{_KNOWLEDGE}?\b", (1,), 0),
+    (r"\b(Deutsch|Englisch|Fran[cç]ösisch|German|English|French)\s+(A1|A2|B1|B2|C1|C2)\b", (1,), 2),
+    (r"\b(A1|A2|B1|B2|C1|C2)\s+(Deutsch|Englisch|Fran[cç]ösisch|German|English|French)\b", (2,), 1),
+    (r"\b(fließend|fluent|verhandlungssicher|muttersprachlich|native)(?:e[rsnm]?)?\s+(?:in\s+)?(Deutsch|Englisch|Fran[cç]ösisch|German|English|French)(?:kenntnisse|sprachkenntnisse)?\b", (2,), 1),
+    (r"\b(Deutsch|Englisch|Fran[cç]ösisch)(?:kenntnisse|sprachkenntnisse)\b", (1,), 0),
+    (r"\b(Deutsch|Englisch|Fran[cç]ösisch)-?\s+und\s+(Deutsch|Englisch|Fran[cç]ösisch)(?:kenntnisse|sprachkenntnisse)\b", (1, 2), 0),
+    (r"\b(?:sehr\s+)?(?:gute|sichere|solide)[rsnm]?\s+(Deutsch|Englisch|Fran[cç]ösisch|German|English|French)(?:kenntnisse|sprachkenntnisse)?\b", (1,), 0),
 ]
 LANGUAGE_NAMES = {"english": "English", "englisch": "English", "deutsch": "German", "german": "German", "französisch": "French", "francösisch": "French", "french": "French"}
 LEVEL_NAMES = {"fließend": "B2+", "fluent": "B2+", "verhandlungssicher": "C1+", "muttersprachlich": "C2", "native": "C2"}

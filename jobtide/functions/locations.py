@@ -56,10 +56,11 @@ REGIONS: list[tuple[str, str | None, str | None, str]] = [
     ("Greater Philadelphia", "Pennsylvania", "Philadelphia", "United States"),
     ("Greater Philadelphia Area", "Pennsylvania", "Philadelphia", "United States"),
 ]
+# Names of regions beyond a country, of countries and US states, words of places abroad and in Germany, city names.
 SUPER_REGIONS = ("DACH", "European Union", "European Economic Area", "Benelux", "Brabantine City Row")
 COUNTRIES = ("Germany", "Netherlands", "France", "Austria", "Switzerland", "Poland", "Belgium", "Luxembourg", "Czech Republic", "Czech", "United States", "South Africa", "Liechtenstein", "India", "Singapore", "Spain", "Portugal", "Romania", "Ukraine", "Canada", "Australia", "United Kingdom", "Sweden", "Denmark", "Norway", "Finland", "Italy", "Hungary", "Slovakia")
 GERMANY = ("germany", "de", "deutschland")
-US_STATES = tuple("AL AK AZ AR CA CO CT DE FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ NM NY NC ND OH OK OR PA RI SC SD TN TX UT VT VA WA WV WI WY DC PR".split())
+US_STATES = ("AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "FL", "GA", "HI", "ID", "IL", "IN", "IA", "KS", "KY", "LA", "ME", "MD", "MA", "MI", "MN", "MS", "MO", "MT", "NE", "NV", "NH", "NJ", "NM", "NY", "NC", "ND", "OH", "OK", "OR", "PA", "RI", "SC", "SD", "TN", "TX", "UT", "VT", "VA", "WA", "WV", "WI", "WY", "DC", "PR")
 FOREIGN = ("united states", "usa", "us", "uk", "united kingdom", "france", "spain", "italy", "netherlands", "belgium", "austria", "switzerland", "czechia", "czech republic", "poland", "sweden", "norway", "denmark", "finland", "portugal", "ireland", "canada", "australia", "india", "china", "japan", "brazil", "singapore")
 FOREIGN_SUPER = ("emea", "apac", "worldwide", "global")
 GERMAN_SIGNS = ("germany", "german", "deutschland", "münchen", "berlin", "hamburg", "frankfurt", "cologne", "stuttgart", "rhein", "rhein-main", "dach")

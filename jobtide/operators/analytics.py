@@ -150,13 +150,9 @@ def category_by_group(df: DataFrame, column: str, group: str, n_groups: int = 10
     return cells.select("grp", "category", F.round(F.coalesce("hits", F.lit(0)) / F.col("rows") * 100, 4).alias("pct"))
 
 
-def overlap_matrix(df: DataFrame, role: str, column: str, n: int = 25, n_roles: int | None = None) -> DataFrame:
-    """Jaccard percentage of the n most frequent elements of each two roles; 100 for a role with itself.
-
-    The result has a row for each two roles, of which there are few; n_roles takes the most frequent ones.
-    """
-    if n_roles is not None:
-        df = df.join(F.broadcast(counts(df, role, n_roles, name=role).select(role)), role)
+def overlap_matrix(df: DataFrame, role: str, column: str, n: int = 25, *, n_roles: int) -> DataFrame:
+    """Jaccard percentage of the n most frequent elements of each two of the n_roles most frequent roles; 100 for a role with itself."""
+    df = df.join(F.broadcast(counts(df, role, n_roles, name=role).select(role)), role)
     items = _items(df.filter(F.col(role).isNotNull()), column).groupBy(F.col(role).alias("role"), "item").agg(F.count("*").alias("n"))
     first = items.withColumn("k", F.row_number().over(Window.partitionBy("role").orderBy(F.desc("n"), "item"))).filter(F.col("k") <= n)
     # one row per role with at most n elements
@@ -204,12 +200,16 @@ def top_per_group(df: DataFrame, group: str, value: str, n: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(Window.partitionBy("grp").orderBy(F.desc("n"), "value")).cast("long")).filter(F.col("rank") <= n)
 
 
-def overview(df: DataFrame, *, company: str, place: str, date: str, low: str, high: str, modality: str) -> DataFrame:
-    """One row of totals: rows, different companies and places, first and last date, salary coverage, remote share of known."""
+def overview(df: DataFrame, *, company: str, place: str, date: str, low: str, high: str | None, modality: str) -> DataFrame:
+    """One row of totals: rows, different companies and places, first and last date, salary coverage, remote share of known.
+
+    Pay is known where both bounds are; without `high` (the filtered dashboard's definition) where the lower one is.
+    """
+    known = F.col(low).isNotNull() & (F.col(high).isNotNull() if high else F.lit(True))
     return df.agg(
         F.count("*").alias("total"), F.countDistinct(company).alias("companies"), F.countDistinct(place).alias("places"),
         F.date_format(F.min(date), "yyyy-MM-dd").alias("first"), F.date_format(F.max(date), "yyyy-MM-dd").alias("last"),
-        F.round(F.avg((F.col(low).isNotNull() & F.col(high).isNotNull()).cast("int")) * 100, 2).alias("salary_known_pct"),
+        F.round(F.avg(known.cast("int")) * 100, 2).alias("salary_known_pct"),
         F.round(F.try_divide(F.count_if(F.lower(modality) == "remote") * 100.0, F.count(modality)), 2).alias("remote_pct"),
     )
 
@@ -251,3 +251,20 @@ def salary_stats(df: DataFrame, low: str, high: str, *group: str) -> DataFrame:
     rows = df.filter(F.col(low).isNotNull() & F.col(high).isNotNull()).withColumn("mid", mid)
     found = rows.groupBy(*group).agg(F.count("*").alias("n"), q.alias("q"))
     return found.select(*group, "n", *[round_half_up(F.col("q")[k]).alias(x) for k, x in enumerate(("low", "p25", "median", "p75", "high"))])
+
+
+def by_row_totals(table: DataFrame, n: int, *, levels: Sequence[str] | None = None) -> DataFrame:
+    """Cells a, b, n of a cross-tab as a page shows them: rows by falling total (ties to the smaller), the first n of them, and of `levels` those that these rows have.
+
+    rank counts rows from 1, level the kept columns from 1 in the order of `levels` (of names without it).
+    """
+    totals = top(table.groupBy("a").agg(F.sum("n").alias("total")), n, F.desc("total"), "a")
+    ranked = totals.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("total"), "a")).cast("long"))
+    cells = table.filter(F.col("n") > 0).join(F.broadcast(ranked), "a")
+    if levels is None:
+        place = cells.select("b").distinct().withColumn("level", F.row_number().over(Window.orderBy("b")).cast("long"))
+    else:
+        kept = F.array(*[F.struct(F.lit(x).alias("b"), F.lit(i).alias("i")) for i, x in enumerate(levels)])
+        names = table.sparkSession.range(1).select(F.inline(kept)).join(cells.select("b").distinct(), "b")
+        place = names.select("b", F.row_number().over(Window.orderBy("i")).cast("long").alias("level"))
+    return cells.join(F.broadcast(place), "b").select("rank", "level", "a", "b", "n", "total")

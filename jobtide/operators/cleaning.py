@@ -13,34 +13,34 @@ from ..functions.text import SENTINELS, strip
 from ..functions.titles import GENDER_PAREN, strip_residual_gender
 
 # Ordered categories with the lower-case parts that name them; the first that matches wins.
-BENEFITS: dict[str, str] = {
-    "time_off": "urlaub|vacation|holiday|pto|days off|paid time|sabbatical|sonderurlaub|freistellung|freizeitausgleich",
-    "flexible_hours": "flexible|gleitzeit|flexitime|arbeitszeitmodell|vertrauensarbeitszeit|flexible arbeitszeit|teilzeit|work-life|worklife|4-tage|four-day|4 day week",
-    "remote_work": "remote|homeoffice|home office|telearbeit|mobiles arbeiten|work from home|hybrid|ortsunabhängig",
-    "retirement": "rente|pension|altersvorsorge|betriebliche altersvorsorge|bav|vermögenswirksam|vwl|zukunftssicherung",
-    "health": "health|kranken|wellness|gym|sport|gesundheit|fitness|mental health|ergonomie|massage|betriebsarzt|yoga|meditation",
-    "mobility": "bahncard|jobticket|dienstwagen|company car|bike|fahrrad|mvv|öpnv|jobrad|deutschlandticket|firmenwagen|fahrkostenzuschuss|fahrtkostenzuschuss|mobility budget|leasing",
-    "education": "weiterbildung|schulung|training|certification|konferenz|conference|learning|fortbildung|mentoring|coaching|development budget|udemy|coursera|bildungsurlaub|personal development",
-    "compensation": "bonus|prämie|provision|gewinnbeteiligung|aktien|stock|esop|mitarbeiterbeteiligung|weihnachtsgeld|urlaubsgeld|13. gehalt|13. monatsgehalt|sonderzahlung|equity|rsus|profit sharing",
-    "food": "kantine|canteen|lunch|mittagessen|verpflegung|essenszuschuss|meal|obstkorb|getränke|kaffee|snack|catering",
-    "social": "team event|teamevent|offsite|firmenfeier|team building|teambuilding|sommerfest|weihnachtsfeier|firmenevent|betriebsausflug|after-work|afterwork",
-    "perks": "laptop|equipment|ausstattung|handy|phone|stellplatz|parkplatz|parking|rabatt|discount|corporate benefits|mitarbeiterrabatt|zuschuss|kindergarten|kinderbetreuung|kita|relocation|umzug|hund|dog-friendly|hundefreundlich",
+BENEFITS: dict[str, tuple[str, ...]] = {
+    "time_off": ("urlaub", "vacation", "holiday", "pto", "days off", "paid time", "sabbatical", "sonderurlaub", "freistellung", "freizeitausgleich"),
+    "flexible_hours": ("flexible", "gleitzeit", "flexitime", "arbeitszeitmodell", "vertrauensarbeitszeit", "flexible arbeitszeit", "teilzeit", "work-life", "worklife", "4-tage", "four-day", "4 day week"),
+    "remote_work": ("remote", "homeoffice", "home office", "telearbeit", "mobiles arbeiten", "work from home", "hybrid", "ortsunabhängig"),
+    "retirement": ("rente", "pension", "altersvorsorge", "betriebliche altersvorsorge", "bav", "vermögenswirksam", "vwl", "zukunftssicherung"),
+    "health": ("health", "kranken", "wellness", "gym", "sport", "gesundheit", "fitness", "mental health", "ergonomie", "massage", "betriebsarzt", "yoga", "meditation"),
+    "mobility": ("bahncard", "jobticket", "dienstwagen", "company car", "bike", "fahrrad", "mvv", "öpnv", "jobrad", "deutschlandticket", "firmenwagen", "fahrkostenzuschuss", "fahrtkostenzuschuss", "mobility budget", "leasing"),
+    "education": ("weiterbildung", "schulung", "training", "certification", "konferenz", "conference", "learning", "fortbildung", "mentoring", "coaching", "development budget", "udemy", "coursera", "bildungsurlaub", "personal development"),
+    "compensation": ("bonus", "prämie", "provision", "gewinnbeteiligung", "aktien", "stock", "esop", "mitarbeiterbeteiligung", "weihnachtsgeld", "urlaubsgeld", "13. gehalt", "13. monatsgehalt", "sonderzahlung", "equity", "rsus", "profit sharing"),
+    "food": ("kantine", "canteen", "lunch", "mittagessen", "verpflegung", "essenszuschuss", "meal", "obstkorb", "getränke", "kaffee", "snack", "catering"),
+    "social": ("team event", "teamevent", "offsite", "firmenfeier", "team building", "teambuilding", "sommerfest", "weihnachtsfeier", "firmenevent", "betriebsausflug", "after-work", "afterwork"),
+    "perks": ("laptop", "equipment", "ausstattung", "handy", "phone", "stellplatz", "parkplatz", "parking", "rabatt", "discount", "corporate benefits", "mitarbeiterrabatt", "zuschuss", "kindergarten", "kinderbetreuung", "kita", "relocation", "umzug", "hund", "dog-friendly", "hundefreundlich"),
 }
-SOFT_SKILLS: dict[str, str] = {
-    "Communication": "kommunikation|communication|präsentation|presentation|verhandlung",
-    "Teamwork": "team|zusammenarbeit|collaboration|kooperation",
-    "Problem Solving": "problemlösung|problem solving|analytisch|analytical",
-    "Initiative": "initiative|eigenverantwortlich|selbständig|proaktiv|proactive",
-    "Structured Work": "strukturiert|structured|organisiert|organized|sorgfältig",
-    "Leadership": "führung|leadership|mentoring|coaching",
-    "Adaptability": "flexibel|flexible|anpassungsfähig|adaptable",
-    "Customer Focus": "kundenorientiert|customer|service",
+SOFT_SKILLS: dict[str, tuple[str, ...]] = {
+    "Communication": ("kommunikation", "communication", "präsentation", "presentation", "verhandlung"),
+    "Teamwork": ("team", "zusammenarbeit", "collaboration", "kooperation"),
+    "Problem Solving": ("problemlösung", "problem solving", "analytisch", "analytical"),
+    "Initiative": ("initiative", "eigenverantwortlich", "selbständig", "proaktiv", "proactive"),
+    "Structured Work": ("strukturiert", "structured", "organisiert", "organized", "sorgfältig"),
+    "Leadership": ("führung", "leadership", "mentoring", "coaching"),
+    "Adaptability": ("flexibel", "flexible", "anpassungsfähig", "adaptable"),
+    "Customer Focus": ("kundenorientiert", "customer", "service"),
 }
 CONTRACT_TYPES = ("Full-time", "Part-time", "Freelance", "Permanent", "Contract", "Working Student", "Internship")
 
 
-def _has(c: Column, parts: str) -> Column:
-    return c.rlike("|".join(p.replace(".", r"\.") for p in parts.split("|")))
+def _has(c: Column, parts: Sequence[str]) -> Column:
+    return c.rlike("|".join(p.replace(".", r"\.") for p in parts))
 
 
 def standardize_missing(df: DataFrame, lists: Sequence[str] = (), strings: Sequence[str] = ()) -> DataFrame:

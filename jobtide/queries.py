@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .functions import arrays, fields, json_schema, locations, numbers, text, titles
 from .operators import analytics, cleaning, cube, dedup, distinct, evaluation, explorer, filters, near_index, quantiles, validation
-from .plans import extraction
+from .plans import extraction, reports
 from .scratch import scratch_path
 from .sources import csv_split, io, state, state_log
 
@@ -146,7 +146,7 @@ def company_family_diversity(spark, d):
 
 def _categories(column: str) -> str:
     low = f"lower({column})"
-    cases = " ".join(f"WHEN {' OR '.join(f'contains({low}, {chr(39)}{p}{chr(39)})' for p in parts_.split('|'))} THEN '{n}'" for n, parts_ in cleaning.BENEFITS.items())
+    cases = " ".join(f"WHEN {' OR '.join(f'contains({low}, {chr(39)}{p}{chr(39)})' for p in parts_)} THEN '{n}'" for n, parts_ in cleaning.BENEFITS.items())
     return f"CASE {cases} ELSE 'other' END"
 
 
@@ -162,7 +162,7 @@ def skill_salary_premium(spark, d):
 
 @query(f"WITH {X_SQL}, c AS (SELECT lang, item, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, item) AS k FROM x GROUP BY 1, 2), s AS (SELECT lang, list(item) AS s FROM c WHERE k <= 25 GROUP BY 1) SELECT l.lang AS a, r.lang AS b, round(len(list_intersect(l.s, r.s)) * 100.0 / len(list_distinct(list_concat(l.s, r.s))), 4) AS pct FROM s l, s r")
 def skill_overlap_jaccard(spark, d):
-    return analytics.overlap_matrix(docs(spark, d), "lang", "skills", 25)
+    return analytics.overlap_matrix(docs(spark, d), "lang", "skills", 25, n_roles=50)
 
 
 @query(f"WITH {O_SQL}, k(category, k) AS (VALUES ('1-URGENT', 1), ('2-HIGH', 2), ('Unspecified', 3)) SELECT c_mktsegment AS grp, category, round(avg(CASE WHEN o_orderpriority = category OR (category = 'Unspecified' AND o_orderpriority IS NULL) THEN 1 ELSE 0 END) * 100, 4) AS pct FROM o, k GROUP BY 1, 2")
@@ -930,3 +930,58 @@ def json_schema_errors(spark, d):
     shown = F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.when(F.col("p_partkey") % 3 != 0, F.col("p_brand")).alias("brand"), F.split("p_name", " ").alias("tags"), F.when(F.col("p_partkey") % 4 == 1, 1).alias("more"))
     errors = json_schema.validate_json(F.to_json(shown), _PART_SCHEMA)
     return p.select("p_partkey", F.array_join(F.array_sort(F.transform(errors, lambda e: F.concat(e["path"], F.lit(":"), e["rule"]))), ", ").alias("errors"))
+
+
+_FLAG_SQL = """f AS (SELECT p_partkey, p_brand, CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE 0 END + CASE WHEN p_partkey % 7 = 0 THEN 1 ELSE 0 END AS skills, p_partkey % 35 = 0 AS high, p_partkey % 4 <> 0 AS benefits, p_partkey % 8 = 1 AS categories FROM part)"""
+
+
+def _flagged_parts(spark, d):
+    """Parts as rows with validation flags and benefits."""
+    flag = lambda when, rule, message: F.when(when, F.struct(F.lit("technical_skills").alias("field"), F.lit(rule).alias("rule"), F.lit("warning").alias("severity"), message.alias("message")))
+    key = F.col("p_partkey")
+    named = F.concat(F.lit("'"), F.col("p_brand"), F.lit("' not grounded in description"))
+    flags = F.array_compact(F.array(flag(key % 5 == 0, "skill_not_in_description", named), flag(key % 7 == 0, "skill_not_in_description", named), flag(key % 35 == 0, "high_hallucination_rate", F.lit(""))))
+    return read(spark, d, "part").select("p_partkey", flags.alias("validation_flags"), F.when(key % 4 != 0, F.array(F.lit("Urlaub"))).otherwise(F.array().cast("array<string>")).alias("benefits"), F.when(key % 8 == 1, F.array(F.lit("time_off"))).alias("benefit_categories"))
+
+
+@query(f"WITH {_FLAG_SQL} SELECT p_brand AS skill, CAST(sum(skills) AS BIGINT) AS n, (SELECT CAST(sum(skills) AS BIGINT) FROM f) AS total_skill_flags, (SELECT count_if(high) FROM f) AS high_hallucination_rows FROM f WHERE skills > 0 GROUP BY p_brand ORDER BY n DESC, skill LIMIT 10")
+def hallucination_summary(spark, d):
+    found = reports.hallucination_summary(_flagged_parts(spark, d))
+    return found["skills"].crossJoin(F.broadcast(found["totals"]))
+
+
+@query(f"WITH {_FLAG_SQL} SELECT round(avg(CAST(benefits AS INT)) * 100, 1) AS rows_with_benefits_pct, round(avg(CAST(categories AS INT)) * 100, 1) AS rows_with_benefit_categories_pct FROM f")
+def benefit_coverage(spark, d):
+    return reports.benefit_coverage(_flagged_parts(spark, d))
+
+
+@query(f"""WITH {_FLAG_SQL}, s AS (SELECT count_if(skills > 0 OR high) AS rows_with_flags, count_if(NOT (skills > 0 OR high)) AS rows_clean, round(avg(CAST(NOT (skills > 0 OR high) AS INT)) * 100, 1) AS clean_pct FROM f)
+    SELECT rule, n, rows_with_flags, rows_clean, clean_pct FROM (SELECT 'skill_not_in_description' AS rule, CAST(sum(skills) AS BIGINT) AS n FROM f UNION ALL SELECT 'high_hallucination_rate', count_if(high) FROM f), s""")
+def validation_summary(spark, d):
+    found = reports.validation_summary(_flagged_parts(spark, d))
+    return found["rules"].crossJoin(F.broadcast(found["rows"]))
+
+
+@query("""WITH c AS (SELECT c_custkey, CASE WHEN c_nationkey % 3 <> 0 THEN n_name END AS city, CAST(n_regionkey AS VARCHAR) AS state FROM customer JOIN nation ON c_nationkey = n_nationkey)
+    SELECT * FROM (SELECT 'city' AS kind, city AS value, count(*) AS n FROM c WHERE city IS NOT NULL GROUP BY city ORDER BY n DESC, city LIMIT 10)
+    UNION ALL SELECT * FROM (SELECT 'state', state, count(*) AS n FROM c GROUP BY state ORDER BY n DESC, state LIMIT 10) UNION ALL SELECT 'na_city_pct', CAST(round(avg(CAST(city IS NULL AS INT)) * 100, 1) AS VARCHAR), 0 FROM c""")
+def place_statistics(spark, d):
+    c = read(spark, d, "customer").join(read(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.when(F.col("c_nationkey") % 3 != 0, F.col("n_name")).alias("city"), F.col("n_regionkey").cast("string").alias("state"))
+    found = reports.place_statistics(c, 10)
+    listed = [found[k].select(F.lit(name).alias("kind"), "value", "n") for k, name in (("cities", "city"), ("states", "state"))]
+    return listed[0].unionAll(listed[1]).unionAll(found["no_city"].select(F.lit("na_city_pct").alias("kind"), F.col("na_city_pct").cast("string").alias("value"), F.lit(0).cast("long").alias("n")))
+
+
+@query(f"""WITH {O_SQL}, x AS (SELECT n_name AS a, o_orderpriority AS b, count(*) AS n FROM o GROUP BY 1, 2), t AS (SELECT a, CAST(sum(n) AS BIGINT) AS total FROM x GROUP BY a ORDER BY total DESC, a LIMIT 7), r AS (SELECT a, total, row_number() OVER (ORDER BY total DESC, a) AS rank FROM t)
+    SELECT rank, CASE b WHEN '5-LOW' THEN 1 WHEN '1-URGENT' THEN 2 ELSE 3 END AS level, x.a, b, n, total FROM x JOIN r ON x.a = r.a WHERE b IN ('5-LOW', '1-URGENT', '2-HIGH')""")
+def page_rows_by_totals(spark, d):
+    cells = analytics.crosstab(orders(spark, d), "n_name", "o_orderpriority")
+    return analytics.by_row_totals(cells, 7, levels=["5-LOW", "no such", "1-URGENT", "2-HIGH"])
+
+
+@query(f"""WITH {O_SQL} SELECT count(*) AS total, count(DISTINCT c_custkey) AS companies, count(DISTINCT n_name) AS places, strftime(min(o_orderdate), '%Y-%m-%d') AS first, strftime(max(o_orderdate), '%Y-%m-%d') AS last,
+    round(avg(CAST(o_totalprice > 100000 AS INT)) * 100, 2) AS salary_known_pct, round(count_if(lower(o_orderstatus) = 'remote') * 100.0 / count(o_orderstatus), 2) AS remote_pct FROM o""")
+def overview_min_only(spark, d):
+    """The filtered dashboard's overview, for which the lower bound of pay is enough."""
+    o = orders(spark, d).withColumn("low", F.when(F.col("o_totalprice") > 100_000, F.col("o_totalprice")))
+    return analytics.overview(o, company="c_custkey", place="n_name", date="o_orderdate", low="low", high=None, modality="o_orderstatus")

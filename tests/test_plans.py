@@ -39,3 +39,36 @@ def test_reports(spark):
     assert reports.location_report(places)["nulls"].first().fallback_pct == 50.0
     groups = spark.createDataFrame([("a",), ("a",), ("b",)], "group_hash string")
     assert tuple(reports.group_report(groups).first()) == (2, 1, 1, 2)
+
+
+FLAGS = "array<struct<field:string,rule:string,severity:string,message:string>>"
+
+
+def test_report_sections(spark):
+    flag = lambda rule, message="", severity="warning": ("f", rule, severity, message)
+    rows = [
+        ("1", [flag("skill_not_in_description", "'SQL' not grounded in description"), flag("skill_not_in_description", "'SAS' not grounded in description"), flag("high_hallucination_rate", severity="error")], ["Urlaub"], ["time_off"], "Kiel", True, "x"),
+        ("2", [flag("skill_not_in_description", "'SQL' not grounded in description"), flag("skill_not_in_description", "no name here"), (None, None, None, None)], [], None, None, False, "x"),
+        ("3", [], None, None, "Kiel", None, None), ("4", None, ["Bonus"], [], "Bonn", False, "x"),
+    ]
+    df = spark.createDataFrame(rows, f"row_id string, validation_flags {FLAGS}, benefits array<string>, benefit_categories array<string>, city string, cut boolean, job_family string")
+    found = reports.quality_report(df, ["job_family"], flags="validation_flags", benefits="benefits", extracted="job_family", truncated="cut", salary=[])
+    got = {k: [tuple(r) for r in t.collect()] for k, t in found.items()}
+    assert got["summary"] == [(4, 75.0, 25.0, 1)] and got["coverage"] == [("job_family", 75.0)] and got["concerns"] == []
+    assert got["hallucination:totals"] == [(4, 1)] and sorted(got["hallucination:skills"]) == [("SAS", 1), ("SQL", 2)]
+    assert got["benefits"] == [(50.0, 25.0)] and sorted(got["places:cities"]) == [("Bonn", 1), ("Kiel", 2)] and got["places:no_city"] == [(25.0,)]
+    assert got["validation:rows"] == [(2, 2, 50.0)] and sorted(got["validation:rules"]) == [("high_hallucination_rate", 1), ("skill_not_in_description", 4), ("unknown", 1)]
+    assert dict(got["validation:severities"]) == {"warning": 4, "error": 1, "unknown": 1}
+    text = reports.to_markdown({k: found[k] for k in ("benefits", "validation:rules")}, title="Report", max_rows=2)
+    assert text.startswith("# Report") and "| 50.0 | 25.0 |" in text and "Only the first 2 rows" in text
+    empty = reports.quality_report(df.limit(0), ["job_family"], flags="validation_flags", benefits="benefits")
+    assert tuple(empty["benefits"].first()) == (0.0, 0.0) and tuple(empty["hallucination:totals"].first()) == (0, 0) and tuple(empty["validation:rows"].first()) == (0, 0, 0.0)
+
+
+def test_pages_show_rows_by_totals(spark):
+    from jobtide.operators import analytics
+
+    cells = spark.createDataFrame([("x", "Master", 1), ("x", "PhD", 4), ("y", "Bachelor", 5), ("z", "PhD", 2), ("w", "Degree", 0), ("w", "Master", 1)], "a string, b string, n long")
+    got = [tuple(r) for r in analytics.by_row_totals(cells, 3, levels=["Bachelor", "Master", "PhD", "Degree", "None"]).orderBy("rank", "level").collect()]
+    assert got == [(1, 2, "x", "Master", 1, 5), (1, 3, "x", "PhD", 4, 5), (2, 1, "y", "Bachelor", 5, 5), (3, 3, "z", "PhD", 2, 2)]
+    assert {r.level for r in analytics.by_row_totals(cells, 1).collect()} == {1, 2}
