@@ -1,3 +1,4 @@
+import os
 import random
 import time
 
@@ -112,3 +113,127 @@ def test_extract_pages(spark):
     want = {(i, u): f"Title {i}\n\n" + (f"Text {i}" if i < 50 else "Own") if h else "" for i, u, h in rows}
     assert got == {k: (v, len(v)) for k, v in want.items()}
     assert H.extract_pages(pages).count() == len(rows) and H.extract_pages(pages.limit(0)).count() == 0
+
+
+PAGES = "/root/testdata/sf0.01/pages.parquet"
+
+
+@pytest.mark.skipif(not os.path.isfile(PAGES), reason="no test tables here")
+@pytest.mark.parametrize("plain_tags", [False, True])
+def test_the_wrapper_alone_finds_the_articles(plain_tags):
+    """Without any list of tags, roles and names, and even without article elements, on all pages of the table."""
+    import pyarrow.parquet as pq
+
+    bare = lambda h: h.replace("<article", '<div class="story"').replace("</article", "</div") if plain_tags else h
+    hosts: dict[str, list[str]] = {}
+    for row in pq.read_table(PAGES).to_pylist():
+        hosts.setdefault(row["url"].split("//")[1].split("/")[0], []).append(row["html"])
+    lost = kept = other = blocks = 0
+    for pages in hosts.values():
+        wrapper = H.induce([bare(p) for p in pages], lists=False)
+        for p in pages:
+            want = plain_article(p)
+            got, every = H.extract(bare(p), wrapper, lists=False).split("\n\n"), []
+            H._blocks(H.parse(bare(p), False, False), set(), every)
+            blocks, other = blocks + len(want), other + sum(b not in want for b in every)
+            lost, kept = lost + sum(b not in got for b in want), kept + sum(b not in want for b in got)
+    assert blocks > 2000 and other > 1500 and lost == 0 and kept <= 0.005 * other
+
+
+def plain_article(html):
+    """Blocks of the only article element, by the standard library's parser."""
+    from html.parser import HTMLParser
+
+    block = set("article p div h1 h2 h3 h4 h5 h6 ul ol li blockquote pre table tr td th section dl dt dd figure figcaption hr".split())
+    blocks, line = [], []
+
+    class Reader(HTMLParser):
+        inside, hidden = 0, 0
+
+        def flush(self):
+            text = " ".join("".join(line).split())
+            blocks.extend([text] if text else [])
+            line.clear()
+
+        def handle_starttag(self, tag, attrs):
+            names = " ".join(v or "" for k, v in attrs if k in ("id", "class"))
+            if tag == "article":
+                self.inside += 1
+            elif self.inside and (tag in ("aside", "nav", "script", "style", "form") or H.NOT_MAIN.search(names)):
+                self.hidden = self.hidden or len(self.stack) + 1
+            if tag == "br":
+                line.append(" ")
+            elif tag not in H.VOID:
+                self.stack.append(tag)
+            if tag in block:
+                self.flush()
+
+        def handle_endtag(self, tag):
+            if tag in self.stack:
+                while self.stack.pop() != tag:
+                    pass
+                if self.hidden > len(self.stack):
+                    self.hidden = 0
+            if tag in block:
+                self.flush()
+            if tag == "article":
+                self.inside -= 1
+
+        def handle_data(self, data):
+            if self.inside and not self.hidden:
+                line.append(data)
+
+        stack: list = []
+
+    reader = Reader(convert_charrefs=True)
+    reader.stack = []
+    reader.feed(html)
+    reader.close()
+    return blocks
+
+
+def test_equal_articles_of_a_host_stay():
+    make = lambda day, text="The whole story " * 20: f"<body><div><p>{day} May</p></div><section><p>{text}</p><p>and its end</p></section></body>"
+    for n in (2, 3, 6):
+        pages = [make(d) for d in range(n)]
+        wrapper = H.induce(pages)
+        for d, p in enumerate(pages):
+            assert H.extract(p, wrapper).endswith("The whole story " * 19 + "The whole story\n\nand its end")
+
+
+def test_comments_and_teasers_that_are_articles_go():
+    other = '<article class="comment"><p>First!</p></article><article class="related teaser"><p>More</p></article>'
+    assert H.extract(f"<main><p>Story</p>{other}</main>") == "Story"
+    assert H.extract(f"<article><p>Story</p>{other}</article>") == "Story"
+    assert H.extract(f"<body><article><p>Story</p></article>{other}</body>") == "Story"
+    assert H.extract(f"<body>{other}</body>") == "First!\n\nMore"  # there is nothing else
+
+
+def test_headings_of_articles_stay():
+    for head in ('<header class="entry-header"><h1>Title</h1></header>', '<div class="post-header"><h1>Title</h1></div>', "<header><h1>Title</h1></header>", '<header class="masthead"><h1>Title</h1></header>'):
+        assert H.extract(f'<body><header class="site-header">Site</header><article>{head}<p>Text</p><div class="comments-header">Say</div></article></body>') == "Title\n\nText"
+
+
+def test_names_alone_do_not_empty_a_page():
+    assert H.extract('<section class="tags alert-story"><p>Whole story</p></section>') == "Whole story"
+    assert H.extract('<div class="search-results legal"><p>Whole story</p></div><nav>Menu</nav>') == "Whole story"
+    assert H.extract('<div class="ad">Buy</div><p>Text</p>') == "Text"
+
+
+def test_menus_and_adverts_without_names_go():
+    """A planted host with two layouts and no telling tag or class, against its parts."""
+    rng = random.Random(11)
+    words = lambda n: " ".join(rng.choice("alpha beta gamma delta omega sigma kappa".split()) for _ in range(n))
+    pages, want = [], []
+    for i in range(60):
+        menu = "".join(f'<li><a href="/{words(1)}">{words(2)}</a></li>' for _ in range(rng.randint(3, 7)))
+        story = [f"Title {i} {words(3)}"] + [f"{words(rng.randint(15, 60))} {i}" for _ in range(rng.randint(1, 5))]
+        inner = "".join(f"<p>{x}</p>" for x in story)
+        if i % 6:
+            pages.append(f'<body><div class="a"><ul>{menu}</ul></div><div class="b"><p>{words(6)}</p></div><div class="c">{inner}</div><div class="d"><p>House of papers</p><p>{words(4)}</p></div></body>')
+        else:
+            pages.append(f'<body><section class="x">{inner}</section><section class="y"><p>House of papers</p></section></body>')
+        want.append("\n\n".join(story))
+    wrapper = H.induce(pages)
+    got = [H.extract(p, wrapper) for p in pages]
+    assert [g == w for g, w in zip(got, want)].count(False) == 0
