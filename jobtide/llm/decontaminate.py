@@ -8,7 +8,8 @@ An item with fewer words than a window is one window of its own length.
 
 The automaton grows with the test items only. They are read in blocks of at most `block_chars` characters
 (measured before anything is collected), one automaton per block, and each block is one pass over
-the documents; ordinary test sets are one block. Spans and items of all passes travel with the uncut text and are
+the documents that ends in a written table, so that no more than one automaton is in memory; ordinary test sets are one block, whose pass is
+not written. Spans and items of all passes travel with the uncut text and are
 merged at the end, so results do not depend on the number of blocks. Documents are never shuffled.
 
 Null and empty texts have no words and no hits, items without words give no windows, repeated items
@@ -26,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, record_batch, text_or_empty
+from .common import bounded_batches, record_batch, release, scratch_table, text_or_empty
 
 WINDOW = 10
-BLOCK_CHARS = 8_000_000
+#: Characters of items in one automaton, which then takes about 0.2 GB.
+BLOCK_CHARS = 2_000_000
 #: A document of which more than this share is test items goes as a whole.
 COVERAGE = 0.5
 #: In UTF-8 every byte from 0x80 belongs to a character outside ASCII.
@@ -170,6 +172,14 @@ def automata(benchmark: DataFrame, *, id_col: str = "item_id", text_col: str = "
         yield SuffixAutomaton([(r["item"], item_words(r["text"])) for r in part.toLocalIterator()], window)
 
 
+def _each_and_last(found: Iterator[SuffixAutomaton]) -> Iterator[tuple[SuffixAutomaton, bool]]:
+    now = next(found)
+    for later in found:
+        yield now, False
+        now = later
+    yield now, True
+
+
 _HITS = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string()))])
 
 
@@ -206,8 +216,16 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, *, window: int =
     bounded_batches(spark)
     nothing = [F.lit(0).cast("long").alias("n_words"), F.array().cast("array<array<long>>").alias("spans"), F.array().cast("array<string>").alias("items")]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), *nothing)
-    for automaton in automata(benchmark, window=window, block_chars=block_chars):
-        rows = rows.mapInArrow(_hits(spark.sparkContext.broadcast(automaton)), "doc_id long, text string, n_words long, spans array<array<long>>, items array<string>")
+    before = None
+    for automaton, last in _each_and_last(automata(benchmark, window=window, block_chars=block_chars)):
+        shared = spark.sparkContext.broadcast(automaton)
+        rows = rows.mapInArrow(_hits(shared), "doc_id long, text string, n_words long, spans array<array<long>>, items array<string>")
+        if not last:
+            rows = scratch_table(rows, "contamination")
+            shared.destroy()
+            if before is not None:
+                release(before)
+            before = rows
     return rows.drop("text")
 
 
@@ -253,8 +271,6 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, *, window: int =
     schema = docs.schema
     place = schema.names.index(text_col)
     length_at = schema.names.index(length_col) if length_col in schema.names else None
-    found = [spark.sparkContext.broadcast(a) for a in automata(benchmark, window=window, block_chars=block_chars)]
-
     def clean(shared, last: bool):
         def run(batches):
             automaton = shared.value
@@ -287,6 +303,13 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, *, window: int =
     # spans of all blocks are gathered on the uncut text, in a last column that the last pass takes off
     docs = docs.select("*", F.array().cast("array<array<long>>").alias("_spans"))
     with_spans = docs.schema
-    for shared in found[:-1]:
-        docs = docs.mapInArrow(clean(shared, False), with_spans)
-    return docs.mapInArrow(clean(found[-1], True), schema)
+    before = None
+    for automaton, last in _each_and_last(automata(benchmark, window=window, block_chars=block_chars)):
+        shared = spark.sparkContext.broadcast(automaton)
+        if last:
+            return docs.mapInArrow(clean(shared, True), schema)
+        docs = scratch_table(docs.mapInArrow(clean(shared, False), with_spans), "contamination")
+        shared.destroy()
+        if before is not None:
+            release(before)
+        before = docs

@@ -107,3 +107,18 @@ def test_results_do_not_depend_on_blocks(spark, docs_frame):
     clean = lambda n: sorted((r.doc_id, r.text or "", r.n_chars) for r in decontaminate.remove_contamination(docs, benchmark, block_chars=n).collect())
     assert report(60) == report(10**6) and len(report(60)) == len(rows)
     assert clean(60) == clean(10**6) and [r[0] for r in clean(60)] == [2, 2, 3, 4, 5, 6]
+
+
+def test_a_pass_has_one_automaton(spark, docs_frame, monkeypatch):
+    """Several blocks end in written tables: no plan holds two passes, and results are those of one block."""
+    rng = random.Random(4)
+    words = lambda n: [f"w{rng.randrange(60)}" for _ in range(n)]
+    items = [(i, " ".join(words(rng.choice([4, 12, 30])))) for i in range(40)]
+    docs = docs_frame([(i, " ".join([*words(30), *rng.choice(items)[1].split(), *words(20)])) for i in range(30)])
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    whole = decontaminate.contamination_report(docs, benchmark)
+    parts = decontaminate.contamination_report(docs, benchmark, block_chars=400)
+    assert parts._jdf.queryExecution().toString().count("MapInArrow") <= whole._jdf.queryExecution().toString().count("MapInArrow")
+    assert sorted(map(repr, parts.collect())) == sorted(map(repr, whole.collect()))
+    one, many = (sorted(map(repr, decontaminate.remove_contamination(docs, benchmark, block_chars=b).collect())) for b in (10**6, 400))
+    assert one == many
