@@ -19,14 +19,18 @@ PICTOGRAPHS = r"[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1
 CHARS_PER_TOKEN = 3.5
 
 
+#: Unicode white space: what (?U)\\s matches (fixed values).
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
-    """Without white space at the ends, Unicode white space included (trim() knows U+0020 only)."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Without white space at the ends, Unicode white space included (trim() alone knows U+0020 only). No pattern is run."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def squeeze(c: Column) -> Column:
     """Every run of white space becomes one space; none at the ends."""
-    return strip(F.regexp_replace(c, r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
 def null_if_sentinel(c: Column, *, trimmed: bool = False) -> Column:
@@ -169,7 +173,7 @@ def row_id(url: Column) -> Column:
 
 def tokens(c: Column, pattern: str = "[^a-zà-ÿ]+") -> Column:
     """Distinct lower-case words of a text."""
-    return F.array_distinct(F.filter(F.split(F.lower(c), pattern), lambda x: x != ""))
+    return F.array_remove(F.array_distinct(F.split(F.lower(c), pattern)), "")
 
 
 def casing_score(c: Column) -> Column:

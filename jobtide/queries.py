@@ -37,6 +37,12 @@ def read(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a table of fewer files than there are cores dealt over all of them, for work that is heavy per row. Larger tables are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def orders(spark: SparkSession, d: str) -> DataFrame:
     o, c, n = (read(spark, d, t) for t in ("orders", "customer", "nation"))
     return o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -46,7 +52,7 @@ O_SQL = "o AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey JOIN
 
 
 def docs(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "documents").withColumn("skills", text.tokens(F.col("text")))
+    return spread(read(spark, d, "documents")).withColumn("skills", text.tokens(F.col("text")))
 
 
 T_SQL = "t AS (SELECT doc_id, lang, source, n_chars, list_distinct(list_filter(string_split_regex(lower(text), '[^a-zà-ÿ]+'), lambda x: x <> '')) AS skills FROM documents)"
@@ -329,7 +335,7 @@ def casing_score(spark, d):
 
 @query(r"WITH h AS (SELECT doc_id, sha256(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS group_hash FROM documents) SELECT h.doc_id AS id, h.group_hash, g.representative, g.members FROM h JOIN (SELECT group_hash, min(doc_id) AS representative, count(*) AS members FROM h GROUP BY 1) g ON h.group_hash = g.group_hash")
 def desc_hash_groups(spark, d):
-    return dedup.description_groups(read(spark, d, "documents"), "text", "doc_id", "doc_id")
+    return dedup.description_groups(spread(read(spark, d, "documents")), "text", "doc_id", "doc_id")
 
 
 @query(f"""WITH {T_SQL}, c AS (SELECT min(doc_id) AS id, list_sort(skills) AS s FROM t GROUP BY 2)
@@ -349,7 +355,7 @@ def near_dup_leaders(spark, d):
 @query(r"""WITH h AS (SELECT doc_id, sha256(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS g FROM documents), r AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY g) AS rep FROM h)
     SELECT r.doc_id AS id, coalesce(own.quality, rep.quality) AS quality FROM r LEFT JOIN labels own ON own.doc_id = r.doc_id LEFT JOIN labels rep ON rep.doc_id = r.rep WHERE own.doc_id IS NOT NULL OR rep.doc_id IS NOT NULL""")
 def fan_out_results(spark, d):
-    groups = dedup.description_groups(read(spark, d, "documents"), "text", "doc_id", "doc_id")
+    groups = dedup.description_groups(spread(read(spark, d, "documents")), "text", "doc_id", "doc_id")
     return dedup.fan_out(groups, read(spark, d, "labels").select(F.col("doc_id").alias("id"), "quality"))
 
 
@@ -517,12 +523,12 @@ def clean_html_entities(spark, d):
 
 @query(r"""SELECT doc_id, sha256(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '//+', ' ', 'g'), '(^|[^CF])#', '\1 ', 'g'), '(^|[^CF])#', '\1 ', 'g'), '[*]+', ' ', 'g'), '[|\\~`]', ' ', 'g')) AS sha FROM documents""")
 def clean_special_chars(spark, d):
-    return read(spark, d, "documents").select("doc_id", F.sha2(text.clean_special_chars(F.col("text")), 256).alias("sha"))
+    return spread(read(spark, d, "documents")).select("doc_id", F.sha2(text.clean_special_chars(F.col("text")), 256).alias("sha"))
 
 
 @query(r"SELECT doc_id, sha256(trim(regexp_replace(regexp_replace(text, '[ \t]{2,}', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')) AS sha FROM documents")
 def whitespace_normalized(spark, d):
-    return read(spark, d, "documents").select("doc_id", F.sha2(text.normalize_whitespace(F.col("text")), 256).alias("sha"))
+    return spread(read(spark, d, "documents")).select("doc_id", F.sha2(text.normalize_whitespace(F.col("text")), 256).alias("sha"))
 
 
 @query()
@@ -569,7 +575,7 @@ _POSTS = [
 @query("SELECT o_orderkey, CASE k WHEN 0 THEN 'Full-time' WHEN 1 THEN 'Part-time' WHEN 2 THEN 'Freelance' WHEN 4 THEN 'Contract' WHEN 5 THEN 'Permanent' WHEN 3 THEN 'Working Student' END AS contract, CASE k WHEN 0 THEN 'Remote' WHEN 1 THEN 'On-site' WHEN 2 THEN 'Hybrid' WHEN 5 THEN 'Remote' END AS modality, CAST(CASE k WHEN 0 THEN 60000 WHEN 1 THEN 45000 WHEN 4 THEN 80000 END AS INTEGER) AS low, CAST(CASE k WHEN 0 THEN 80000 WHEN 4 THEN 110000 END AS INTEGER) AS high, CAST(CASE k WHEN 0 THEN 3 WHEN 1 THEN 2 WHEN 3 THEN 5 END AS INTEGER) AS years, CASE k WHEN 0 THEN 'Senior' WHEN 1 THEN 'Junior' WHEN 2 THEN 'Lead' WHEN 3 THEN 'Junior' WHEN 4 THEN 'C-Level' END AS seniority, CASE k WHEN 0 THEN 'Master' WHEN 1 THEN 'Bachelor' WHEN 3 THEN 'Degree' WHEN 4 THEN 'Vocational' END AS education FROM (SELECT o_orderkey, o_orderkey % 6 AS k FROM orders)")
 def regex_fields(spark, d):
     posts = F.array(*[F.struct(F.lit(a).alias("d"), F.lit(t).alias("t")) for a, t in _POSTS])
-    rows = read(spark, d, "orders").withColumn("post", F.element_at(posts, (F.col("o_orderkey") % 6 + 1).cast("int"))).select("o_orderkey", F.concat("post.d", F.lit(" "), F.lit("")).alias("d"), F.col("post.t").alias("t"))
+    rows = spread(read(spark, d, "orders")).withColumn("post", F.element_at(posts, (F.col("o_orderkey") % 6 + 1).cast("int"))).select("o_orderkey", F.concat("post.d", F.lit(" "), F.lit("")).alias("d"), F.col("post.t").alias("t"))
     pay = fields.salary_range(F.col("d"))
     return rows.select(
         "o_orderkey", fields.contract_type(F.col("d"), F.col("t")).alias("contract"), fields.work_modality(F.col("d"), F.col("t")).alias("modality"), pay["low"].alias("low"), pay["high"].alias("high"),
@@ -581,7 +587,7 @@ def regex_fields(spark, d):
 def regex_languages(spark, d):
     texts = F.array(*map(F.lit, ["Deutsch C1 und fließend Englisch, gute Deutschkenntnisse", "Deutsch- und Englischkenntnisse", "We value diversity. English C1 speakers welcome", "muttersprachliche Deutschkenntnisse, Deutsch B1"]))
     found = fields.languages(F.element_at(texts, (F.col("o_orderkey") % 4 + 1).cast("int")))
-    return read(spark, d, "orders").select("o_orderkey", F.array_join(F.transform(found, lambda x: F.concat(x["language"], F.lit(":"), x["level"])), ",").alias("langs"))
+    return spread(read(spark, d, "orders")).select("o_orderkey", F.array_join(F.transform(found, lambda x: F.concat(x["language"], F.lit(":"), x["level"])), ",").alias("langs"))
 
 
 _PLACES = ["Köln, NW, Germany", "Hamburg, DE", "Bayern, Deutschland", "Leipzig, Germany", "Paris, France", "Greater Berlin Area", "Saarland", "DACH", "Nowhere", "Austin, TX"]
