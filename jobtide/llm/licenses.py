@@ -1,6 +1,7 @@
 """Licence scans by sentence rules, with DataFrame functions only.
 
-A text is cut into sentences at their ends, at blank lines and at a colon that ends a line; each is normalised (ASCII lower case,
+A text is cut into sentences at their ends, at blank lines, at a colon that ends a line, before numbers in brackets and behind a line that names
+a holder of copyright; each is normalised (ASCII lower case,
 every run of other characters than letters and digits one space, so that line breaks of wrapped texts and the signs of comment blocks
 vanish) and looked up among the known licence sentences. A sentence that is not known is looked up line by line, as
 references often stand on a line of their own; a line that is unknown but speaks of a
@@ -20,8 +21,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TRIGGER = r"(?i)licen[cs]|copyright|permission|redistribut|warrant|public domain|spdx|neither the name|free software|under (?:a )?cc by|rights reserved|in no event shall|either version|subject to the terms"
-#: Sentence ends, colons at a line's end, and lines that are blank but for the signs of a comment block.
-CUT = r"[.!?;]+[^0-9A-Za-z\s]*(?:\s+|$)|:[ \t]*\n|\n[ \t]*(?:[#*/;%-]+[ \t]*)?\n"
+#: Sentence ends, colons at a line's end, lines that are blank but for the signs of a comment block, and numbers in brackets that begin a line.
+_NUMBER = r"[ \t]*(?:[#*/;%-]+[ \t]*)?\([0-9a-z]{1,3}\)[ \t]+"
+CUT = rf"(?:[.!?;]+[^0-9A-Za-z\s]*(?:\s+|$)|:[ \t]*\n|\n[ \t]*(?:[#*/;%-]+[ \t]*)?\n)(?:{_NUMBER})?|\n{_NUMBER}"
+#: A line that names the holder of a copyright; it ends a sentence, whatever follows.
+HOLDER = r"(?im)^([ \t]*(?:[#*/;%-]+[ \t]*)?copyright[ \t]+(?:\(c\)|\x{A9}|[0-9]{4})[^\n]*)\n"
 UNKNOWN = "UNKNOWN"
 
 # Identifiers and wordings of licence sentences, as the public licence texts have them.
@@ -159,7 +163,7 @@ def _sentence_ids(text: Column) -> Column:
         lines = F.transform(F.split(sentence, "\n"), lambda line: of_line(normalised(line)))
         return F.when(whole.isNotNull(), F.array(whole)).otherwise(lines)
 
-    sentences = F.split(F.regexp_replace(text, "\r\n?", "\n"), CUT)
+    sentences = F.split(F.regexp_replace(F.regexp_replace(text, "\r\n?", "\n"), HOLDER, "$1\n\n"), CUT)
     return F.filter(F.flatten(F.transform(sentences, of_sentence)), lambda x: x.isNotNull())
 
 
@@ -190,7 +194,7 @@ def oracle_sql() -> str:
     return f"""
         WITH RECURSIVE known(s, id) AS (VALUES {known}),
         rules(k, name, pattern) AS (VALUES {rules}),
-        cut AS (SELECT doc_id, string_split_regex(regexp_replace(coalesce(text, ''), '\\r\\n?', chr(10), 'g'), '{CUT}') AS parts FROM documents WHERE regexp_matches(coalesce(text, ''), '{TRIGGER}')),
+        cut AS (SELECT doc_id, string_split_regex(regexp_replace(regexp_replace(coalesce(text, ''), '\\r\\n?', chr(10), 'g'), '{HOLDER}', '\\1' || chr(10) || chr(10), 'g'), '{CUT}') AS parts FROM documents WHERE regexp_matches(coalesce(text, ''), '{TRIGGER}')),
         sentences AS (SELECT doc_id, i, parts[i] AS part, trim(regexp_replace(lower(parts[i]), '[^a-z0-9]+', ' ', 'g')) AS s FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM cut)),
         whole AS (SELECT sentences.*, known.id FROM sentences LEFT JOIN known ON sentences.s = known.s),
         lines AS (SELECT doc_id, i, j, trim(regexp_replace(lower(parts[j]), '[^a-z0-9]+', ' ', 'g')) AS s FROM (SELECT doc_id, i, parts, unnest(range(1, len(parts) + 1)) AS j FROM (SELECT doc_id, i, string_split(part, chr(10)) AS parts FROM whole WHERE id IS NULL))),

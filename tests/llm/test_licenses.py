@@ -67,3 +67,16 @@ def test_texts_as_they_ship(docs_frame):
     con = duckdb.connect()
     con.register("documents", documents)
     assert {r[0]: r[3] for r in con.sql(L.oracle_sql()).fetchall()} == got
+
+
+def test_holders_and_numbers_in_brackets_cut(docs_frame):
+    grant = wrapped(TEXT["MIT-GRANT"], TEXT["MIT-NOTICE"], TEXT["AS-IS-MIT"], TEXT["LIABILITY-MIT"])
+    for holder in ("Copyright (c) 2020 Some One", "Copyright 2019-2024, A B", "# Copyright © 2001 X"):
+        prefix = "# " if holder.startswith("#") else ""
+        body = "\n".join(prefix + line if line else line for line in grant.split("\n"))
+        found, ids = scan(docs_frame, [f"{holder}\n{body}", f"Intro\n{holder}\n{holder}\n{body}"])
+        assert found == ["MIT", "MIT"] and all("MIT-GRANT,MIT-NOTICE" in i for i in ids), holder
+    numbered = TEXT["BSD-REDIST"] + "\n" + "\n".join(f"  ({k}) {TEXT[n]}" for k, n in zip("123", ("BSD-SOURCE", "BSD-BINARY", "BSD-ENDORSE")))
+    assert scan(docs_frame, [numbered])[0] == ["BSD-3-Clause"]
+    # words of a notice that begin a line name nobody
+    assert scan(docs_frame, [wrapped(TEXT["BSD-REDIST"], TEXT["BSD-SOURCE"], TEXT["BSD-BINARY"], width=40)])[0] == ["BSD-2-Clause"]
