@@ -34,6 +34,8 @@ FREQUENT = 1 << 21
 HELD_PAIRS = 1 << 20
 #: Characters of a block of texts.
 BLOCK = 1 << 21
+#: Pieces that each of the two encoders of a worker remembers, in each of two generations.
+REMEMBER = 300_000
 _META = "▁"
 
 
@@ -308,7 +310,7 @@ def pair_counts(aligned_docs: DataFrame, shift: int) -> DataFrame:
     return out
 
 
-def align_documents(docs: DataFrame, *, a: str | None = None, b: str | None = None, remember: int = PIECES, frequent: int = FREQUENT) -> DataFrame:
+def align_documents(docs: DataFrame, *, a: str | None = None, b: str | None = None, remember: int = REMEMBER, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of every document."""
     spark = docs.sparkSession
     bounded_batches(spark, megabytes=8)
