@@ -991,3 +991,51 @@ def overview_min_only(spark, d):
     """The filtered dashboard's overview, for which the lower bound of pay is enough."""
     o = orders(spark, d).withColumn("low", F.when(F.col("o_totalprice") > 100_000, F.col("o_totalprice")))
     return analytics.overview(o, company="c_custkey", place="n_name", date="o_orderdate", low="low", high=None, modality="o_orderstatus")
+
+
+@query("""SELECT substr(sha256('https://a.example/' || c_custkey), 1, 12) AS row_id, 'a' AS site, trim(c_name) AS title, 'https://a.example/' || c_custkey AS job_url, c_mktsegment AS company_name, NULL AS location,
+        CASE c_custkey % 4 WHEN 0 THEN '2025-03-0' || (c_custkey % 9 + 1) WHEN 1 THEN '2026-02-14' WHEN 2 THEN '2026-02-01' ELSE '2027-01-01' END AS date_posted, 'source_a' AS source_file FROM customer
+    UNION ALL SELECT substr(sha256('https://b.example/' || s_suppkey), 1, 12), 'b', trim(s_name), 'https://b.example/' || s_suppkey, NULL, CAST(s_nationkey AS VARCHAR), '2026-02-15', 'source_b' FROM supplier""")
+def ingest_two_sources(spark, d):
+    """Two CSV sources with their own column names, exact dates out of phrases, stripped cells, sentinels and row ids."""
+    c, s = read(spark, d, "customer"), read(spark, d, "supplier")
+    day = F.col("c_custkey") % 4
+    phrase = F.when(day == 0, F.concat(F.lit("2025-03-0"), (F.col("c_custkey") % 9 + 1).cast("string"))).when(day == 1, "yesterday").when(day == 2, "2 weeks ago").otherwise("soon")
+    first, second = scratch_path(spark), scratch_path(spark)
+    head = {"header": True, "quoteAll": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
+    c.select(F.concat(F.lit("https://a.example/"), F.col("c_custkey").cast("string")).alias("link"), F.concat(F.lit(" "), F.col("c_name"), F.lit("\n")).alias("name"), F.col("c_mktsegment").alias("firm"), phrase.alias("when"), F.lit("nan").alias("where")).write.options(**head).csv(first)
+    s.select(F.concat(F.lit("https://b.example/"), F.col("s_suppkey").cast("string")).alias("url"), F.col("s_name").alias("job"), F.lit("today").alias("posted"), F.col("s_nationkey").cast("string").alias("place")).write.options(**head).csv(second)
+    sources = [
+        io.Source("source_a", first, "a", {"title": "name", "job_url": "link", "company_name": "firm", "date_posted": "when", "location": "where"}),
+        io.Source("source_b", second, "b", {"title": "job", "job_url": "url", "date_posted": "posted", "location": "place"}),
+    ]
+    found = io.ingest_contract(io.ingest(spark, sources, "2026-02-15"))
+    return found.select("row_id", "site", "title", "job_url", "company_name", "location", "date_posted", "source_file")
+
+
+@query("SELECT count(*) AS rows, count_if(p_partkey % 3 = 0) AS changed, count(DISTINCT p_name) AS before, count(DISTINCT CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) ELSE p_name END) AS after FROM part")
+def title_report(spark, d):
+    p = read(spark, d, "part").select(F.col("p_name").alias("title_original"), F.when(F.col("p_partkey") % 3 == 0, F.upper("p_name")).otherwise(F.col("p_name")).alias("title_cleaned"))
+    return reports.title_report(p)
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 400 BETWEEN 10 AND 300 THEN CAST(p_partkey % 400 * 1000 AS INT) END AS salary_min, CASE WHEN p_partkey % 5 <> 0 AND p_size * 1000 BETWEEN 10000 AND 300000 THEN p_size * 1000 END AS salary_max,
+    CASE WHEN p_size <= 10 THEN p_size END AS experience_years, p_name AS title FROM part""")
+def numbers_and_markers_fixed(spark, d):
+    """Pay and years out of text forms, gender markers that were left in titles."""
+    key = F.col("p_partkey")
+    rows = read(spark, d, "part").select(
+        "p_partkey", F.concat((key % 400).cast("string"), F.lit(".000")).alias("salary_min"), F.when(key % 5 == 0, "none given").otherwise(F.concat((F.col("p_size") * 1000).cast("string"), F.lit(".0"))).alias("salary_max"),
+        F.concat(F.lit(" "), F.col("p_size").cast("string")).alias("experience_years"), F.concat("p_name", F.element_at(F.array(*map(F.lit, ["", " (m/w/d)", " m/w/d", " (w/m/x) "])), (key % 4 + 1).cast("int"))).alias("title"),
+    )
+    fixed = cleaning.fix_residual_gender(cleaning.fix_numeric(rows))
+    return fixed.withColumn("title", text.squeeze(F.col("title")))
+
+
+@query("""SELECT level, count(*) AS n FROM (SELECT ['A1', 'B2', 'C1'][CAST(o_orderkey % 3 AS INT) + 1] AS level FROM orders WHERE o_orderkey % 4 <> 0) GROUP BY level""")
+def german_levels(spark, d):
+    level = F.element_at(F.array(*map(F.lit, ["A1", "B2", "C1"])), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    language = lambda name, rank: F.struct(F.lit(name).alias("language"), rank.alias("level"))
+    both = F.array(language("English", F.lit("C2")), language("German", level))
+    rows = read(spark, d, "orders").select(F.when(F.col("o_orderkey") % 4 != 0, both).otherwise(F.slice(both, 1, 1)).alias("languages"))
+    return analytics.language_levels(rows)
