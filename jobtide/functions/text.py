@@ -70,10 +70,11 @@ def _code_point(n: Column) -> Column:
     return known.when((n > 0x10FFFF) | n.between(0xD800, 0xDFFF), "\ufffd").when(gone, "").otherwise(plain)
 
 
-def unescape_entities(c: Column) -> Column:
+def unescape_entities(c: Column, *, only: Sequence[str] | None = None) -> Column:
     """All named and numeric character references, as browsers read them: names without a semicolon where HTML 5 knows them so, longest first.
 
     Each part behind a sign of & is read by itself, since no reference holds that sign. Texts without one are left as they are.
+    With `only`, references written otherwise than one of these (with & and semicolon) stay as they are.
     """
     tables = F.from_json(F.lit(_entity_tables()), "array<string>")
     bare = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
@@ -99,8 +100,13 @@ def unescape_entities(c: Column) -> Column:
             .otherwise(F.coalesce(F.concat(named(reference), rest(F.length(reference))), other))
         )
 
+    def chosen(p: Column, reference: Column) -> Column:
+        if only is None:
+            return read(p, reference)
+        return F.when(reference.isin(*[e.removeprefix("&") for e in only]), read(p, reference)).otherwise(F.concat(F.lit("&"), p))
+
     def part(p: Column) -> Column:
-        return let(F.regexp_extract(p, r"^(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)", 0), lambda reference: read(p, reference))
+        return let(F.regexp_extract(p, r"^(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)", 0), lambda reference: chosen(p, reference))
 
     whole = let(F.split(c, "&", -1), lambda parts: F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, 2, 1 << 30), part), "")))
     return F.when(c.contains("&"), whole).otherwise(c)
@@ -112,10 +118,10 @@ def decode_basic_entities(c: Column) -> Column:
     return c
 
 
-def clean_html(c: Column, *, all_entities: bool = True) -> Column:
-    """Tags become spaces, entities their characters."""
+def clean_html(c: Column, *, all_entities: bool = True, only: Sequence[str] | None = None) -> Column:
+    """Tags become spaces, entities their characters; of all entities those of `only`, where it is given."""
     bare = F.regexp_replace(c, "<[^>]+>", " ")
-    return unescape_entities(bare) if all_entities else decode_basic_entities(bare)
+    return unescape_entities(bare, only=only) if all_entities else decode_basic_entities(bare)
 
 
 def clean_special_chars(c: Column) -> Column:

@@ -38,3 +38,20 @@ def test_no_python_in_the_plan(spark):
     plan = df.select(text.clean_html(F.col("t")))._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan and "PythonUDF" not in plan
     assert df.select(text.clean_html(F.col("t"))).first()[0] == " a  ä €"
+
+
+def test_the_query_keeps_to_the_references_of_its_sql(spark, tmp_path):
+    import duckdb
+
+    from jobtide import queries
+
+    named = [e for e, _ in text.BASIC_ENTITIES]
+    rng = random.Random(8)
+    parts = [*named, "&", "&amp", "&quot", "&lt", "&hellip;", "&#8364;", "&#039;", "&#39", "&am", ";", "lt;", "<b>", "<", ">", " x", "é"]
+    html_texts = ["Fish &amp", "&quot", "a &hellip; b", "&amp;lt; &amp;amp;", "", None, "no sign", *("".join(rng.choice(parts) for _ in range(rng.randint(1, 8))) for _ in range(400))]
+    spark.createDataFrame(list(enumerate(html_texts)), "page_id long, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.page_id: r.sha for r in queries.clean_html_entities(spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    want = dict(con.sql(queries.ORACLE_SQL["clean_html_entities"]).fetchall())
+    assert [t for i, t in enumerate(html_texts) if got[i] != want[i]] == []
