@@ -12,7 +12,7 @@ dealt over several models, each broadcast and read over the documents on its own
 results do not depend on the number of models. A document's cross-entropy in a language is the mean negative
 log-probability of its characters; the lowest wins, and the score is the winner's share of the languages'
 probabilities at an effective length of `EFFECTIVE` characters. Calibrated rejection: a text is `rejected` if its
-cross-entropy is beyond the winner's mean over its own labelled documents by more than `SPREAD` standard
+cross-entropy is beyond the winner's mean over all of its labelled documents by more than `SPREAD` standard
 deviations; `reject=True` also gives it `und`.
 
 Null texts, empty texts and texts without a letter are `und` with score 0 and rejected. With no training row everything
@@ -40,8 +40,6 @@ SHARD_CELLS = 2_400_000
 WORDS_HELD = 200_000
 EFFECTIVE = 12
 SPREAD = 6.0
-#: Labelled documents of a language, about, that its mean cross-entropy is measured on: those with the lowest hashes of their id.
-CALIBRATION_ROWS = 500
 UNDETERMINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -269,81 +267,102 @@ def load_model(counts: DataFrame, *, shard_cells: int = SHARD_CELLS) -> KneserNe
     return models[0] if len(models) == 1 else Sharded(models)
 
 
-def _entropies(shared):
-    schema = pa.schema([("lang", pa.string()), ("entropy", pa.float64())])
+_OUT = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
+_DDL = "doc_id long, lang_pred string, score double, rejected boolean"
+_SCORED = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("entropy", pa.float64()), ("lang", pa.string()), ("own", pa.float64())])
+_SCORED_DDL = "doc_id long, lang_pred string, score double, entropy double, lang string, own double"
+
+
+def _add_entropies(shared):
+    schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("text", pa.string()), ("entropies", pa.list_(pa.float64()))])
 
     def run(batches):
         identifier = _identifier(shared)
         for batch in batches:
-            langs, out = batch.column(0).to_pylist(), []
-            for lang, text in zip(langs, batch.column(1).to_pylist(), strict=True):
+            out = []
+            for text, before in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 e = identifier.entropies(text)
-                out.append(None if e is None else float(e[identifier.model.languages.index(lang)]))
-            yield record_batch(schema, {"lang": langs, "entropy": out})
+                out.append(before if e is None else before + e.tolist())
+            yield record_batch(schema, {"doc_id": batch.column(0), "lang": batch.column(1), "text": batch.column(2), "entropies": out})
 
     return run
 
 
-def calibrate(model: KneserNey | Sharded, docs: DataFrame) -> None:
-    """Set each language's rejection bound from a bounded number of its own documents."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    known = docs.filter("lang IS NOT NULL").select("lang", F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    totals = known.groupBy("lang").agg(F.count("*").alias("n")).collect()
-    # a share of each language by the hash of the id: no rows are sorted or shuffled
-    share = F.create_map(*[x for r in totals for x in (F.lit(r["lang"]), F.lit(min(1.0, CALIBRATION_ROWS / r["n"])))]) if totals else F.lit(None).cast("map<string,double>")
-    rows = known.filter(F.xxhash64("doc_id").cast("double") <= F.lit(-(2.0**63)) + F.lit(2.0**64) * F.element_at(share, F.col("lang"))).select("lang", "text")
-    found = rows.mapInArrow(_entropies(spark.sparkContext.broadcast(model)), "lang string, entropy double")
-    for r in found.groupBy("lang").agg(F.avg("entropy").alias("m"), F.coalesce(F.stddev_pop("entropy"), F.lit(0.0)).alias("s")).filter("m IS NOT NULL").toLocalIterator():
-        model.limits[r["lang"]] = r["m"] + SPREAD * r["s"]
+def _scored_batch(ids, langs, entropies: list[np.ndarray | None], languages: list[str], places: dict[str, int]) -> pa.RecordBatch:
+    verdicts = [verdict(e, languages, {}, False) for e in entropies]
+    known = langs.to_pylist()
+    return record_batch(_SCORED, {
+        "doc_id": ids, "lang_pred": [v[0] for v in verdicts], "score": [v[1] for v in verdicts], "entropy": [None if e is None else float(e.min()) for e in entropies], "lang": known,
+        "own": [None if e is None or lang not in places else float(e[places[lang]]) for e, lang in zip(entropies, known, strict=True)],
+    })
 
 
-_OUT = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
-_DDL = "doc_id long, lang_pred string, score double, rejected boolean"
+def score_languages(docs: DataFrame, model: KneserNey | Sharded, lang=None) -> DataFrame:
+    """doc_id, lang_pred, score, entropy (the winner's), lang, own (the entropy in `lang`, where that is learnt) of every whole text. No shuffle.
 
+    `lang` is the value that a row calibrates; it has no part in its prediction. Several models: one pass over the documents per
+    model, entropies travel with the texts.
+    """
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    languages, places = model.languages, {lang: k for k, lang in enumerate(model.languages)}
+    known = F.lit(None).cast("string") if lang is None else lang
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), known.cast("string").alias("lang"), "text")
+    if isinstance(model, Sharded):
+        rows = rows.withColumn("entropies", F.array().cast("array<double>"))
+        for m in model.models:
+            rows = rows.mapInArrow(_add_entropies(spark.sparkContext.broadcast(m)), "doc_id long, lang string, text string, entropies array<double>")
 
-def _add_entropies(shared):
-    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("entropies", pa.list_(pa.float64()))])
+        def finish(batches):
+            for batch in batches:
+                found = [np.array(e) if e else None for e in batch.column(2).to_pylist()]
+                yield _scored_batch(batch.column(0), batch.column(1), found, languages, places)
+
+        return rows.select("doc_id", "lang", "entropies").mapInArrow(finish, _SCORED_DDL)
+    shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
         identifier = _identifier(shared)
         for batch in batches:
-            out = []
-            for text, before in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                e = identifier.entropies(text)
-                out.append(before if e is None else before + e.tolist())
-            yield record_batch(schema, {"doc_id": batch.column(0), "text": batch.column(1), "entropies": out})
+            yield _scored_batch(batch.column(0), batch.column(1), [identifier.entropies(t) for t in batch.column(2).to_pylist()], languages, places)
 
-    return run
+    return rows.mapInArrow(run, _SCORED_DDL)
 
 
-def _identify_sharded(docs: DataFrame, model: Sharded, reject: bool) -> DataFrame:
-    """One pass over the documents per model; entropies travel with the texts. No shuffle."""
-    languages, limits = model.languages, dict(model.limits)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.array().cast("array<double>").alias("entropies"))
-    for m in model.models:
-        rows = rows.mapInArrow(_add_entropies(docs.sparkSession.sparkContext.broadcast(m)), "doc_id long, text string, entropies array<double>")
+def rejection_bounds(scored: DataFrame) -> DataFrame:
+    """lang, bound: a row per language, from all scored documents that have it."""
+    spread = F.coalesce(F.stddev_pop("own"), F.lit(0.0))
+    return scored.filter("own IS NOT NULL").groupBy("lang").agg((F.avg("own") + SPREAD * spread).alias("bound"))
+
+
+def calibrate(model: KneserNey | Sharded, docs: DataFrame) -> None:
+    """Set each language's rejection bound from all of its documents."""
+    known = docs.filter("lang IS NOT NULL")
+    for r in rejection_bounds(score_languages(known, model, F.col("lang"))).toLocalIterator():
+        model.limits[r["lang"]] = r["bound"]
 
-    def run(batches):
-        for batch in batches:
-            found = [verdict(np.array(e) if e else None, languages, limits, reject) for e in batch.column(1).to_pylist()]
-            yield record_batch(_OUT, dict(zip(_OUT.names, (batch.column(0), *(zip(*found) if found else ((), (), ()))))))
 
-    return rows.select("doc_id", "entropies").mapInArrow(run, _DDL)
+def identify_calibrated(docs: DataFrame, model: KneserNey | Sharded, learnt) -> DataFrame:
+    """doc_id, lang_pred, score, rejected of every whole text, with bounds from all rows where the Column `learnt` holds and that have a language.
+
+    Texts are scored once: their entropies, a few numbers a row, are written, and both the bounds and the verdicts come from them.
+    """
+    scored = scratch_table(score_languages(docs, model, F.when(learnt, F.col("lang"))), "lang-scores")
+    bounds = rejection_bounds(scored).select(F.col("lang").alias("lang_pred"), "bound")
+    # a row per language
+    found = scored.drop("lang").join(F.broadcast(bounds), "lang_pred", "left")
+    return found.select("doc_id", "lang_pred", "score", F.coalesce(F.col("entropy").isNull() | (F.col("entropy") > F.col("bound")), F.lit(False)).alias("rejected"))
 
 
 def identify_documents(docs: DataFrame, model: KneserNey | Sharded, *, reject: bool = False) -> DataFrame:
-    """doc_id, lang_pred, score, rejected of every whole text. No shuffle."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    if isinstance(model, Sharded):
-        return _identify_sharded(docs, model, reject)
-    shared = spark.sparkContext.broadcast(model)
+    """doc_id, lang_pred, score, rejected of every whole text, by the model's own bounds. No shuffle."""
+    limits = dict(model.limits)
 
     def run(batches):
-        identifier = _identifier(shared)
         for batch in batches:
-            found = [identifier.identify(t, reject) for t in batch.column(1).to_pylist()]
-            yield record_batch(_OUT, dict(zip(_OUT.names, (batch.column(0), *(zip(*found) if found else ((), (), ()))))))
+            langs, entropies = batch.column(1).to_pylist(), batch.column(3).to_pylist()
+            rejected = [e is None or e > limits.get(lang, np.inf) for lang, e in zip(langs, entropies, strict=True)]
+            named = [UNDETERMINED if reject and r else lang for lang, r in zip(langs, rejected, strict=True)]
+            yield record_batch(_OUT, {"doc_id": batch.column(0), "lang_pred": named, "score": batch.column(2), "rejected": rejected})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _DDL)
+    return score_languages(docs, model).select("doc_id", "lang_pred", "score", "entropy").mapInArrow(run, _DDL)

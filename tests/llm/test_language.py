@@ -96,3 +96,22 @@ def test_all_grams_are_kept_whatever_the_number_of_languages_and_models(docs_fra
     odd = docs.unionAll(docs_frame([(5000, None, None), (5001, "1 !", None)]))
     read = lambda m: {r.doc_id: (r.lang_pred, round(r.score, 5)) for r in L.identify_documents(odd, m).collect()}
     assert read(whole) == read(parts)
+
+
+def test_rejection_bounds_come_from_all_labelled_documents(docs_frame):
+    rng = random.Random(6)
+    # far more of a language than any sample of some hundreds would hold, and one odd document in each of a hundred
+    rows = [(i, text("aa", rng, 6) if i % 100 else "qqqq xxxx zzzz", "aa") for i in range(1500)] + [(2000 + i, text("bb", rng, 6), "bb") for i in range(300)]
+    docs = docs_frame(rows + [(9000, "w" * 40, None), (9001, None, "aa"), (9002, text("bb", rng, 5), None)])
+    counts = L.train_counts(docs)
+    whole, parts = L.load_model(counts), L.load_model(counts, shard_cells=1)
+    own = {lang: [whole_costs[whole.languages.index(lang)] for _, t, l in rows if l == lang and (whole_costs := L.Identifier(whole).entropies(t)) is not None] for lang in ("aa", "bb")}
+    want = {lang: np.mean(e) + L.SPREAD * np.std(e) for lang, e in own.items()}
+    for model in (whole, parts):
+        L.calibrate(model, docs)
+        assert model.limits.keys() == want.keys() and all(abs(model.limits[k] - want[k]) < 1e-4 for k in want)
+        shown = lambda df: {r.doc_id: (r.lang_pred, round(r.score, 6), r.rejected) for r in df.collect()}
+        from pyspark.sql import functions as F
+
+        assert shown(L.identify_calibrated(docs, model, F.lit(True))) == shown(L.identify_documents(docs, model))
+    assert len(parts.models) == 2
