@@ -136,7 +136,7 @@ _WEIGHTS = pa.schema([("slot", pa.int64()), ("weight", pa.float64())])
 
 def _featurize(bits: int):
     def run(batches):
-        hashes = worker_cache("word hashes", WordHashes)
+        hashes = worker_cache("toxicity word hashes", WordHashes)
         for batch in batches:
             slots = [feature_set(t, hashes, bits).tobytes() for t in batch.column(2).to_pylist()]
             yield record_batch(_FEATURES, {"doc_id": batch.column(0), "toxic": batch.column(1), "slots": slots})
@@ -181,7 +181,7 @@ _SCORES = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
 class Scorer:
     def __init__(self, slots: np.ndarray, weights: np.ndarray, bits: int):
-        self.bits, self.hashes = bits, worker_cache("word hashes", WordHashes)
+        self.bits, self.hashes = bits, worker_cache("toxicity word hashes", WordHashes)
         self.weights = np.zeros(1 << bits, "f8")
         self.weights[slots[slots < 1 << bits]] = weights[slots < 1 << bits]
         self.bias = float(weights[slots == 1 << bits].sum())

@@ -82,3 +82,12 @@ def test_sample_is_bounded_in_characters(docs_frame, spark):
     weights = T.train(docs_frame(rows), labels, train_chars=30_000)
     scores = {r.doc_id: r.score for r in T.score_documents(docs_frame(rows), weights).collect()}
     assert all((s >= 0.5) == bool(i % 2) for i, s in scores.items())
+
+
+def test_a_worker_that_joined_ngrams_before():
+    from jobtide.llm import ngram_join
+
+    list(ngram_join.gram_sets(["one two three"], 2))
+    batch = T.pa.record_batch({"doc_id": [1], "toxic": T.pa.array([0], T.pa.int32()), "text": ["one two"]})
+    (got,) = T._featurize(T.BITS)([batch])
+    assert got.column("slots")[0].as_py() == T.feature_set("one two", T.WordHashes()).tobytes()
