@@ -6,7 +6,7 @@ column can be given where the first seen is wanted.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.arrays import pairs
 from ..functions.numbers import round_half_up
 from ..functions.text import strip
+from ..scratch import written
 from .quantiles import quantiles
 
 
@@ -143,13 +144,38 @@ def per_period(df: DataFrame, date: str, unit: str = "month") -> DataFrame:
 def category_by_group(df: DataFrame, column: str, group: str, n_groups: int = 10) -> DataFrame:
     """Percentage of rows of the most frequent groups whose list holds each category; every category of those rows, zeros too."""
     chosen = counts(df, group, n_groups, name="grp").withColumnRenamed("n", "rows")
-    rows = df.select(F.col(group).alias("grp"), F.array_distinct(column).alias("cats")).join(F.broadcast(chosen.select("grp")), "grp")
-    hits = rows.select("grp", F.explode("cats").alias("category")).filter("category IS NOT NULL AND category <> ''").groupBy("grp", "category").agg(F.count("*").alias("hits"))
+    rows = df.select(F.col(group).alias("grp"), F.col(column).alias("cats")).join(F.broadcast(chosen.select("grp")), "grp")
+    # exploded as an expression: of a plain column Spark would infer a filter on its size, and compute the list for it once more
+    hits = rows.select("grp", F.explode(F.array_distinct("cats")).alias("category"))
+    return _category_shares(hits.filter("category IS NOT NULL AND category <> ''").groupBy("grp", "category").agg(F.count("*").alias("hits")), chosen)
+
+
+def _category_shares(hits: DataFrame, chosen: DataFrame) -> DataFrame:
+    # counted once: read both for the categories and for the cells
+    hits = written(hits)
     # every category with each of the n_groups groups
     cells = hits.select("category").distinct().crossJoin(F.broadcast(chosen)).join(hits, ["grp", "category"], "left")
     return cells.select("grp", "category", F.round(F.coalesce("hits", F.lit(0)) / F.col("rows") * 100, 4).alias("pct"))
 
 
+def item_category_by_group(df: DataFrame, column: str, group: str, id_col: str, category: Callable[[Column], Column], n_groups: int = 10, *, other: str = "other") -> DataFrame:
+    """`category_by_group` of the categories of lists of different elements, where most elements are `other`: each element is named once, not once per row.
+
+    The lists are written once. Elements with a name of their own meet the rows by element, and only those rows are grouped by `id_col`, which must be
+    unique; a row has `other` unless all of its elements are named.
+    """
+    chosen = counts(df, group, n_groups, name="grp").withColumnRenamed("n", "rows")
+    lists = df.select(F.col(id_col).alias("id"), F.col(group).alias("grp"), F.array_compact(column).alias("items"))
+    lists = written(lists.withColumn("n", F.size("items"))).join(F.broadcast(chosen.select("grp")), "grp").filter("n > 0")
+    items = lists.select("id", "grp", "n", F.explode("items").alias("item"))
+    # the different elements are written first: Spark would else push the filter, and with it the naming, below the distinct
+    named = written(written(items.select("item").distinct()).withColumn("category", category(F.col("item"))).filter(F.col("category") != other))
+    rows = written(items.join(named, "item").groupBy("id", "grp", "n").agg(F.count("*").alias("k"), F.collect_set("category").alias("cats")))
+    hits = rows.select("grp", F.explode("cats").alias("category")).groupBy("grp", "category").agg(F.count("*").alias("hits"))
+    rest = lists.select("grp", F.lit(1).alias("one")).unionAll(rows.filter("k = n").select("grp", F.lit(-1).alias("one"))).groupBy("grp").agg(F.sum("one").alias("hits"))
+    return _category_shares(hits.unionByName(rest.filter("hits > 0").withColumn("category", F.lit(other))), chosen)
+
+
 def overlap_matrix(df: DataFrame, role: str, column: str, n: int = 25, *, n_roles: int) -> DataFrame:
     """Jaccard percentage of the n most frequent elements of each two of the n_roles most frequent roles; 100 for a role with itself."""
     df = df.join(F.broadcast(counts(df, role, n_roles, name=role).select(role)), role)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import ci_distinct, parse_list
 from ..functions.numbers import experience, salary
-from ..functions.text import SENTINELS, strip
+from ..functions.text import SENTINELS, let, strip
 from ..functions.titles import GENDER_PAREN, strip_residual_gender
 
 # Ordered categories with the lower-case parts that name them; the first that matches wins.
@@ -83,7 +83,16 @@ def benefit_category(c: Column) -> Column:
 
 
 def benefit_categories(c: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.transform(c, benefit_category)))
+    """Sorted categories of a list's elements. The parts that name them are sought once in the whole list, elements are read only for those that are there."""
+    parts = F.array(*[F.struct(F.lit(p).alias("part"), F.lit(name).alias("name")) for name, every in BENEFITS.items() for p in every])
+
+    def named(low: Column) -> Column:
+        # no part holds a line break, so none spans two elements; an element's first part in the order of categories names it
+        present = let(F.array_join(low, "\n"), lambda whole: F.filter(parts, lambda p: whole.contains(p["part"])))
+        each = lambda there: F.transform(low, lambda x: F.coalesce(F.get(F.filter(there, lambda p: x.contains(p["part"])), F.lit(0))["name"], F.lit("other")))
+        return let(present, lambda there: F.when(F.size(there) > 0, F.array_sort(F.array_distinct(each(there)))).when(F.size(low) > 0, F.array(F.lit("other"))).when(low.isNotNull(), F.array().cast("array<string>")))
+
+    return let(F.transform(c, F.lower), named)
 
 
 def soft_skill_categories(c: Column) -> Column:

@@ -136,3 +136,26 @@ def test_csv_boundary(spark, tmp_path):
     io.write_csv_safe(df, f"file://{tmp_path}/c", single=True)
     back = {tuple(r) for r in io.read_csv_safe(spark, f"file://{tmp_path}/c").collect()}
     assert back == {("a\nb", None, '["x"]'), ('q"q', None, "[]")}
+
+
+def test_benefit_categories_equal_patterns_element_by_element(spark):
+    rng = random.Random(5)
+    names = [p for every in cleaning.BENEFITS.values() for p in every]
+    made = [[rng.choice([None, "", "x", "Ä\nb", *(rng.choice(["", "a", " "]).join(rng.choices(names, k=rng.randint(1, 2))).upper() if rng.random() < 0.5 else rng.choice(names)[:-1] for _ in range(4))]) for _ in range(rng.randint(0, 6))] for _ in range(300)]
+    df = spark.createDataFrame([(x,) for x in [*made, None, [], [None], ["job", "ticket"], ["after-", "work"], ["flexible urlaub"]]], "b array<string>")
+    plain = F.array_sort(F.array_distinct(F.transform("b", cleaning.benefit_category)))
+    rows = df.select("b", cleaning.benefit_categories(F.col("b")).alias("got"), plain.alias("want")).collect()
+    assert [r for r in rows if r.got != r.want] == [] and len({tuple(r.got or ()) for r in rows}) > 50
+    # no pattern is run on each element
+    assert "rlike" not in df.select(cleaning.benefit_categories(F.col("b")))._jdf.queryExecution().toString().lower()
+
+
+def test_categories_of_elements_named_once_equal_those_of_rows(spark):
+    rng = random.Random(7)
+    words = ["urlaub", "jobrad", "sporturlaub", "x", "y", "zz", "kita"]
+    rows = [(i, rng.choice(["a", "b", "c", None]), rng.choice([None, [], rng.sample(words, rng.randint(1, 4)), ["urlaub"]])) for i in range(300)] + [(900, "d", ["kita", "urlaub"])] * 1
+    df = spark.createDataFrame(rows, "id long, g string, s array<string>")
+    read = lambda r: sorted(map(tuple, r.collect()))
+    for n in (2, 9):
+        want = read(analytics.category_by_group(df.withColumn("c", cleaning.benefit_categories(F.col("s"))), "c", "g", n))
+        assert want and read(analytics.item_category_by_group(df, "s", "g", "id", cleaning.benefit_category, n)) == want
