@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.arrays import ci_distinct, ci_except, first_of_each
 from ..functions.numbers import any_date
 from ..functions.text import SENTINELS, squeeze, strip, strip_four_escapes
+from ..scratch import written
 
 # Markers of placeholder pages, thresholds, key words.
 PRIVACY_WALLS = ("datenschutz einstellungen", "cookie-einstellungen", "privacy settings", "bitte aktivieren sie javascript", "please enable javascript", "diese seite benötigt javascript")
@@ -103,9 +104,17 @@ def source_grounded(source: Column, text: Column, share: float = SOURCE_OVERLAP)
 
 
 def verify_evidence(df: DataFrame, items: str, text: str, id_col: str, variants: DataFrame) -> DataFrame:
-    """id, name, source, verdict of each evidence item. `variants` has name, spellings (lower-case list); it is broadcast where Spark finds it small."""
-    rows = df.select(id_col, text, F.inline(items)).join(variants.select(F.lower("name").alias("_k"), "spellings"), F.lower("name") == F.col("_k"), "left")
-    verdict = F.when(source_grounded(F.col("source"), F.col(text)), "source_verified").when(skill_grounded(F.col("name"), F.col(text), F.col("spellings")), "name_verified").otherwise("unverified")
+    """id, name, source, verdict of each evidence item. `variants` has name, spellings (lower-case list).
+
+    Spellings are looked up by names without texts, then meet the texts by id, so that a frequent name does not bring the texts of all its rows into one task.
+    A name that comes more than once in `variants` has the spellings of all its rows. The table is written once, so that Spark knows its size and need not shuffle for a small one.
+    """
+    known = written(variants.select(F.lower("name").alias("_k"), "spellings").filter("_k IS NOT NULL"))
+    asked = df.select(F.col(id_col).alias("_id"), F.explode(F.array_distinct(F.transform(items, lambda x: F.lower(x["name"])))).alias("_k"))
+    found = asked.join(known, "_k").groupBy("_id").agg(F.collect_set(F.struct("_k", "spellings")).alias("_known"))
+    rows = df.select(id_col, text, items).join(found, F.col(id_col).eqNullSafe(F.col("_id")), "left").select(id_col, text, "_known", F.inline(items))
+    spellings = F.flatten(F.transform(F.filter("_known", lambda k: (k["_k"] == F.lower("name")) & k["spellings"].isNotNull()), lambda k: k["spellings"]))
+    verdict = F.when(source_grounded(F.col("source"), F.col(text)), "source_verified").when(skill_grounded(F.col("name"), F.col(text), spellings), "name_verified").otherwise("unverified")
     return rows.select(id_col, "name", "source", verdict.alias("verdict"))
 
 
