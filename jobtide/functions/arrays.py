@@ -28,9 +28,13 @@ def first_of_each(items: Column, key) -> Column:
 
 
 def ci_distinct(c: Column) -> Column:
-    """Stripped elements, blanks and sentinels dropped, the first of each casing kept, in order."""
-    clean = F.filter(F.transform(c, strip), lambda x: x.isNotNull() & ~x.isin(*SENTINELS))
-    return first_of_each(clean, F.lower)
+    """Stripped elements, blanks and sentinels dropped, the first of each casing kept, in order.
+
+    Equal elements go first, by hash; only lists that still hold one word in two casings are sorted.
+    """
+    clean = F.array_distinct(F.filter(F.transform(F.array_distinct(c), strip), lambda x: x.isNotNull() & ~x.isin(*SENTINELS)))
+    clash = lambda s: F.size(F.array_distinct(F.transform(s, F.lower))) < F.size(s)
+    return let(clean, lambda s: F.when(clash(s), first_of_each(s, F.lower)).otherwise(s))
 
 
 def ci_contains(c: Column, value: str) -> Column:

@@ -119,3 +119,13 @@ def test_lists(over):
     assert over(lambda c: arrays.parse_list(c, strict_json=True), ["['x']", '["y"]']) == [[], ["y"]]
     assert over(lambda c: arrays.ci_distinct(F.split(c, ",")), ["b, A,B,a,,nan,C"]) == [["b", "A", "C"]]
     assert over(lambda c: arrays.pairs(F.split(c, ",")), ["b,a,c,a", "x"]) == [[("a", "b"), ("a", "c"), ("b", "c")], []]
+
+
+def test_lists_of_words_are_computed_once_and_sorted_for_clashes_only(spark, tmp_path):
+    from jobtide import queries
+
+    texts = ["b A B a  nan C", "nan  N/A", "", None, "x y x y", "Straße straße STRASSE", "\u00a0q Q"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    df = queries.list_ci_dedup(spark, str(tmp_path))
+    assert {r.doc_id: r.words for r in df.collect()} == {0: "b A C", 4: "x y", 5: "Straße STRASSE", 6: "q"}
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("array_join(") == 1

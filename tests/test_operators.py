@@ -159,3 +159,21 @@ def test_categories_of_elements_named_once_equal_those_of_rows(spark):
     for n in (2, 9):
         want = read(analytics.category_by_group(df.withColumn("c", cleaning.benefit_categories(F.col("s"))), "c", "g", n))
         assert want and read(analytics.item_category_by_group(df, "s", "g", "id", cleaning.benefit_category, n)) == want
+
+
+def test_texts_of_a_frequent_name_are_not_brought_together(spark):
+    rows = [(i, f"we sell pqr{i}", [("Known" if i % 2 else "KNOWN", None), ("other", "")]) for i in range(400)] + [(None, "pqr", [("known", "")]), (900, "pqr", []), (901, None, None), (902, "xyz", [("twice", ""), ("known", "")])]
+    df = spark.createDataFrame(rows, "id long, text string, items array<struct<name:string,source:string>>")
+    variants = spark.createDataFrame([("known", ["pqr"]), ("twice", ["no"]), ("Twice", ["yz"]), ("nothing", None), (None, ["we"])], "name string, spellings array<string>")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in zip(old, ("-1", "false", "8")):
+            spark.conf.set(k, v)
+        got = validation.verify_evidence(df, "items", "text", "id", variants)
+        assert max(r["count"] for r in got.filter("lower(name) = 'known'").groupBy(F.spark_partition_id()).count().collect()) < 200
+        found = sorted(map(repr, ((r.id, r.name, r.verdict) for r in got.collect())))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    want = [(i, n, "name_verified" if n != "other" else "unverified") for i, _, items in rows[:400] for n, _ in items] + [(None, "known", "name_verified"), (902, "twice", "name_verified"), (902, "known", "unverified")]
+    assert found == sorted(map(repr, want))
