@@ -6,12 +6,16 @@ Row order matters to "the first": it is a column, given as `order`.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import casing_score, description_hash, strip
 from ..scratch import written
+from ..shipping import ship
 
 
 def keep_first(df: DataFrame, keys: list, *order) -> DataFrame:
@@ -67,10 +71,59 @@ def spread_value(df: DataFrame, group: str, column: str, is_rep: str) -> DataFra
 # ------------------------------------------------------------ near duplicates
 
 
+#: Counters of the token frequencies that order tokens; a fixed number, whatever the number of different tokens.
+COUNTERS = 1 << 20
+
+
+def token_counts(df: DataFrame, tokens: str) -> DataFrame:
+    """counter, n: occurrences of tokens by a hash of the token; at most COUNTERS rows."""
+    counter = F.pmod(F.xxhash64("t"), F.lit(COUNTERS)).cast("int")
+    return df.select(F.explode(F.array_distinct(tokens)).alias("t")).groupBy(counter.alias("counter")).agg(F.count("*").alias("n"))
+
+
+def first_tokens(df: DataFrame, tokens: str, counts: DataFrame, threshold: float, keep: Sequence[str]) -> DataFrame:
+    """The columns `keep` with n, the size of its sets, and prefix: ARRAY<STRUCT<t, left>>, the first tokens of each (as 64-bit hashes) and how many tokens are left from each on.
+
+    Tokens are ordered by the count of their counter, then by hash: one order for all rows, in which any two similar sets share a first token. Tokens that
+    share a counter are taken for more frequent than they are, and tokens of equal hash for one, which adds candidates and loses none. The counters go to
+    every task, and rows are ordered where they lie: tokens are not shuffled.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    found = counts.toArrow()
+    size = np.zeros(COUNTERS, "i8")
+    size[found.column("counter").to_numpy()] = found.column("n").to_numpy()
+    shared = spark.sparkContext.broadcast(size)
+    hashes = F.transform(tokens, lambda t: F.xxhash64(t))
+    columns = list(keep)
+    rows = df.select(*columns, F.size(tokens).alias("n"), hashes.alias("prefix"))
+    shape = pa.list_(pa.struct([("t", pa.int64()), ("left", pa.int32())]))
+
+    def run(batches):
+        for batch in batches:
+            every = batch.column(len(columns) + 1)
+            values, bounds = every.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(np.maximum(every.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), 0))])
+            occur = shared.value[values % len(shared.value)]
+            lengths, ts, left = [0], [], []
+            for s, e in zip(bounds.tolist(), bounds[1:].tolist(), strict=False):
+                n = e - s
+                k = n - math.ceil(threshold * n) + 1 if n else 0
+                order = np.lexsort((values[s:e], occur[s:e]))[:k]
+                ts.append(values[s:e][order])
+                left.append(n - np.arange(len(order), dtype="i4"))
+                lengths.append(lengths[-1] + len(order))
+            flat = pa.StructArray.from_arrays([pa.array(np.concatenate(ts) if ts else [], pa.int64()), pa.array(np.concatenate(left) if left else [], pa.int32())], names=["t", "left"])
+            prefix = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), flat).cast(shape)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns) + 1], prefix], names=[*columns, "n", "prefix"])
+
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]) + ", prefix array<struct<t:bigint,left:int>>"
+    return rows.mapInArrow(run, ddl)
+
+
 def near_duplicate_pairs(df: DataFrame, tokens: str, threshold: float = 0.95, id_col: str = "id") -> DataFrame:
     """a, b, similarity: rows with a < b whose token sets have a Jaccard similarity of at least `threshold`.
 
-    Exact prefix filter: tokens are ordered from rare to frequent, two similar sets share one of their first
+    Exact prefix filter: tokens are ordered from rare to frequent (`first_tokens`), two similar sets share one of their first
     n - ceil(threshold * n) + 1 tokens. The list of a token is dealt by size of set: similar sets lie in one size class or in
     neighbouring ones, so a frequent token is many smaller lists. A pair that meets at a place from where too few tokens are left
     to be similar is no candidate; the first token that two similar sets share always leaves enough.
@@ -80,14 +133,10 @@ def near_duplicate_pairs(df: DataFrame, tokens: str, threshold: float = 0.95, id
     rows = df.select(F.col(id_col).alias("id"), F.array_sort(F.array_distinct(tokens)).alias("set")).filter("set IS NOT NULL")
     hashed = rows.withColumn("digest", F.unhex(F.md5(F.to_json("set"))))
     classes = written(hashed.groupBy("digest").agg(F.min("id").alias("id"), F.first("set").alias("set")).withColumn("n", F.size("set")))
-    frequency = classes.select(F.explode("set").alias("t")).groupBy("t").agg(F.count("*").alias("df"))
-    ranked = classes.select("id", "n", F.explode("set").alias("t")).join(frequency, "t")
-    ordered = ranked.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("ts"))
-    size = F.col("n") - F.ceil(F.col("n") * F.lit(threshold)).cast("int") + 1
     # a little wider than the ratio of similar sizes, so that rounding leaves them in neighbouring classes
     width = max(-math.log(threshold) * (1 + 1e-9), 1e-9)
-    prefix = ordered.select("id", "n", F.posexplode(F.transform(F.slice("ts", 1, size), lambda x: x["t"])).alias("at", "t"))
-    prefix = written(prefix.select("id", "n", "t", (F.col("n") - F.col("at")).alias("left"), F.floor(F.log(F.col("n")) / width).alias("class")))
+    prefix = first_tokens(classes, "set", token_counts(classes, "set"), threshold, ["id"])
+    prefix = written(prefix.select("id", "n", F.inline("prefix"), F.floor(F.log(F.col("n")) / width).alias("class")))
     a = prefix.select("t", F.col("class"), F.col("id").alias("x"), F.col("n").alias("nx"), F.col("left").alias("lx"))
     b = prefix.select("t", F.col("class").alias("own"), F.explode(F.array("class", F.col("class") - 1)).alias("class"), F.col("id").alias("y"), F.col("n").alias("ny"), F.col("left").alias("ly"))
     close = F.least("nx", "ny") >= F.greatest("nx", "ny") * threshold

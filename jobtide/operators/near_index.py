@@ -3,8 +3,8 @@
 A row leads if no earlier row that is similar to it leads; it follows the first such leader otherwise. Rows are earlier by batch, then by
 id, so what a batch decides no later batch changes, and n batches give what one run over all rows in that order gives.
 
-The order of tokens (rare ones first) is frozen when the index is made: tokens it does not know, or has seen once, come first
-by their text. Any order that never changes keeps the prefix filter exact: two sets that are similar enough share one of
+The order of tokens (rare ones first) is frozen when the index is made, as a fixed number of counters: tokens it does not know come
+first. Any order that never changes keeps the prefix filter exact: two sets that are similar enough share one of
 their first tokens. Only leaders are indexed, since followers decide nothing. A batch is compared with the postings of leaders that it
 shares a prefix token and a size class with, then what is left of it within itself.
 
@@ -22,9 +22,9 @@ from pyspark.sql.types import StructType
 
 from ..scratch import written
 from ..sources.state_log import StateLog
-from .dedup import similar_leaders
+from .dedup import first_tokens, similar_leaders, token_counts
 
-_SHAPE = "id string, batch long, leader string, leader_batch long, n int, digest binary, tokens array<string>, prefix array<struct<t:string,left:int>>"
+_SHAPE = "id string, batch long, leader string, leader_batch long, n int, digest binary, tokens array<string>, prefix array<struct<t:bigint,left:int>>"
 
 
 class NearIndex:
@@ -38,19 +38,14 @@ class NearIndex:
     @staticmethod
     def create(spark: SparkSession, path: str, known: DataFrame, tokens: str, *, threshold: float = 0.95, buckets: int = 16) -> NearIndex:
         """`known` has the token sets (column `tokens`) whose frequencies fix the order; it may be empty."""
-        counts = known.select(F.explode(F.array_distinct(tokens)).alias("t")).groupBy("t").agg(F.count("*").alias("df")).filter("df > 1")
-        counts.write.mode("errorifexists").parquet(f"{path}/order")
+        token_counts(known, tokens).write.mode("errorifexists").parquet(f"{path}/order")
         StateLog.create(spark, f"{path}/rows", StructType.fromDDL(_SHAPE), ["id"], buckets=buckets)
         return NearIndex(spark, path, threshold)
 
     def _with_prefix(self, rows: DataFrame) -> DataFrame:
         """id, tokens, n, digest, prefix: the first tokens in the frozen order, with how many are left from each on."""
-        ranked = rows.select("id", F.size("tokens").alias("n"), F.explode("tokens").alias("t")).join(self.order, "t", "left")
-        ordered = ranked.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "t"))).alias("ts"))
-        size = F.col("n") - F.ceil(F.col("n") * F.lit(self.threshold)).cast("int") + 1
-        prefix = F.transform(F.slice("ts", 1, size), lambda x, i: F.struct(x["t"].alias("t"), (F.col("n") - i).cast("int").alias("left")))
-        found = rows.join(ordered.select("id", prefix.alias("prefix")), "id", "left")
-        return found.withColumns({"n": F.size("tokens"), "digest": F.unhex(F.md5(F.to_json("tokens")))})
+        digest = F.unhex(F.md5(F.to_json("tokens"))).alias("digest")
+        return first_tokens(rows.select("id", "tokens", digest), "tokens", self.order, self.threshold, ["id", "tokens", "digest"])
 
     def _postings(self, rows: DataFrame, *more: str) -> DataFrame:
         width = max(-math.log(self.threshold) * (1 + 1e-9), 1e-9)

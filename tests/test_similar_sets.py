@@ -28,3 +28,13 @@ def test_sketched_quantiles_and_bounded_roles(spark):
     casing = spark.createDataFrame([("a", "A")], "key string, canonical string")
     clash = df.withColumn("key", df["v"]).withColumn("canonical", df["v"])
     assert analytics.apply_casing(clash, "g", casing).columns == clash.columns
+
+
+def test_first_tokens_shuffle_no_tokens_and_keep_one_order(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "c"]), (2, ["c", "a"]), (3, []), (4, ["c"])], "id long, s array<string>")
+    counts = dedup.token_counts(df, "s")
+    found = dedup.first_tokens(df, "s", counts, 0.5, ["id"])
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    h = dict(spark.sql("SELECT t, xxhash64(t) FROM VALUES ('a'), ('b'), ('c') AS v(t)").collect())
+    got = {r.id: (r.n, [tuple(p) for p in r.prefix]) for r in found.collect()}
+    assert got == {1: (3, [(h["b"], 3), (h["a"], 2)]), 2: (2, [(h["a"], 2), (h["c"], 1)]), 3: (0, []), 4: (1, [(h["c"], 1)])}
