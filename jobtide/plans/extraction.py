@@ -11,6 +11,7 @@ import time
 from collections import deque
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,28 +43,47 @@ def prompt_version(template: str) -> Column:
     return F.substring(F.md5(F.lit(template)), 1, 8)
 
 
-def candidates(raw: Column) -> dict[str, Column]:
-    """The answer read four ways, in the order in which they are tried."""
-    text = strip(F.coalesce(raw, F.lit("")))
-    fenced = strip(F.regexp_replace(text, r"(?is)^```(?:json)?\s*|\s*```$", ""))
-    commas = F.regexp_replace(fenced, r",\s*([}\]])", "$1")
-    braces = F.regexp_replace(F.regexp_extract(text, r"(?s)(\{.*\})", 1), r",\s*([}\]])", "$1")
-    return {"direct": text, "strip_fences": fenced, "fix_commas": commas, "extract_braces": braces}
+def readable(raw: Column) -> Column:
+    """STRUCT<strategy, text>: an answer in the first of four ways of reading it that gives an object; NULL if none does, or if it is short.
+
+    A way is made only where those before it failed, and parsed only where it begins as an object and differs from what has failed. All are linear in the text.
+    """
+    is_object = lambda c: c.startswith("{") & F.try_parse_json(c).isNotNull()
+    no_commas = lambda c: F.regexp_replace(c, r",\s*([}\]])", "$1")
+
+    def way(name: str, text: Column, *failed: Column) -> Column:
+        return F.when(reduce(lambda a, f: a & (text != f), failed, F.lit(True)) & is_object(text), F.struct(F.lit(name).alias("strategy"), text.alias("text")))
+
+    def bare(text: Column) -> Column:
+        """Without a fence around it."""
+        inner = F.regexp_replace(text, r"(?i)^```(?:json)?", "")
+        return F.when(text.contains("```"), strip(let(inner, lambda x: F.when(x.endswith("```"), F.substring(x, F.lit(1), F.length(x) - 3)).otherwise(x)))).otherwise(text)
+
+    def braces(text: Column) -> Column:
+        """From the first opening brace to the last closing one."""
+        first, last = F.instr(text, "{"), F.length(text) - F.length(F.substring_index(text, "}", -1))
+        return F.when((first > 0) & (last > first), no_commas(F.substring(text, first, last - first + 1))).otherwise("")
+
+    def tries(text: Column) -> Column:
+        cut = lambda fenced, commas: let(braces(text), lambda x: way("extract_braces", x, text, fenced, commas))
+        tidied = lambda fenced: let(no_commas(fenced), lambda x: F.coalesce(way("fix_commas", x, text, fenced), cut(fenced, x)))
+        return F.when(F.length(text) >= MIN_ANSWER, F.coalesce(way("direct", text), let(bare(text), lambda x: F.coalesce(way("strip_fences", x, text), tidied(x)))))
+
+    return let(strip(F.coalesce(raw, F.lit(""))), tries)
+
+
+def mended(text: Column) -> Column:
+    """Misspelt keys replaced, in texts that have one."""
+    named = reduce(lambda t, kv: F.replace(t, F.lit(f'"{kv[0]}"'), F.lit(f'"{kv[1]}"')), TYPOS.items(), text)
+    return F.when(text.rlike('"(?:' + "|".join(TYPOS) + ')"'), named).otherwise(text)
 
 
 def parse_response(raw: Column, max_tasks: int = MAX_TASKS) -> Column:
     """STRUCT<data, strategy, missing, truncated> of an answer; strategy 'failed' has NULL data."""
-    short = F.length(strip(F.coalesce(raw, F.lit("")))) < MIN_ANSWER
-    tries = F.array(*[F.struct(F.lit(n).alias("strategy"), t.alias("text")) for n, t in candidates(raw).items()])
-    is_object = lambda c: F.coalesce(F.try_parse_json(c).isNotNull() & c.startswith("{"), F.lit(False))
-    picked = F.when(~short, F.get(F.filter(tries, lambda t: is_object(t["text"])), F.lit(0)))
     none, strings = F.array().cast(EVIDENCE), F.array().cast("array<string>")
 
     def read(pick: Column) -> Column:
-        text = pick["text"]
-        for typo, name in TYPOS.items():
-            text = F.replace(text, F.lit(f'"{typo}"'), F.lit(f'"{name}"'))
-        return let(F.struct(pick["strategy"].alias("strategy"), F.from_json(text, FIELDS).alias("data")), shape)
+        return let(F.struct(pick["strategy"].alias("strategy"), F.from_json(mended(pick["text"]), FIELDS).alias("data")), shape)
 
     def shape(r: Column) -> Column:
         data, ok = r["data"], r["strategy"].isNotNull()
@@ -76,7 +96,7 @@ def parse_response(raw: Column, max_tasks: int = MAX_TASKS) -> Column:
         missing = F.array_compact(F.array(*[F.when(data[f].isNull(), f) for f in REQUIRED]))
         return F.struct(F.when(ok, clean).alias("data"), F.coalesce(r["strategy"], F.lit("failed")).alias("strategy"), F.when(ok, missing).alias("missing"), F.when(ok, F.size(tasks) > max_tasks).alias("truncated"))
 
-    return let(picked, read)
+    return let(readable(raw), read)
 
 
 #: What an answer must be (draft 7). The fields and their rules.
@@ -96,13 +116,7 @@ OUTPUT_SCHEMA: Mapping = {
 def schema_errors(raw: Column, schema: Mapping = OUTPUT_SCHEMA) -> Column:
     """Every error (path, rule, message) of an answer under a schema, in the first of the ways of reading it that gives an object; misspelt keys are mended
     before. An answer that cannot be read has one error of the rule `json`."""
-    short = F.length(strip(F.coalesce(raw, F.lit("")))) < MIN_ANSWER
-    tries = F.array(*candidates(raw).values())
-    readable = F.filter(tries, lambda t: F.coalesce(F.try_parse_json(t).isNotNull() & t.startswith("{"), F.lit(False)))
-    text = F.when(~short, F.get(readable, F.lit(0)))
-    for typo, name in TYPOS.items():
-        text = F.replace(text, F.lit(f'"{typo}"'), F.lit(f'"{name}"'))
-    return compile_schema(schema)(F.try_parse_json(text))
+    return compile_schema(schema)(F.try_parse_json(let(readable(raw)["text"], mended)))
 
 
 def schema_report(found: DataFrame, errors: str = "errors") -> DataFrame:

@@ -1,9 +1,11 @@
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from jobtide.functions.text import strip
 from jobtide.operators import analytics, cleaning, dedup, evaluation, filters, validation
 from jobtide.plans import extraction, pipeline
 from jobtide.sources import io, state
@@ -107,6 +109,30 @@ def test_answers(spark):
     assert got[0].data.technical_skills[0].name == "SQL" and len(got[0].data.tasks) == 10 and got[0].truncated and got[4].data is None
 
 
+def test_answers_are_read_once_and_as_by_patterns(spark):
+    rng = random.Random(4)
+    parts = ["```", "```json", "```JSON", "{", "}", "[", "]", ",", ", ", '"k": 1', '"technical_skils": [{"name": "SQL"}]', '"task": ["task"]', "Here it is", "\u00a0", " ", "\n", "\r\n", "\u2028", '{"k": [1, 2,], }', '{"k": {"a": "}"}}', '{"k": "long enough to be an answer"}', "é", "x" * 30]
+    raw = [rng.choice(["", " ", "```json\n"]) + rng.choice(["", "{"]) + "".join(rng.choice(parts) for _ in range(rng.randint(1, 7))) + rng.choice(["", "}", ",}", "\n```", "}```"]) for _ in range(1500)]
+
+    def plain(c):
+        """The four ways by patterns alone, all of them made and parsed."""
+        text = strip(c)
+        fenced = strip(F.regexp_replace(text, r"(?is)^```(?:json)?\s*|\s*```$", ""))
+        ways = {"direct": text, "strip_fences": fenced, "fix_commas": F.regexp_replace(fenced, r",\s*([}\]])", "$1"), "extract_braces": F.regexp_replace(F.regexp_extract(text, r"(?s)(\{.*\})", 1), r",\s*([}\]])", "$1")}
+        return F.coalesce(*[F.when((F.length(text) >= 30) & t.startswith("{") & F.try_parse_json(t).isNotNull(), F.struct(F.lit(n).alias("strategy"), t.alias("text"))) for n, t in ways.items()])
+
+    df = spark.createDataFrame(list(enumerate(raw)), "i int, r string")
+    found = df.select("r", extraction.readable(F.col("r")).alias("got"), plain(F.col("r")).alias("want"))
+    assert found.filter(~F.col("got").eqNullSafe(F.col("want"))).collect() == []
+    assert {r[0] for r in found.select("want.strategy").distinct().collect()} == {"direct", "strip_fences", "fix_commas", "extract_braces", None}
+    # a pattern that looks at a long run again from each of its places takes minutes
+    long = ["{" * 300_000, "```{" + " \n" * 150_000 + "x```"]
+    began = time.monotonic()
+    assert spark.createDataFrame([(t,) for t in long], "r string").filter(extraction.readable(F.col("r")).isNotNull()).collect() == [] and time.monotonic() - began < 30
+    plan = df.select(extraction.parse_response(F.concat("r", F.lit(" only once"))).alias("p"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("only once") == 1
+
+
 def test_pipeline_end_to_end(spark, tmp_path):
     long = "Wir suchen Python und SQL Kenntnisse, Vollzeit, Remote, 60.000 - 80.000 EUR. " * 5
     lines = ["Title,Link,Firm,Place,When,Text"] + [f'"{t}",{u},{c},"{p}",{w},"{d}"' for t, u, c, p, w, d in (
