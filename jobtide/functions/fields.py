@@ -5,6 +5,7 @@ Patterns are Unicode-aware and blind to case, as (?iU) says to Java.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -64,34 +65,49 @@ LANGUAGES = [
 ]
 LANGUAGE_NAMES = {"english": "English", "englisch": "English", "deutsch": "German", "german": "German", "französisch": "French", "francösisch": "French", "french": "French"}
 LEVEL_NAMES = {"fließend": "B2+", "fluent": "B2+", "verhandlungssicher": "C1+", "muttersprachlich": "C2", "native": "C2"}
-#: What every pattern of a language holds; texts without it are not searched further.
-LANGUAGE_SIGN = "(?iU)deutsch|englisch|fran[cç]ösisch|german|english|french"
 LEVELS = ("required", "A1", "A2", "B1", "B2", "B2+", "C1", "C1+", "C2")
 BOILERPLATE = r"(?iU)equal\s+opportunity|diversity|inclusive|chancengleichheit|vielfalt|diskriminierung|unabhängig\s+von|regardless\s+of|freuen\s+uns\s+auf\s+(?:Ihre|deine|alle)\b|welcome\s+applications?\b"
 
 
-# For each pattern above what its matches hold, in lower case. Texts are searched for these parts, which is many times
-# cheaper, before a pattern is tried.
-CONTRACT_SIGNS = [("vollzeit", "time", "festanstellung"), ("teilzeit", "time"), ("freelance", "freiberufler"), ("unbefristet",), ("contractor", "auftragnehmer", "befristet"), ("werkstudent",), ("praktik",)]
-MODALITY_SIGNS = [("hybrid",), ("arbeiten",), ("arbeitsort",), ("remote", "office"), ("vor", "site", "präsenz")]
-EDUCATION_SIGNS = [("promotion", "ph", "doktor"), ("master", "sc", "diplom"), ("bachelor", "sc"), ("studium", "hochschulabschluss", "degree"), ("ausbildung",)]
+# For each pattern above what its matches begin with, in lower case. Texts are searched for these parts, which is many times
+# cheaper, before a pattern is tried, from the first of them on. A sign that begins with (?U) is a pattern with plain letters in front.
+CONTRACT_SIGNS = [("vollzeit", "fulltime", "full time", "full-time", "festanstellung"), ("teilzeit", "parttime", "part time", "part-time"), ("freelance", "freiberufler"), ("unbefristet",), ("contractor", "auftragnehmer", "befristet"), ("werkstudent",), ("praktik",)]
+MODALITY_SIGNS = [("hybrid",), ("mobile",), ("flexible",), ("remote", "home"), (r"(?U)vor\s+ort", "onsite", "on site", "on-site", "präsenz")]
+EDUCATION_SIGNS = [("promotion", "phd", "ph.d", "doktor"), ("master", r"(?U)m\.?\s?sc", "diplom"), ("bachelor", r"(?U)b\.?\s?sc"), ("studium", "hochschulabschluss", "degree"), ("ausbildung", "berufsausbildung")]
+LANGUAGE_SIGNS = ("deutsch", "englisch", "francösisch", "françösisch", "german", "english", "french")
 EXPERIENCE_SIGNS = ("jahr", "year")
+EXPERIENCE_LEAST_SIGNS = ("min", r"(?U)at\s+least")
 EXPERIENCE_WORD_SIGNS = ("erfahrung",)
+#: Every pattern of pay has an amount beside a sign of euros.
+PAY_SIGNS, PAY_SIGN = ("€", "eur"), r"(?U)\d\s*(?:€|eur)|€\s*\d"
 
 
 def folded(c: Column) -> Column:
     """Lower case as patterns that are blind to case see it: four letters beyond ASCII count as s, i and k there."""
-    return F.lower(F.translate(c, "\u017f\u0130\u0131\u212a", "siik"))
+    return F.lower(F.when(holds(c, tuple("\u017f\u0130\u0131\u212a")), F.translate(c, "\u017f\u0130\u0131\u212a", "siik")).otherwise(c))
 
 
 def holds(text: Column, signs: tuple[str, ...]) -> Column:
-    return reduce(lambda a, b: a | b, [text.contains(s) for s in signs])
+    one = lambda s: text.contains(re.match("[a-z]+", s[4:])[0]) & text.rlike(s) if s.startswith("(?U)") else text.contains(s)
+    return reduce(lambda a, b: a | b, map(one, signs))
 
 
-def first_match(c: Column, patterns: list[tuple[str, str]], signs: list[tuple[str, ...]] | None = None) -> Column:
-    """Value of the first pattern that the text has; NULL if none. A pattern is tried only where the text has one of its signs."""
-    low = folded(c)
-    return F.coalesce(*[F.when((holds(low, signs[k]) & c.rlike("(?iU)" + p)) if signs else c.rlike("(?iU)" + p), v) for k, (p, v) in enumerate(patterns)])
+#: Characters before a sign that a pattern may look at.
+_BEFORE = 100
+
+
+def from_sign(c: Column, low: Column, signs: tuple[str, ...]) -> Column:
+    """The text from a little before its first sign on. Folding keeps the number of characters."""
+    none = F.length(c) + 1
+    at = lambda s: F.length(F.get(F.split(low, s, 2), F.lit(0))) + 1 if s.startswith("(?U)") else F.pmod(F.instr(low, s) - 1, F.lit(1 << 30)) + 1
+    first = F.least(none, *map(at, signs))
+    return F.substring(c, F.greatest(F.lit(1), first - _BEFORE), F.length(c))
+
+
+def first_match(c: Column, patterns: list[tuple[str, str]], signs: list[tuple[str, ...]] | None = None, low: Column | None = None) -> Column:
+    """Value of the first pattern that the text has; NULL if none. A pattern is tried only where the text, `low` in its folded form, has one of its signs."""
+    low = folded(c) if low is None else low
+    return F.coalesce(*[F.when((holds(low, signs[k]) & from_sign(c, low, signs[k]).rlike("(?iU)" + p)) if signs else c.rlike("(?iU)" + p), v) for k, (p, v) in enumerate(patterns)])
 
 
 def contract_type(description: Column, title: Column) -> Column:
@@ -102,8 +118,8 @@ def work_modality(description: Column, title: Column) -> Column:
     return F.coalesce(first_match(description, MODALITY, MODALITY_SIGNS), first_match(title, MODALITY, MODALITY_SIGNS))
 
 
-def education_level(description: Column) -> Column:
-    return first_match(description, EDUCATION, EDUCATION_SIGNS)
+def education_level(description: Column, low: Column | None = None) -> Column:
+    return first_match(description, EDUCATION, EDUCATION_SIGNS, low)
 
 
 def seniority(title: Column) -> Column:
@@ -121,13 +137,14 @@ def _salary_context(d: Column, found: Column) -> Column:
     return ~F.substring(d, start, at + size + 50 - start).rlike(NOT_SALARY)
 
 
-def salary_range(d: Column) -> Column:
+def salary_range(d: Column, low: Column | None = None) -> Column:
     """STRUCT<low, high> by four patterns in turn, each judged by its first match; NULLs if none holds.
 
-    Texts without a sign of euros are not searched; each pattern is searched once, and its groups are read from the match.
+    Texts without an amount beside a sign of euros are not searched; each pattern is searched once, and its groups are read from the match.
     """
     none = F.struct(F.lit(None).cast("int").alias("low"), F.lit(None).cast("int").alias("high"))
-    return F.when(d.rlike("(?i)€|eur"), _salary_of(d)).otherwise(none)
+    low = folded(d) if low is None else low
+    return F.when(holds(low, PAY_SIGNS) & low.rlike(PAY_SIGN), _salary_of(d)).otherwise(none)
 
 
 def _salary_of(d: Column) -> Column:
@@ -156,26 +173,28 @@ def _salary_choice(d: Column, v: Column) -> Column:
     )
 
 
-def experience_years(d: Column) -> Column:
-    low = folded(d)
-    years = lambda p: F.when(holds(low, EXPERIENCE_SIGNS), F.regexp_extract(d, p, 1).try_cast("int"))
+def experience_years(d: Column, low: Column | None = None) -> Column:
+    low = folded(d) if low is None else low
+    years = lambda p, text: F.when(holds(low, EXPERIENCE_SIGNS), F.regexp_extract(text, p, 1).try_cast("int"))
+    least = F.when(holds(low, EXPERIENCE_LEAST_SIGNS), years(EXPERIENCE_LEAST, from_sign(d, low, EXPERIENCE_LEAST_SIGNS)))
     word = F.lower(F.regexp_extract(d, EXPERIENCE_WORDS, 1))
     named = reduce(lambda e, kv: e.when(word == kv[0], kv[1]), EXPERIENCE_YEARS.items(), F.when(F.lit(False), 0))
-    return F.coalesce(years(EXPERIENCE), years(EXPERIENCE_LEAST), F.when(holds(low, EXPERIENCE_WORD_SIGNS), named))
+    return F.coalesce(years(EXPERIENCE, d), least, F.when(holds(low, EXPERIENCE_WORD_SIGNS), named))
 
 
 def _named(c: Column, names: dict[str, str], other: Column) -> Column:
     return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for p in names.items() for x in p]), F.lower(c)), other)
 
 
-def languages(d: Column) -> Column:
+def languages(d: Column, low: Column | None = None) -> Column:
     """ARRAY<STRUCT<language, level>>, one per language with its highest level, sorted.
 
     The place of the n-th match of a pattern is the length of what splitting by it leaves before, and of the matches themselves;
     matches with diversity or greeting phrases within 200 characters do not count.
     """
     none = F.array().cast("array<struct<language:string,level:string>>")
-    return F.when(d.rlike(LANGUAGE_SIGN), let(F.concat(*[_mentions(d, p, g, level) for p, groups, level in LANGUAGES for g in groups]), _best_levels)).otherwise(none)
+    low = folded(d) if low is None else low
+    return F.when(holds(low, LANGUAGE_SIGNS), let(F.concat(*[_mentions(d, p, g, level) for p, groups, level in LANGUAGES for g in groups]), _best_levels)).otherwise(none)
 
 
 def _mentions(d: Column, pattern: str, group: int, level: int) -> Column:
@@ -207,13 +226,19 @@ def _best_levels(every: Column) -> Column:
     return F.transform(names, lambda n: F.struct(n.alias("language"), F.element_at(F.array(*map(F.lit, LEVELS)), best(n)).alias("level")))
 
 
-def description_fields(description: Column) -> dict[str, Column]:
-    """What the description alone says; two of the fields fall back on the title."""
+def description_parts(description: Column) -> dict[str, Column]:
+    """What all fields of a description read: the text without escapes and its folded form. As columns of a step before they are computed once a row."""
     d = strip_markdown_escapes(F.coalesce(description, F.lit("")))
-    pay = salary_range(d)
+    return {"_text": d, "_low": folded(d)}
+
+
+def description_fields(description: Column | None = None) -> dict[str, Column]:
+    """What the description alone says; two of the fields fall back on the title. Without one, the fields read the columns of `description_parts`."""
+    d, low = (F.col("_text"), F.col("_low")) if description is None else description_parts(description).values()
+    pay = salary_range(d, low)
     return {
-        "regex_contract_type": first_match(d, CONTRACT, CONTRACT_SIGNS), "regex_work_modality": first_match(d, MODALITY, MODALITY_SIGNS), "regex_salary_min": pay["low"], "regex_salary_max": pay["high"],
-        "regex_experience_years": experience_years(d), "regex_languages": languages(d), "regex_education_level": education_level(d),
+        "regex_contract_type": first_match(d, CONTRACT, CONTRACT_SIGNS, low), "regex_work_modality": first_match(d, MODALITY, MODALITY_SIGNS, low), "regex_salary_min": pay["low"], "regex_salary_max": pay["high"],
+        "regex_experience_years": experience_years(d, low), "regex_languages": languages(d, low), "regex_education_level": education_level(d, low),
     }
 
 

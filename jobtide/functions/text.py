@@ -142,7 +142,7 @@ def preprocess_description(c: Column, *, all_entities: bool = True) -> Column:
 
 def strip_markdown_escapes(c: Column) -> Column:
     """Backslashes before any of the signs that markdown escapes."""
-    return F.regexp_replace(c, r"\\([.\-+*(){}|^$#!@&~`\[\]])", "$1")
+    return F.when(c.contains("\\"), F.regexp_replace(c, r"\\([.\-+*(){}|^$#!@&~`\[\]])", "$1")).otherwise(c)
 
 
 def strip_four_escapes(c: Column) -> Column:

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.fields import description_fields, title_fields
+from ..functions.fields import description_fields, description_parts, title_fields
 from ..functions.locations import is_non_german, normalize_city, parse_location
 from ..functions.text import concatenated
 from ..functions.titles import normalize_title, translate_title
@@ -88,7 +88,7 @@ def deduplicate(spark: SparkSession, df: DataFrame, s: Settings) -> DataFrame:
 def regex_extract(spark: SparkSession, df: DataFrame, s: Settings) -> DataFrame:
     """Fields by pattern: once for each different description, and by row what titles say."""
     filters.require_columns(df, ("title_cleaned", "description"))
-    found = evaluate_once(df, ["description"], description_fields(F.col("description")), id_col="row_id")
+    found = evaluate_once(df, ["description"], description_fields(), id_col="row_id", parts=description_parts(F.col("description")))
     named = title_fields(F.coalesce("title_cleaned", "title"))
     return found.withColumns({n: F.coalesce(F.col(n), c) if n in found.columns else c for n, c in named.items()})
 

@@ -62,3 +62,29 @@ def test_signs_exclude_no_match(spark, patterns, signs):
     assert wrong.collect() == []
     plain = F.coalesce(F.regexp_extract(t, fields.EXPERIENCE, 1).try_cast("int"), F.regexp_extract(t, fields.EXPERIENCE_LEAST, 1).try_cast("int"))
     assert df.filter(plain.isNotNull() & ~fields.experience_years(t).eqNullSafe(plain)).collect() == []
+
+
+def test_patterns_behind_long_texts_of_any_letters(spark):
+    rng = random.Random(3)
+    fills = ["word ", "\U0001f600", "e\u0301", "Straße, ", "\u0130", "\u212a ", "un", "home ", "vor ", "m ", "ph ", "befristet", "x" * 60, "\u03a3", "7 "]
+    texts = ["".join(rng.choice(fills) for _ in range(rng.choice([0, 3, 80]))) + "".join(rng.choice(PARTS + ["vor\u00a0Ort", "Home \n Office", "M.\u2003Sc.", "70.000 EUR", "€ 70k", "gute Deutschkenntnisse", "Francösisch B2", "at  least 4 years", "min. 5 Jahre", "3+ years experience"]) + rng.choice(["", " ", "-"]) for _ in range(2)) for _ in range(500)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for patterns, signs in ((fields.CONTRACT, fields.CONTRACT_SIGNS), (fields.MODALITY, fields.MODALITY_SIGNS), (fields.EDUCATION, fields.EDUCATION_SIGNS)):
+        assert df.filter(~fields.first_match(F.col("t"), patterns, signs).eqNullSafe(fields.first_match(F.col("t"), patterns))).collect() == []
+    plain = F.coalesce(F.regexp_extract("t", fields.EXPERIENCE, 1).try_cast("int"), F.regexp_extract("t", fields.EXPERIENCE_LEAST, 1).try_cast("int"))
+    assert df.filter(plain.isNotNull() & ~fields.experience_years(F.col("t")).eqNullSafe(plain)).collect() == []
+    none = F.struct(F.lit(None).cast("int").alias("low"), F.lit(None).cast("int").alias("high"))
+    assert df.filter(~fields.salary_range(F.col("t")).eqNullSafe(F.when(F.col("t").rlike("(?i)€|eur"), fields._salary_of(F.col("t"))).otherwise(none))).collect() == []
+    every = fields._best_levels(F.concat(*[fields._mentions(F.col("t"), p, g, level) for p, groups, level in fields.LANGUAGES for g in groups]))
+    assert df.filter(~fields.languages(F.col("t")).eqNullSafe(every)).collect() == []
+
+
+def test_a_text_is_folded_once(spark):
+    df = spark.createDataFrame([(1, "Vollzeit")], "id long, text string")
+    rows = df.select("id", F.concat("text", F.lit(" once")).alias("text"))
+    steps = []
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(distinct, "written", lambda d: steps.append(d) or d)
+        got = distinct.evaluate_once(rows, ["text"], fields.description_fields(), id_col="id", parts=fields.description_parts(F.col("text")))
+    assert [r.regex_contract_type for r in got.collect()] == ["Full-time"] and got.columns == ["id", "text", *fields.description_fields()]
+    assert steps[0]._jdf.queryExecution().optimizedPlan().toString().count("translate(") == 1
