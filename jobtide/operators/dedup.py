@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -120,33 +121,156 @@ def first_tokens(df: DataFrame, tokens: str, counts: DataFrame, threshold: float
     return rows.mapInArrow(run, ddl)
 
 
+#: From this threshold on, similar sets are found by equal parts, below it by single tokens: a part has about threshold / (1 - threshold) tokens.
+PARTS_FROM = 0.9
+#: Sets of a block: at most twice as many meet in one group of `similarities`, give or take the chance of the dealing.
+BLOCK = 256
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers spread over all bits."""
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
+
+
+def _class_width(threshold: float) -> float:
+    """Width of a size class in logarithms: a little wider than the ratio of similar sizes, so that rounding leaves them in neighbouring classes."""
+    return max(-math.log(threshold) * (1 + 1e-9), 1e-9)
+
+
+def set_parts(df: DataFrame, tokens: str, threshold: float, keep: Sequence[str]) -> DataFrame:
+    """The columns `keep` with n, the size of its sets, and prefix: ARRAY<STRUCT<t, left>>, hashes of the parts of each; left is 1 for its own size class, 0 for the next smaller one.
+
+    Similar sets x and y, x not larger, differ in at most K = |x| (1 - threshold) / threshold tokens. In a size class K is that of its largest size; tokens are
+    dealt by hash to K + 1 parts, so one part at least is the same in both. A set has parts for its own class and, as the larger one of a pair, for the class below:
+    similar sets share the t of a part that is of the own class of one of them. Equal hashes of different parts add candidates and lose none.
+    """
+    ship(df.sparkSession)
+    hashes = F.transform(tokens, lambda t: F.xxhash64(t))
+    columns = list(keep)
+    rows = df.select(*columns, F.size(tokens).alias("n"), hashes.alias("prefix"))
+    shape = pa.list_(pa.struct([("t", pa.int64()), ("left", pa.int32())]))
+    width = _class_width(threshold)
+
+    def run(batches):
+        for batch in batches:
+            every = batch.column(len(columns) + 1)
+            values = every.flatten().to_numpy(zero_copy_only=False).view("u8")
+            n = np.maximum(every.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), 0).astype("i8")
+            mixed, owner = _mix(values), np.repeat(np.arange(len(n)), n)
+            own = np.floor(np.log(np.maximum(n, 1)) / width).astype("i8")
+            classes = [own, own - 1]
+            largest = [np.floor(np.exp((c + 1) * width) + 1e-6) for c in classes]
+            apart = [np.floor(m * (1 - threshold) / threshold + 1e-9).astype("i8") for m in largest]
+            # sets that may not differ at all are found by their digests
+            dealt = [np.where((n > 0) & (c >= 0) & (k > 0), k + 1, 0) for c, k in zip(classes, apart, strict=True)]
+            bounds = np.concatenate([[0], np.cumsum(dealt[0] + dealt[1])])
+            sums, tags, left = np.zeros(bounds[-1], "u8"), np.zeros(bounds[-1], "u8"), np.zeros(bounds[-1], "i4")
+            for role, (c, k, first) in enumerate(zip(classes, dealt, (bounds[:-1], bounds[:-1] + dealt[0]), strict=True)):
+                used = k[owner] > 0
+                of = owner[used]
+                np.add.at(sums, first[of] + (mixed[used] % k[of].astype("u8")).astype("i8"), mixed[used] * np.uint64(0x9E3779B97F4A7C15))
+                at = np.repeat(np.arange(len(n)), k)
+                nth = np.arange(len(at)) - np.repeat(np.cumsum(k) - k, k)
+                tags[first[at] + nth] = _mix((c[at] << 24).astype("u8") + nth.astype("u8") + np.uint64(1))
+                left[first[at] + nth] = 1 - role
+            flat = pa.StructArray.from_arrays([pa.array(_mix(sums + tags).view("i8"), pa.int64()), pa.array(left, pa.int32())], names=["t", "left"])
+            prefix = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), flat).cast(shape)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns) + 1], prefix], names=[*columns, "n", "prefix"])
+
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]) + ", prefix array<struct<t:bigint,left:int>>"
+    return rows.mapInArrow(run, ddl)
+
+
+def _overlaps(pairs: pa.Table, members: pa.Table, threshold: float) -> pa.Table:
+    """The pairs of one group that are similar: tokens are numbered within the group, sets are rows of bits."""
+    ids, sets = members.column("id").combine_chunks(), members.column("set").combine_chunks()
+    n = sets.value_lengths().to_numpy(zero_copy_only=False).astype("i8")
+    codes = sets.flatten().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    owner = np.repeat(np.arange(len(n)), n)
+    x, y = (pc.index_in(pairs.column(c), value_set=ids).to_numpy() for c in ("a", "b"))
+    shared = np.zeros(len(x), "i8")
+    step, bits = 4096, 1 << 14
+    order = np.argsort(codes, kind="stable")
+    codes, owner = codes[order], owner[order]
+    for low in range(0, int(codes[-1]) + 1 if len(codes) else 0, bits):
+        s, e = np.searchsorted(codes, [low, low + bits])
+        held = np.zeros((len(n), bits), bool)
+        held[owner[s:e], codes[s:e] - low] = True
+        words = np.packbits(held[:, : -(-(int(codes[e - 1]) - low + 1) // 64) * 64], axis=1).view("u8")
+        for k in range(0, len(x), step):
+            shared[k : k + step] += np.bitwise_count(words[x[k : k + step]] & words[y[k : k + step]]).sum(axis=1, dtype="i8")
+    similarity = shared / (n[x] + n[y] - shared)
+    found = pa.table([pairs.column("a"), pairs.column("b"), pa.array(similarity, pa.float64())], names=["a", "b", "similarity"])
+    return found.filter(pa.array(similarity >= threshold))
+
+
+def similarities(candidates: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """a, b, similarity of the candidates (a, b) whose sets (id, set) have a Jaccard similarity of at least `threshold`; candidates is a stored table.
+
+    Sets are not shipped with each pair. Ids are dealt to blocks of about BLOCK, those of one cluster of candidates (a follows its smallest partner, and
+    that one its own) to blocks of their own, small clusters together; a set goes once to each pair of blocks that it has a candidate in. Blocks bound what a group
+    holds, whatever the size of a cluster, and which block an id is in changes only the cost.
+    """
+    spark = candidates.sparkSession
+    ship(spark)
+    near = candidates.select(F.col("b").alias("id"), F.col("a").alias("label")).unionAll(candidates.select(F.col("a").alias("id"), F.col("a").alias("label")))
+    label = written(near.groupBy("id").agg(F.min("label").alias("label")))
+    pools = max(1, label.count() // BLOCK)
+    for _ in range(2):
+        label = label.join(label.select(F.col("id").alias("label"), F.col("label").alias("next")), "label").select("id", F.col("next").alias("label"))
+    sizes = label.groupBy("label").agg(F.count("*").alias("size"))
+    own = F.xxhash64("label", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / BLOCK)))
+    block = written(label.join(sizes, "label").select("id", F.when(F.col("size") < BLOCK, F.pmod(F.xxhash64("label"), F.lit(pools))).otherwise(own).alias("block")))
+    one, other = block.toDF("a", "one"), block.toDF("b", "other")
+    dealt = written(candidates.join(one, "a").join(other, "b").select(F.least("one", "other").alias("low"), F.greatest("one", "other").alias("high"), "a", "b"))
+    # as a filter, which is taken down to below what makes the sets
+    held = sets.filter(F.col("id").isin(block.select("id")))
+    placed = dealt.select(F.col("low").alias("of_low"), F.col("high").alias("of_high"), F.explode(F.array("a", "b")).alias("id"))
+    members = placed.distinct().join(held, "id").select("of_low", "of_high", "id", "set")
+    kind = candidates.schema["a"].dataType.simpleString()
+
+    def run(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        return _overlaps(pairs, sets, threshold)
+
+    return dealt.groupBy("low", "high").cogroup(members.groupBy("of_low", "of_high")).applyInArrow(run, f"a {kind}, b {kind}, similarity double")
+
+
 def near_duplicate_pairs(df: DataFrame, tokens: str, threshold: float = 0.95, id_col: str = "id") -> DataFrame:
     """a, b, similarity: rows with a < b whose token sets have a Jaccard similarity of at least `threshold`.
 
-    Exact prefix filter: tokens are ordered from rare to frequent (`first_tokens`), two similar sets share one of their first
-    n - ceil(threshold * n) + 1 tokens. The list of a token is dealt by size of set: similar sets lie in one size class or in
-    neighbouring ones, so a frequent token is many smaller lists. A pair that meets at a place from where too few tokens are left
-    to be similar is no candidate; the first token that two similar sets share always leaves enough.
+    From a threshold of PARTS_FROM on, candidates are sets that have a whole part in common (`set_parts`). Below it, exact prefix filter: tokens are ordered
+    from rare to frequent (`first_tokens`), two similar sets share one of their first n - ceil(threshold * n) + 1 tokens. The list of a token is dealt by size of
+    set: similar sets lie in one size class or in neighbouring ones, so a frequent token is many smaller lists. A pair that meets at a place from where too few
+    tokens are left to be similar is no candidate; the first token that two similar sets share always leaves enough.
     Rows with equal sets are joined by their smallest id, and only different sets are compared; empty sets are equal to each
-    other only, NULL sets to none. Sets are told apart by 128-bit hashes.
+    other only, NULL sets to none. Sets are told apart by 128-bit hashes. No set is stored; those of candidates are made again from `df`.
     """
-    rows = df.select(F.col(id_col).alias("id"), F.array_sort(F.array_distinct(tokens)).alias("set")).filter("set IS NOT NULL")
-    hashed = rows.withColumn("digest", F.unhex(F.md5(F.to_json("set"))))
-    classes = written(hashed.groupBy("digest").agg(F.min("id").alias("id"), F.first("set").alias("set")).withColumn("n", F.size("set")))
-    # a little wider than the ratio of similar sizes, so that rounding leaves them in neighbouring classes
-    width = max(-math.log(threshold) * (1 + 1e-9), 1e-9)
-    prefix = first_tokens(classes, "set", token_counts(classes, "set"), threshold, ["id"])
-    prefix = written(prefix.select("id", "n", F.inline("prefix"), F.floor(F.log(F.col("n")) / width).alias("class")))
-    a = prefix.select("t", F.col("class"), F.col("id").alias("x"), F.col("n").alias("nx"), F.col("left").alias("lx"))
-    b = prefix.select("t", F.col("class").alias("own"), F.explode(F.array("class", F.col("class") - 1)).alias("class"), F.col("id").alias("y"), F.col("n").alias("ny"), F.col("left").alias("ly"))
-    close = F.least("nx", "ny") >= F.greatest("nx", "ny") * threshold
-    enough = F.least("lx", "ly") >= (F.col("nx") + F.col("ny")) * F.lit(threshold / (1 + threshold)) - 1e-6
-    once = (F.col("own") != F.col("class")) | (F.col("x") < F.col("y"))
-    candidates = a.join(b, ["t", "class"]).filter(close & enough & once).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    x, y = classes.select(F.col("id").alias("a"), F.col("set").alias("x")), classes.select(F.col("id").alias("b"), F.col("set").alias("y"))
-    similarity = F.size(F.array_intersect("x", "y")) / F.size(F.array_union("x", "y"))
-    different = candidates.join(x, "a").join(y, "b").select("a", "b", similarity.alias("similarity")).filter(F.col("similarity") >= threshold)
-    same = hashed.select("id", "digest").join(classes.select("digest", F.col("id").alias("first")), "digest").filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"))
+    rows = df.select(F.col(id_col).alias("id"), F.sort_array(F.array_distinct(tokens)).alias("set"))
+    digest = F.unhex(F.md5(F.to_json("set"))).alias("digest")
+    if threshold >= PARTS_FROM:
+        hashed = written(set_parts(rows.select("id", "set", digest), "set", threshold, ["id", "digest"])).filter("digest IS NOT NULL")
+        classes = hashed.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+        postings = written(classes.select("id", "n", F.inline("prefix")))
+        a, b = postings.toDF("x", "nx", "t", "lx"), postings.toDF("y", "ny", "t", "ly")
+        close = F.least("nx", "ny") >= F.greatest("nx", "ny") * threshold
+        found = a.join(b, "t").filter((F.col("x") < F.col("y")) & (F.col("lx") + F.col("ly") > 0) & close).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    else:
+        rows = rows.filter("set IS NOT NULL")
+        hashed = rows.withColumn("digest", digest)
+        classes = written(hashed.groupBy("digest").agg(F.min("id").alias("id"), F.first("set").alias("set")).withColumn("n", F.size("set")))
+        prefix = first_tokens(classes, "set", token_counts(classes, "set"), threshold, ["id"])
+        prefix = written(prefix.select("id", "n", F.inline("prefix"), F.floor(F.log(F.col("n")) / _class_width(threshold)).alias("class")))
+        a = prefix.select("t", F.col("class"), F.col("id").alias("x"), F.col("n").alias("nx"), F.col("left").alias("lx"))
+        b = prefix.select("t", F.col("class").alias("own"), F.explode(F.array("class", F.col("class") - 1)).alias("class"), F.col("id").alias("y"), F.col("n").alias("ny"), F.col("left").alias("ly"))
+        close = F.least("nx", "ny") >= F.greatest("nx", "ny") * threshold
+        enough = F.least("lx", "ly") >= (F.col("nx") + F.col("ny")) * F.lit(threshold / (1 + threshold)) - 1e-6
+        once = (F.col("own") != F.col("class")) | (F.col("x") < F.col("y"))
+        found = a.join(b, ["t", "class"]).filter(close & enough & once).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    different = similarities(written(found.distinct()), rows, threshold)
+    heads = hashed.groupBy("digest").agg(F.min("id").alias("first"))
+    same = hashed.select("id", "digest").join(heads, "digest").filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"))
     return different.unionByName(same)
 
 
