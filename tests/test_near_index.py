@@ -68,3 +68,24 @@ def test_batches_equal_one_run(spark, tmp_path, known):
     assert index.log.version() == version and again.count() == sum(b == 2 for b in batch.values())
     late = {r.id: r.leader for r in NearIndex(spark, index.path, threshold).add(frame(spark, [("0000", {"other"}), ("zzzz", {"x"}), ("yyyy", {"x"})]), "words", batch=3).collect()}
     assert late == {"yyyy": "yyyy", "zzzz": "yyyy"} and {r.leader for r in index.leaders().filter("id = '0000'").collect()} == {want["0000"]}
+
+
+def long_sets(n, seed):
+    """Sets of 20 to 120 tokens in clusters, some a few tokens apart."""
+    rng = random.Random(seed)
+    bases = [[f"t{rng.randrange(3000)}" for _ in range(rng.randint(20, 120))] for _ in range(n // 10)]
+    rows = []
+    for i in range(n):
+        s = set(rng.choice(bases))
+        for _ in range(rng.choice([0, 1, 2, 4])):
+            s.discard(rng.choice(sorted(s))) if rng.random() < 0.5 else s.add(f"new{rng.randrange(20)}")
+        rows.append((f"{i:04d}", s))
+    return rows
+
+
+def test_one_run_over_long_sets_equals_the_greedy_choice_and_stores_no_set(spark, monkeypatch):
+    rows, stored, plain = long_sets(160, 4), [], dedup.written
+    monkeypatch.setattr(dedup, "written", lambda df: stored.append(df.schema.simpleString()) or plain(df))
+    got = {r.id: r.leader for r in dedup.similar_leaders(frame(spark, rows), "words", 0.95).collect()}
+    assert got == greedy(rows, 0.95) and sum(k != v for k, v in got.items()) > 20
+    assert stored and not any("array<string>" in s for s in stored)
