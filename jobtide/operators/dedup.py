@@ -237,7 +237,7 @@ def similarities(candidates: DataFrame, sets: DataFrame, threshold: float) -> Da
     return dealt.groupBy("low", "high").cogroup(members.groupBy("of_low", "of_high")).applyInArrow(run, f"a {kind}, b {kind}, similarity double")
 
 
-def near_duplicate_pairs(df: DataFrame, tokens: str, threshold: float = 0.95, id_col: str = "id") -> DataFrame:
+def near_duplicate_pairs(df: DataFrame, tokens: str, threshold: float = 0.95, id_col: str = "id", parts: DataFrame | None = None) -> DataFrame:
     """a, b, similarity: rows with a < b whose token sets have a Jaccard similarity of at least `threshold`.
 
     From a threshold of PARTS_FROM on, candidates are sets that have a whole part in common (`set_parts`). Below it, exact prefix filter: tokens are ordered
@@ -246,11 +246,12 @@ def near_duplicate_pairs(df: DataFrame, tokens: str, threshold: float = 0.95, id
     tokens are left to be similar is no candidate; the first token that two similar sets share always leaves enough.
     Rows with equal sets are joined by their smallest id, and only different sets are compared; empty sets are equal to each
     other only, NULL sets to none. Sets are told apart by 128-bit hashes. No set is stored; those of candidates are made again from `df`.
+    `parts`, from PARTS_FROM on: id, digest, n and prefix of the rows to compare where they are stored already; `df` may then have more rows.
     """
     rows = df.select(F.col(id_col).alias("id"), F.sort_array(F.array_distinct(tokens)).alias("set"))
     digest = F.unhex(F.md5(F.to_json("set"))).alias("digest")
     if threshold >= PARTS_FROM:
-        hashed = written(set_parts(rows.select("id", "set", digest), "set", threshold, ["id", "digest"])).filter("digest IS NOT NULL")
+        hashed = parts if parts is not None else written(set_parts(rows.select("id", "set", digest), "set", threshold, ["id", "digest"])).filter("digest IS NOT NULL")
         classes = hashed.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
         postings = written(classes.select("id", "n", F.inline("prefix")))
         a, b = postings.toDF("x", "nx", "t", "lx"), postings.toDF("y", "ny", "t", "ly")
@@ -274,11 +275,12 @@ def near_duplicate_pairs(df: DataFrame, tokens: str, threshold: float = 0.95, id
     return different.unionByName(same)
 
 
-def class_pairs(df: DataFrame, tokens: str, threshold: float, id_col: str = "id") -> tuple[DataFrame, DataFrame]:
+def class_pairs(df: DataFrame, tokens: str, threshold: float, id_col: str = "id", parts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Pairs between class representatives, and each row's class (the smallest id with its token set)."""
-    pairs = written(near_duplicate_pairs(df, tokens, threshold, id_col))
+    pairs = written(near_duplicate_pairs(df, tokens, threshold, id_col, parts))
+    ids = df.select(F.col(id_col).alias("id")) if parts is None else parts.select("id")
     same = pairs.filter("similarity = 1.0").select(F.col("b").alias("id"), F.col("a").alias("class_id"))
-    return pairs.filter("similarity < 1.0"), df.select(F.col(id_col).alias("id")).join(same, "id", "left").withColumn("class_id", F.coalesce("class_id", "id"))
+    return pairs.filter("similarity < 1.0"), ids.join(same, "id", "left").withColumn("class_id", F.coalesce("class_id", "id"))
 
 
 def leaders(pairs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -299,12 +301,12 @@ def leaders(pairs: DataFrame, ids: DataFrame) -> DataFrame:
     return ids.select("id").join(follow, "id", "left").withColumn("leader", F.coalesce("leader", "id"))
 
 
-def similar_leaders(df: DataFrame, tokens: str, threshold: float = 0.95, id_col: str = "id") -> DataFrame:
+def similar_leaders(df: DataFrame, tokens: str, threshold: float = 0.95, id_col: str = "id", parts: DataFrame | None = None) -> DataFrame:
     """id, leader of every row by the similarity of its token sets, as `leaders` of all similar pairs would have it.
 
     Rows with equal sets have the same similar rows, so the smallest of them decides for all: what it follows, or itself.
     """
-    pairs, classes = class_pairs(df, tokens, threshold, id_col)
+    pairs, classes = class_pairs(df, tokens, threshold, id_col, parts)
     classes = written(classes)
     led = leaders(pairs, classes.filter("id = class_id")).toDF("class_id", "leader")
     return classes.join(led, "class_id").select("id", "leader")

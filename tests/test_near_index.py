@@ -89,3 +89,15 @@ def test_one_run_over_long_sets_equals_the_greedy_choice_and_stores_no_set(spark
     got = {r.id: r.leader for r in dedup.similar_leaders(frame(spark, rows), "words", 0.95).collect()}
     assert got == greedy(rows, 0.95) and sum(k != v for k, v in got.items()) > 20
     assert stored and not any("array<string>" in s for s in stored)
+
+
+def test_batches_of_long_sets_equal_the_greedy_choice_and_need_no_order(spark, tmp_path):
+    rows = [*long_sets(120, 9), ("0990", set()), ("0991", None), ("0992", set())]
+    batch = {k: int(k) % 3 for k, _ in rows}
+    index = NearIndex.create(spark, str(tmp_path / "index"), frame(spark, []).select("words"), "words", buckets=2)
+    for b in range(3):
+        part = [r for r in rows if batch[r[0]] == b]
+        index.add(frame(spark, part + part[:1]), "words", batch=b)
+    want = greedy(sorted(rows, key=lambda r: (batch[r[0]], r[0])), 0.95)
+    assert {r.id: r.leader for r in index.leaders().collect()} == want
+    assert sorted(p.name for p in (tmp_path / "index").iterdir()) == ["rows", "sets"] and "array<string>" not in index.log.schema().simpleString()
